@@ -2,8 +2,6 @@
 
 Every function takes and returns Columns, so the same definition plans a single
 load (a one-row DataFrame) or a whole table of backfill requests and schedules.
-A window is a struct ``(start_date, end_date, error)``; both dates are inclusive,
-and exactly one of the dates and the error text is filled.
 """
 
 from __future__ import annotations
@@ -13,30 +11,24 @@ from pyspark.sql import functions as F
 
 from tablekeel.spec import STRATEGIES
 
-# The text shapes of a day and a month (year 0000 is no calendar year).
+# Fixed value: the text shape of a day (year 0000 is no calendar year).
 DAY_SHAPE = r"\A(?!0000)\d{4}-\d{2}-\d{2}\z"
-MONTH_SHAPE = r"\A(?!0000)\d{4}-\d{2}\z"
 # White space trimmed from the two parts of a range.
 WHITE_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
 
 
-def parse_day(text: Column) -> Column:
-    """``YYYY-MM-DD`` to a date; NULL when the shape or the calendar day is wrong."""
-    return F.when(text.rlike(DAY_SHAPE), F.try_to_date(text, "yyyy-MM-dd"))
-
-
-def parse_month(text: Column) -> Column:
-    """``YYYY-MM`` to the month's first day; NULL when the shape or the month is wrong."""
-    return F.when(
-        text.rlike(MONTH_SHAPE), F.try_to_date(F.concat(text, F.lit("-01")), "yyyy-MM-dd")
-    )
+def is_given(target_date: Column) -> Column:
+    """A NULL or empty request is none at all; the strategy's default applies."""
+    return F.coalesce(target_date, F.lit("")) != ""
 
 
 def parse_period(partition_type: Column, text: Column) -> Column:
-    """First day of the day or month named by ``text``, by partition type."""
-    return F.when(partition_type == "day", parse_day(text)).when(
-        partition_type == "month", parse_month(text)
-    )
+    """First day of the day ``YYYY-MM-DD`` or month ``YYYY-MM`` that ``text`` names.
+
+    NULL when the shape is wrong for the partition type or there is no such day.
+    """
+    day_text = F.concat(text, F.when(partition_type == "month", "-01").otherwise(""))
+    return F.when(day_text.rlike(DAY_SHAPE), F.try_to_date(day_text, "yyyy-MM-dd"))
 
 
 def period_end(partition_type: Column, first_day: Column) -> Column:
@@ -44,92 +36,74 @@ def period_end(partition_type: Column, first_day: Column) -> Column:
     return F.when(partition_type == "month", F.last_day(first_day)).otherwise(first_day)
 
 
-def request_window(partition_type: Column, target_date: Column) -> Column:
-    """The window asked for by a date request.
+def request_parts(target_date: Column) -> Column:
+    """A request split at its commas: one part for a single period, two for a range."""
+    return F.split(target_date, ",", -1)
 
-    One date (or month) stands for itself and must be written exactly; a range has
-    exactly one comma and may have white space around its two parts.
+
+def request_part(target_date: Column, parts: Column, position: int) -> Column:
+    """Start (0) or end (1) text of a request.
+
+    A single period stands for both and must be written exactly; the parts of a range
+    may have white space around them.
     """
-    parts = F.split(target_date, ",", -1)
-    is_range = F.size(parts) > 1
-    first_text = F.when(is_range, F.trim(F.get(parts, F.lit(0)), F.lit(WHITE_SPACE))).otherwise(target_date)
-    last_text = F.when(is_range, F.trim(F.get(parts, F.lit(1)), F.lit(WHITE_SPACE))).otherwise(target_date)
-    start = parse_period(partition_type, first_text)
-    last_start = parse_period(partition_type, last_text)
+    part = F.trim(F.get(parts, F.lit(position)), F.lit(WHITE_SPACE))
+    return F.when(F.size(parts) == 1, target_date).otherwise(part)
+
 
-    def quote(text: Column) -> Column:
-        return F.concat(F.lit("'"), text, F.lit("'"))
+def request_error(
+    partition_type: Column,
+    target_date: Column,
+    parts: Column,
+    texts: tuple[Column, Column],
+    days: tuple[Column, Column],
+) -> Column:
+    """Why a request is no valid range, or NULL if it is one."""
 
     def not_a_period(text: Column) -> Column:
         wanted = F.when(partition_type == "day", "YYYY-MM-DD").otherwise("YYYY-MM")
-        return F.concat(
-            quote(text), F.lit(" is not a valid "), partition_type, F.lit(" in the form "), wanted
-        )
+        return F.format_string("'%s' is not a valid %s in the form %s", text, partition_type, wanted)
 
-    error = (
+    return (
         F.when(
             F.coalesce(~partition_type.isin("day", "month"), F.lit(True)),
-            F.concat(
-                F.lit("target_date needs partition_type day or month, got "),
-                F.coalesce(quote(partition_type), F.lit("NULL")),
-            ),
-        )
-        .when(F.coalesce(target_date, F.lit("")) == "", "target_date is empty")
-        .when(
-            F.size(parts) > 2,
-            F.concat(F.lit("target_date "), quote(target_date), F.lit(" has more than one comma")),
+            F.format_string("target_date needs partition_type day or month, got '%s'", partition_type),
         )
-        .when(start.isNull(), not_a_period(first_text))
-        .when(last_start.isNull(), not_a_period(last_text))
-        .when(start > last_start, F.concat(quote(first_text), F.lit(" is after "), quote(last_text)))
+        .when(F.size(parts) > 2, F.format_string("target_date '%s' has more than one comma", target_date))
+        .when(days[0].isNull(), not_a_period(texts[0]))
+        .when(days[1].isNull(), not_a_period(texts[1]))
+        .when(days[0] > days[1], F.format_string("'%s' is after '%s'", *texts))
     )
-    return _window(start, period_end(partition_type, last_start), error)
 
 
-def strategy_window(partition_type: Column, strategy: Column, run_date: Column) -> Column:
-    """The window a strategy refreshes by default on ``run_date``.
+def strategy_start(strategy: Column, run_date: Column) -> Column:
+    """First day a strategy refreshes by default when run on ``run_date``.
 
-    Everything hangs off the day before the run: on the 1st, the "current month"
-    is the month that has just ended.
+    Everything hangs off the day before the run: on the 1st, the "current month" is
+    the month that has just ended.
     """
-    previous_day = F.date_sub(run_date, 1)
-    this_month = F.trunc(previous_day, "month")
-    start = (
-        F.when(strategy == "single_day", previous_day)
+    this_month = F.trunc(strategy_end(run_date), "month")
+    return (
+        F.when(strategy == "single_day", strategy_end(run_date))
         .when(strategy == "last_and_current_month", F.add_months(this_month, -1))
         .when(strategy == "single_month", this_month)
     )
+
+
+def strategy_end(run_date: Column) -> Column:
+    """Last day any strategy refreshes: the one before the run."""
+    return F.date_sub(run_date, 1)
+
+
+def strategy_error(partition_type: Column, strategy: Column, run_date: Column) -> Column:
+    """Why there is no default range, or NULL if there is one."""
     fits = F.lit(False)
     for kind in ("day", "month"):
         fits = fits | ((partition_type == kind) & strategy.isin(*STRATEGIES[kind]))
-    error = F.when(
+    return F.when(
         ~F.coalesce(fits, F.lit(False)),
-        F.concat_ws(
-            " ",
-            F.lit("no default range for strategy"),
-            F.coalesce(strategy, F.lit("NULL")),
-            F.lit("with partition_type"),
-            F.coalesce(partition_type, F.lit("NULL")),
-        ),
+        F.format_string("strategy '%s' gives partition_type '%s' no date range", strategy, partition_type),
     ).when(run_date.isNull(), "run date is NULL")
-    return _window(start, previous_day, error)
-
-
-def load_window(
-    partition_type: Column, strategy: Column, target_date: Column, run_date: Column
-) -> Column:
-    """The window of a load: a given date request wins over the strategy's default."""
-    return F.when(
-        F.coalesce(target_date, F.lit("")) == "", strategy_window(partition_type, strategy, run_date)
-    ).otherwise(request_window(partition_type, target_date))
-
-
-def _window(start: Column, end: Column, error: Column) -> Column:
-    return F.struct(
-        F.when(error.isNull(), start).alias("start_date"),
-        F.when(error.isNull(), end).alias("end_date"),
-        error.alias("error"),
-    )
 
 
 def day_value(day: Column) -> Column:

@@ -15,7 +15,7 @@ from tablekeel.errors import DataQualityError, SpecError, VerificationError
 from tablekeel.functions.dates import window_days, window_partitions
 from tablekeel.operators.guards import CheckedSource, check_key_column, check_partitions
 from tablekeel.operators.quality import partition_counts
-from tablekeel.operators.spine import expected_partitions, plan_loads, single_request
+from tablekeel.operators.spine import listed_partitions, plan_loads, single_request
 from tablekeel.sinks.layout import check_typed, fit_to_target
 from tablekeel.sinks.tables import compact_partitions, publish_partitions, replace_table, staged
 from tablekeel.sinks.views import publish_view
@@ -37,7 +37,6 @@ class LoadPlan:
     start_date: date
     end_date: date
     partitions: tuple[str, ...]
-    spine: DataFrame
     query: str
 
 
@@ -61,7 +60,6 @@ def plan_load(
         window.start_date,
         window.end_date,
         tuple(window.partitions),
-        expected_partitions(windows.drop("error"), spec.partition_type),
         fill_date_list(spec.partition_query, window.days),
     )
 
@@ -174,7 +172,8 @@ def _check(
     present = None
     if state is not None:
         present = target_partitions(spark, spec.target, spec.partition_column, plan.partitions)
-    return check_partitions(source, spec.partition_column, plan.spine, present)
+    spine = listed_partitions(spark, plan.partitions)
+    return check_partitions(source, spec.partition_column, spine, present)
 
 
 def _verify(spark: SparkSession, spec: LoadSpec, checked: CheckedSource, compact: bool) -> DataFrame:

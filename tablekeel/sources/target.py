@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekeel.errors import SpecError
-from tablekeel.spec import LoadSpec
+from tablekeel.spec import LoadSpec, quoted
 
 # Built-in file formats whose dynamic partition overwrite is understood.
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
@@ -36,22 +36,27 @@ def target_state(spark: SparkSession, name: str) -> TargetState | None:
     """The target's catalog entry, or None when there is none yet."""
     if not spark.catalog.tableExists(name):
         return None
-    is_view = spark.catalog.getTable(name).tableType == "VIEW"
-    details = _table_details(spark, name)
+    described = [(r.col_name, r.data_type) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
+    details = dict(_section(described, "# Detailed Table Information"))
+    partitioning = _section(described, "# Partition Information")
     return TargetState(
         name=name,
-        is_view=is_view,
+        is_view=details.get("Type") == "VIEW",
         provider=details.get("Provider", "").lower(),
         storage_properties=details.get("Storage Properties", ""),
-        partition_columns=tuple(c.name for c in spark.catalog.listColumns(name) if c.isPartition),
+        partition_columns=tuple(column for column, _ in partitioning if column != "# col_name"),
         schema=spark.table(name).schema,
     )
 
 
-def _table_details(spark: SparkSession, name: str) -> dict[str, str]:
-    rows = [(r.col_name, r.data_type) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
-    start = [i for i, (label, _) in enumerate(rows) if label == "# Detailed Table Information"]
-    return dict(rows[start[-1] + 1 :]) if start else {}
+def _section(described: list[tuple[str, str]], heading: str) -> list[tuple[str, str]]:
+    """The rows of a table description below a heading, up to the next blank row."""
+    below = [i for i, (label, text) in enumerate(described) if label == heading and not text]
+    if not below:
+        return []
+    rest = described[below[-1] + 1 :]
+    blank = [i for i, (label, _) in enumerate(rest) if not label]
+    return rest[: blank[0]] if blank else rest
 
 
 def check_target_kind(spec: LoadSpec, state: TargetState | None) -> None:
@@ -80,7 +85,10 @@ def check_target_kind(spec: LoadSpec, state: TargetState | None) -> None:
 
 def key_in(key: str, key_type: T.DataType, values: Sequence[str]) -> Column:
     """``key IN (values)`` with literals of the key's own type, so that it prunes partitions."""
-    return F.col(_quoted(key)).isin([F.lit(v).cast(key_type) for v in values])
+    texts = ["'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values]
+    if isinstance(key_type, T.DateType):
+        texts = [f"DATE {text}" for text in texts]
+    return F.expr(f"{quoted(key)} IN ({', '.join(texts)})")
 
 
 def target_partitions(spark: SparkSession, name: str, key: str, values: Sequence[str]) -> DataFrame:
@@ -88,6 +96,3 @@ def target_partitions(spark: SparkSession, name: str, key: str, values: Sequence
     table = spark.table(name)
     return table.where(key_in(key, table.schema[key].dataType, values))
 
-
-def _quoted(column: str) -> str:
-    return "`" + column.replace("`", "``") + "`"

@@ -1,0 +1,193 @@
+"""Date requests, default windows and spines."""
+
+from datetime import date, datetime, timedelta, timezone
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tablekeel import plan_load
+from tablekeel.operators.spine import expected_partitions, plan_loads
+from tests.helpers import day_spec, month_spec
+
+REQUEST = "partition_type string, processing_strategy string, target_date string, run_date date"
+
+
+def windows(spark, requests):
+    rows = plan_loads(spark.createDataFrame(requests, "i int, " + REQUEST)).collect()
+    return [(r.start_date, r.end_date, r.error) for r in sorted(rows, key=lambda r: r.i)]
+
+
+def asked(spark, kind, *texts):
+    return windows(spark, [(i, kind, None, text, None) for i, text in enumerate(texts)])
+
+
+def test_valid_days(spark):
+    texts = ["2024-02-29", "2024-01-01,2024-01-01", " 2024-01-01 ,\t2024-03-02\n"]
+    assert asked(spark, "day", *texts) == [
+        (date(2024, 2, 29), date(2024, 2, 29), None),
+        (date(2024, 1, 1), date(2024, 1, 1), None),
+        (date(2024, 1, 1), date(2024, 3, 2), None),
+    ]
+
+
+def test_valid_months(spark):
+    texts = ["2024-02", "2023-02", "2023-11,2023-12", "2023-12 , 2024-02"]
+    assert asked(spark, "month", *texts) == [
+        (date(2024, 2, 1), date(2024, 2, 29), None),
+        (date(2023, 2, 1), date(2023, 2, 28), None),
+        (date(2023, 11, 1), date(2023, 12, 31), None),
+        (date(2023, 12, 1), date(2024, 2, 29), None),
+    ]
+
+
+INVALID_DAYS = [
+    ("2023-02-29", "2023-02-29"),
+    ("2024-2-1", "2024-2-1"),
+    ("2024-01", "2024-01"),
+    ("0000-01-01", "0000-01-01"),
+    ("2024-13-01", "2024-13-01"),
+    ("2024-01-015", "2024-01-015"),
+    ("2024-01-01\n", "2024-01-01"),
+    ("20240101", "20240101"),
+    ("x", "x"),
+    (" ", "valid day"),
+    (" 2024-01-01", "valid day"),
+    ("2024-01-01 ", "valid day"),
+    ("2024-01-02,2024-01-01", "after"),
+    ("2024-01-01,2024-01-02,2024-01-03", "comma"),
+    ("2024-01-01,", "valid day"),
+    (",2024-01-01", "valid day"),
+    (",", "valid day"),
+    ("2024-01-01,2024-02-30", "2024-02-30"),
+    ("2024-01-01,2024-02", "2024-02"),
+]
+
+
+def test_invalid_days_name_the_value(spark):
+    found = asked(spark, "day", *[text for text, _ in INVALID_DAYS])
+    for (text, part), (start, end, error) in zip(INVALID_DAYS, found):
+        assert (start, end) == (None, None), text
+        assert part in error, text
+
+
+@pytest.mark.parametrize("text", ["2024-01-01", "2024-13", "2024-00", "24-01", "2024-1", "2024-03,2024-02", " 2024-01"])
+def test_invalid_months(spark, text):
+    ((start, end, error),) = asked(spark, "month", text)
+    assert start is None and end is None and error
+
+
+def test_other_partition_types_take_no_request(spark):
+    for kind in ("full", "week", None):
+        ((start, end, error),) = asked(spark, kind, "2024-01-01")
+        assert start is None and "day or month" in error
+
+
+# run date -> previous day, first day of its month, first day of the month before
+CLOCK = [
+    (date(2024, 1, 1), date(2023, 12, 31), date(2023, 12, 1), date(2023, 11, 1)),
+    (date(2024, 1, 2), date(2024, 1, 1), date(2024, 1, 1), date(2023, 12, 1)),
+    (date(2024, 3, 1), date(2024, 2, 29), date(2024, 2, 1), date(2024, 1, 1)),
+    (date(2023, 3, 1), date(2023, 2, 28), date(2023, 2, 1), date(2023, 1, 1)),
+    (date(2024, 3, 31), date(2024, 3, 30), date(2024, 3, 1), date(2024, 2, 1)),
+    (date(2024, 5, 31), date(2024, 5, 30), date(2024, 5, 1), date(2024, 4, 1)),
+]
+
+
+def test_strategies(spark):
+    requests, wanted = [], []
+    for run, previous, this_month, last_month in CLOCK:
+        for kind, strategy, start in (
+            ("day", "single_day", previous),
+            ("day", "last_and_current_month", last_month),
+            ("month", "single_month", this_month),
+        ):
+            for no_request in (None, ""):
+                requests.append((len(requests), kind, strategy, no_request, run))
+                wanted.append((start, previous, None))
+    assert windows(spark, requests) == wanted
+
+
+@pytest.mark.parametrize(
+    "kind, strategy",
+    [("full", "full"), ("full", "view"), ("day", "single_month"), ("month", "single_day"), ("day", None), (None, None)],
+)
+def test_no_default_range(spark, kind, strategy):
+    ((start, end, error),) = windows(spark, [(0, kind, strategy, None, date(2024, 1, 1))])
+    assert start is None and end is None and "no date range" in error
+
+
+def test_request_wins_over_strategy(spark):
+    (found,) = windows(spark, [(0, "day", "last_and_current_month", "2020-05-05", date(2024, 1, 1))])
+    assert found == (date(2020, 5, 5), date(2020, 5, 5), None)
+
+
+def test_plan_fills_the_query_with_days(spark):
+    plan = plan_load(spark, day_spec("s", "x"), "2024-02-28,2024-03-01")
+    assert plan.partitions == ("2024-02-28", "2024-02-29", "2024-03-01")
+    assert plan.query == "SELECT * FROM x WHERE d IN ('2024-02-28', '2024-02-29', '2024-03-01')"
+
+
+def test_month_plan_filters_by_days_and_targets_months(spark):
+    query = "SELECT '{x}' AS braces, m FROM x WHERE d IN ({target_date_list}) OR e IN ({target_date_list})"
+    plan = plan_load(spark, month_spec("s", query), "2023-12,2024-02")
+    assert plan.partitions == ("2023-12", "2024-01", "2024-02")
+    assert plan.query.count("'2023-12-01', ") == 2 and plan.query.count("'2024-02-29'") == 2
+    assert "'{x}'" in plan.query and "target_date_list" not in plan.query
+
+
+def test_month_to_date_on_the_second_is_one_day_of_one_month(spark):
+    plan = plan_load(spark, month_spec("s", "SELECT ({target_date_list})"), now=date(2024, 5, 2))
+    assert (plan.start_date, plan.end_date) == (date(2024, 5, 1), date(2024, 5, 1))
+    assert plan.partitions == ("2024-05",)
+    assert plan.query == "SELECT ('2024-05-01')"
+
+
+def test_now_is_taken_in_utc(spark):
+    late = datetime(2024, 1, 1, 23, 30, tzinfo=timezone(timedelta(hours=-5)))
+    assert plan_load(spark, day_spec("s", "x"), now=late).partitions == ("2024-01-01",)
+    assert plan_load(spark, day_spec("s", "x"), now=late.replace(tzinfo=None)).partitions == ("2023-12-31",)
+    yesterday = datetime.now(timezone.utc).date() - timedelta(days=1)
+    assert plan_load(spark, day_spec("s", "x")).end_date - yesterday <= timedelta(days=1)
+
+
+def test_bad_request_stops_the_plan(spark):
+    with pytest.raises(ValueError, match="2024-02-30"):
+        plan_load(spark, day_spec("s", "x"), "2024-02-30")
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.dates(date(1990, 1, 1), date(2040, 12, 31)), st.integers(0, 800)), min_size=1, max_size=20))
+def test_spines_match_the_calendar(spark, spans):
+    rows = [(i, start, start + timedelta(days=n)) for i, (start, n) in enumerate(spans)]
+    df = spark.createDataFrame(rows, "i int, start_date date, end_date date")
+    found = {kind: {} for kind in ("day", "month")}
+    for kind, by_window in found.items():
+        for r in expected_partitions(df, kind).collect():
+            by_window.setdefault(r.i, []).append(r.partition_value)
+    for i, start, end in rows:
+        days = [str(start + timedelta(days=k)) for k in range((end - start).days + 1)]
+        assert found["day"][i] == days
+        assert found["month"][i] == sorted({d[:7] for d in days})
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="0123456789-, x", max_size=22), min_size=1, max_size=60))
+def test_parsing_matches_python(spark, texts):
+    def parse(text):
+        if text.count(",") > 1:
+            return None
+        parts = [p.strip() for p in text.split(",")] if "," in text else [text, text]
+        days = []
+        for part in parts:
+            try:
+                days.append(datetime.strptime(part, "%Y-%m-%d").date() if len(part) == 10 else None)
+            except ValueError:
+                days.append(None)
+            if days[-1] is not None and str(days[-1]) != part:
+                days[-1] = None
+        return tuple(days) if None not in days and days[0] <= days[1] else None
+
+    for text, (start, end, error) in zip(texts, asked(spark, "day", *texts)):
+        if text:
+            assert ((start, end) if error is None else None) == parse(text), text
