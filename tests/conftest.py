@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         .config("spark.checkpoint.dir", str(root / "checkpoint"))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")

@@ -56,3 +56,8 @@ def rows_of(df):
 
 def report_of(df):
     return [tuple(r) for r in df.orderBy("partition_value").collect()]
+
+
+def tables_of(spark, schema):
+    """Names of the tables and views in a schema, leaving out temporary views."""
+    return sorted(t.name for t in spark.catalog.listTables(schema) if not t.isTemporary)

@@ -6,7 +6,7 @@ from datetime import date, datetime
 import pytest
 
 from tablekeel import DataQualityError, SourceError, SpecError, run_load
-from tests.helpers import DAYS, database, day_spec, days_of, full_spec, month_spec, report_of, rows_of, source
+from tests.helpers import DAYS, database, day_spec, days_of, full_spec, month_spec, report_of, rows_of, source, tables_of
 
 RANGE = f"{DAYS[0]},{DAYS[-1]}"
 
@@ -46,7 +46,7 @@ def test_no_rows_full(spark):
     spec = full_spec(schema, "SELECT 1 AS a")
     run_load(spark, spec)
     refused(spark, full_spec(schema, "SELECT 1 AS a WHERE false"), None, "no rows")
-    assert spark.catalog.listTables(schema)[0].name == "t" and len(spark.catalog.listTables(schema)) == 1
+    assert tables_of(spark, schema) == ["t"]
 
 
 @pytest.mark.parametrize("staged", [False, True])
@@ -139,16 +139,16 @@ def test_error_at_run_time(spark, loaded, staged):
 
 def test_error_at_run_time_in_full_and_view(spark):
     schema = database(spark)
-    run_load(spark, full_spec(schema, "SELECT 1 AS a"))
+    run_load(spark, full_spec(schema, "SELECT 1L AS a"))
     broken = "SELECT IF(id < 5, id, raise_error('boom')) AS a FROM range(10)"
     for strategy, table in (("full", "t"), ("view", "w")):
         spec = full_spec(schema, f"SELECT a FROM ({broken}) WHERE a >= 0", strategy, table=table)
         with pytest.raises(SourceError, match="boom"):
             run_load(spark, spec)
-    assert [t.name for t in spark.catalog.listTables(schema)] == ["t"]
+    assert tables_of(spark, schema) == ["t"]
     assert spark.table(f"{schema}.t").collect()[0].a == 1
 
 
-@pytest.mark.parametrize("target_date", ["2024-02-30", "2024-01", 5])
-def test_bad_target_date(spark, loaded, target_date):
-    refused(spark, day_spec(loaded, source(spark, days_of(1))), target_date, "", SpecError)
+@pytest.mark.parametrize("target_date, match", [("2024-02-30", "2024-02-30"), ("2024-01", "2024-01"), (5, "text")])
+def test_bad_target_date(spark, loaded, target_date, match):
+    refused(spark, day_spec(loaded, source(spark, days_of(1))), target_date, match, SpecError)

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tablekeel import SpecError, VerificationError, plan_load, preview_rows, run_load
-from tests.helpers import DAYS, database, day_spec, days_of, full_spec, month_spec, report_of, rows_of, source
+from tests.helpers import DAYS, database, day_spec, days_of, full_spec, month_spec, report_of, rows_of, source, tables_of
 
 RANGE = f"{DAYS[0]},{DAYS[-1]}"
 
@@ -104,7 +104,7 @@ def test_dry_run_writes_nothing(spark, staged):
     spec = day_spec(schema, source(spark, days_of(2)))
     report = run_load(spark, spec, f"{DAYS[3]},2024-01-05", dry_run=True, staged_source=staged)
     assert report_of(report) == [(DAYS[3], 2, 0, 0, "would_write"), ("2024-01-05", 0, 0, 0, "missing")]
-    assert spark.catalog.listTables(schema) == []
+    assert tables_of(spark, schema) == []
     run_load(spark, spec, RANGE)
     before = rows_of(spark.table(spec.target))
     report = run_load(spark, day_spec(schema, source(spark, days_of(1))), RANGE, dry_run=True)
@@ -121,7 +121,7 @@ def test_dry_run_of_month_full_and_view(spark):
     assert report_of(run_load(spark, full, dry_run=True)) == [(None, 8, 0, 0, "would_write")]
     as_view = full_spec(schema, "SELECT 1 AS a", "view")
     assert report_of(run_load(spark, as_view, dry_run=True)) == [(None, 1, None, None, "would_write")]
-    assert spark.catalog.listTables(schema) == []
+    assert tables_of(spark, schema) == []
 
 
 def test_preview_rows(spark):
@@ -165,8 +165,8 @@ def test_staging_leaves_nothing_behind(spark):
     schema = database(spark)
     spec = day_spec(schema, source(spark, days_of(2)))
     run_load(spark, spec, RANGE, staged_source=True)
-    assert [t.name for t in spark.catalog.listTables(schema)] == ["t"]
-    assert spark.catalog.listTables("tablekeel_stage") == []
+    assert tables_of(spark, schema) == ["t"]
+    assert tables_of(spark, "tablekeel_stage") == []
     assert os.listdir(spark.conf.get("spark.checkpoint.dir") + "/tablekeel_stage") == []
 
 

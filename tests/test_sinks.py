@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tablekeel import SpecError, compact_partitions, run_load
 from tablekeel.sinks.layout import spread_for_write
-from tests.helpers import DAYS, database, day_spec, days_of, full_spec, report_of, rows_of, source
+from tests.helpers import DAYS, database, day_spec, days_of, full_spec, report_of, rows_of, source, tables_of
 
 RANGE = f"{DAYS[0]},{DAYS[-1]}"
 
@@ -91,7 +91,7 @@ def test_full_replaces_everything(spark):
     report = run_load(spark, full_spec(schema, "SELECT id FROM range(2, 4)"))
     assert report_of(report) == [(None, 2, 5, 2, "written")]
     assert rows_of(spark.table(f"{schema}.t")) == [(2,), (3,)]
-    assert [t.name for t in spark.catalog.listTables(schema)] == ["t"]
+    assert tables_of(spark, schema) == ["t"]
 
 
 def test_full_keeps_the_union_of_columns(spark):
@@ -154,7 +154,7 @@ def test_odd_names(spark):
     schema = database(spark)
     view = source(spark, days_of(1))
     query = f"SELECT id AS `a b`, d AS `the day` FROM {view} WHERE d IN ({{target_date_list}})"
-    spec = day_spec(schema, view, query, table="odd-name", partition_column="the day")
+    spec = day_spec(schema, view, query, table="odd_name", partition_column="the day")
     run_load(spark, spec, RANGE)
     run_load(spark, spec, DAYS[0], compact=True)
     assert spark.table(spec.target).count() == 4
