@@ -59,14 +59,19 @@ def partition_ledger(
 ) -> DataFrame:
     """Everything the guards compare: one row per partition value seen anywhere.
 
-    ``partition_value, is_expected, rows_read, rows_before``. The spine, the source
-    keys and the target keys are stacked and aggregated once. That answers what
-    three joins against the spine would, with a single pass over the source, one
-    shuffle of per-key counts and nothing broadcast; NULL keys form a row too.
+    ``partition_value, is_expected, rows_read, rows_before``. Source and target are
+    counted per key, each in one fused scan-and-count stage; the counts and the spine
+    are then stacked and summed up. That answers what three joins against the spine
+    would, with a single pass over the source and nothing broadcast; NULL keys form a
+    row too.
     """
-    sides = [_marked(spine, "partition_value", F.lit(True), 0, 0), _marked(source, key, F.lit(False), 1, 0)]
+    none = F.lit(0).cast("bigint")
+    sides = [
+        _entry(spine, F.lit(True), none, none),
+        _entry(partition_counts(source, key), F.lit(False), F.col("row_count"), none),
+    ]
     if target is not None:
-        sides.append(_marked(target, key, F.lit(False), 0, 1))
+        sides.append(_entry(partition_counts(target, key), F.lit(False), none, F.col("row_count")))
     return (
         reduce(DataFrame.unionByName, sides)
         .groupBy("partition_value")
@@ -78,12 +83,12 @@ def partition_ledger(
     )
 
 
-def _marked(df: DataFrame, key: str, is_expected: Column, rows_read: int, rows_before: int) -> DataFrame:
+def _entry(df: DataFrame, is_expected: Column, rows_read: Column, rows_before: Column) -> DataFrame:
     return df.select(
-        F.col(key).cast("string").alias("partition_value"),
+        "partition_value",
         is_expected.alias("is_expected"),
-        F.lit(rows_read).cast("bigint").alias("rows_read"),
-        F.lit(rows_before).cast("bigint").alias("rows_before"),
+        rows_read.alias("rows_read"),
+        rows_before.alias("rows_before"),
     )
 
 
@@ -113,15 +118,18 @@ def reconcile_partitions(
 ) -> DataFrame:
     """Source and target row counts side by side, for every partition either of them has.
 
-    As in :func:`partition_ledger`, stacking and one aggregation stand in for a full
-    outer join of two aggregates.
+    As in :func:`partition_ledger`, stacked counts stand in for a full outer join.
     """
-    no_marker = F.lit(False)
-    stacked = _marked(source, source_key, no_marker, 1, 0).unionByName(
-        _marked(target, target_key, no_marker, 0, 1)
+    none = F.lit(0).cast("bigint")
+    read = partition_counts(source, source_key).select(
+        "partition_value", F.col("row_count").alias("source_rows"), none.alias("target_rows")
+    )
+    held = partition_counts(target, target_key).select(
+        "partition_value", none.alias("source_rows"), F.col("row_count").alias("target_rows")
     )
     return (
-        stacked.groupBy("partition_value")
-        .agg(F.sum("rows_read").alias("source_rows"), F.sum("rows_before").alias("target_rows"))
+        read.unionByName(held)
+        .groupBy("partition_value")
+        .agg(F.sum("source_rows").alias("source_rows"), F.sum("target_rows").alias("target_rows"))
         .withColumn("is_match", F.col("source_rows") == F.col("target_rows"))
     )

@@ -61,7 +61,7 @@ def test_loading_twice_is_loading_once(spark):
     assert report_of(report) == [(d, 4, 4, 4, "written") for d in DAYS]
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.sets(st.integers(1, 3)))
 def test_any_split_of_a_range_gives_the_same_table(spark, cuts):
     schema = database(spark)
@@ -229,7 +229,7 @@ def test_full_takes_no_target_date(spark):
             run_load(spark, full_spec("default", "SELECT 1 AS a", strategy), "2024-01-01")
 
 
-def test_plan_reads_only_key_and_filter_columns_for_the_check(spark):
+def test_plan_reads_only_key_and_filter_columns_for_the_check(spark, capsys):
     from tablekeel.operators.quality import partition_ledger
     from tablekeel.operators.spine import listed_partitions
     from tablekeel.sources.extract import extract
@@ -237,8 +237,8 @@ def test_plan_reads_only_key_and_filter_columns_for_the_check(spark):
 
     plan = plan_load(spark, daily_events("/root/testdata/sf0.001"), "2024-01-10,2024-01-12")
     ledger = partition_ledger(listed_partitions(spark, plan.partitions), extract(spark, plan.query), "event_day")
-    text = ledger._jdf.queryExecution().toString()
-    physical = text[text.index("== Physical Plan ==") :]
+    ledger.explain("formatted")
+    physical = capsys.readouterr().out
     assert "ReadSchema: struct<ts:timestamp_ntz>" in physical
     assert "GreaterThanOrEqual(ts,2024-01-10T00:00)" in physical and "LessThan(ts,2024-01-13T00:00)" in physical
-    assert physical.count("Exchange") == 1 and "Join" not in physical
+    assert "Join" not in physical and "Broadcast" not in physical
