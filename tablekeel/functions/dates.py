@@ -28,7 +28,7 @@ def parse_period(partition_type: Column, text: Column) -> Column:
     NULL when the shape is wrong for the partition type or there is no such day.
     """
     day_text = F.concat(text, F.when(partition_type == "month", "-01").otherwise(""))
-    return F.when(day_text.rlike(DAY_SHAPE), F.try_to_date(day_text, "yyyy-MM-dd"))
+    return F.when(day_text.rlike(DAY_SHAPE), day_text.try_cast("date"))
 
 
 def period_end(partition_type: Column, first_day: Column) -> Column:
