@@ -81,7 +81,7 @@ def run_load(
     now: date | datetime | None = None,
     *,
     staged_source: bool = False,
-    rebalance: bool = True,
+    rebalance: bool | None = None,
     compact: bool = False,
 ) -> DataFrame:
     """Load or reload one target and report row counts per partition.
@@ -93,9 +93,10 @@ def run_load(
     A partitioned load runs its query twice: once for the key column alone, to check,
     and once to write. ``staged_source`` runs it once and keeps the rows in a table
     meanwhile, which pays when the query aggregates or joins far more data than it
-    returns, or is not repeatable. ``rebalance=False`` saves the shuffle before the
-    write, for queries whose tasks already hold one partition value each. ``compact``
-    merges small files in the loaded partitions afterwards.
+    returns, or is not repeatable. ``rebalance`` shuffles rows into well-filled files
+    before the write; partitioned loads do so unless told otherwise, as for queries
+    whose tasks already hold one partition value each. ``compact`` merges small files
+    in the loaded partitions afterwards, and rebalances a whole-table load.
 
     Returns ``partition_value, rows_read, rows_before, rows_after, status``: a row per
     expected partition, or a single one with no partition value for a whole-table load.
@@ -105,7 +106,8 @@ def run_load(
     if spec.is_view:
         return _load_view(spark, spec, dry_run)
     if not spec.is_partitioned:
-        return _load_full(spark, spec, state, dry_run, rebalance)
+        return _load_full(spark, spec, state, dry_run, compact if rebalance is None else rebalance)
+    rebalance = rebalance is not False
     plan = plan_load(spark, spec, target_date, now)
     source = _partitioned_source(spark, spec, plan, state)
     rows_of = staged(spark, source, spec, rebalance) if staged_source else nullcontext(source)
@@ -144,6 +146,8 @@ def _open_target(spark: SparkSession, spec: LoadSpec, target_date: str | None) -
     if target_date is not None and not isinstance(target_date, str):
         raise SpecError(f"target_date must be text, got {type(target_date).__name__}")
     spec.check_target_date(target_date)
+    if not spark.catalog.databaseExists(spec.target_schema):
+        raise SpecError(f"target schema {spec.target_schema} does not exist")
     state = target_state(spark, spec.target)
     check_target_kind(spec, state)
     return state

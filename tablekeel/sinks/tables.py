@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,7 @@ from tablekeel.sinks.layout import (
     spread_for_write,
 )
 from tablekeel.sources.extract import source_errors
-from tablekeel.sources.target import FILE_FORMATS, TargetState, target_partitions, target_state
+from tablekeel.sources.target import FILE_FORMATS, TargetState, key_in, target_partitions, target_state
 from tablekeel.spec import LoadSpec, quoted
 
 DYNAMIC_OVERWRITE = "partitionOverwriteMode"
@@ -67,7 +67,7 @@ def _overwrite_partitions(spark: SparkSession, df: DataFrame, name: str, state:
 
 
 def replace_table(
-    spark: SparkSession, source: DataFrame, spec: LoadSpec, state: TargetState | None, rebalance: bool = True
+    spark: SparkSession, source: DataFrame, spec: LoadSpec, state: TargetState | None, rebalance: bool
 ) -> int:
     """Replace the whole target with the query's rows and return their number.
 
@@ -171,18 +171,29 @@ def compact_partitions(
     if state is None or state.is_view or state.partition_columns != (key,) or state.provider not in FILE_FORMATS:
         raise SpecError(f"{name} is no table partitioned by {key}")
     found = small_file_partitions(spark, name, key, values, file_bytes).collect()
-    files_needed = {r.partition_value: r.files_needed for r in found}
-    if files_needed:
-        rows = target_partitions(spark, name, key, list(files_needed))
+    chosen = sorted(r.partition_value for r in found)
+    if chosen:
+        rows = target_partitions(spark, name, key, chosen)
         before = rows.count()
-        salts = F.create_map(*[F.lit(x) for pair in files_needed.items() for x in pair])
         packed = (
-            rows.withColumn("tablekeel_salt", F.spark_partition_id() % salts[F.col(quoted(key)).cast("string")])
-            .repartition(sum(files_needed.values()), quoted(key), "tablekeel_salt")
+            rows.withColumn("tablekeel_salt", F.spark_partition_id() % _files_for(found, key, rows))
+            .repartition(sum(r.files_needed for r in found), quoted(key), "tablekeel_salt")
             .drop("tablekeel_salt")
         )
         _overwrite_partitions(spark, packed, name, state)
-        after = target_partitions(spark, name, key, list(files_needed)).count()
+        after = target_partitions(spark, name, key, chosen).count()
         if before != after:
             raise VerificationError(f"compaction of {name} found {before} rows and left {after}")
-    return sorted(files_needed)
+    return chosen
+
+
+def _files_for(found: list[Row], key: str, rows: DataFrame) -> Column:
+    """The number of files of the row's partition; nearly all partitions share a few numbers."""
+    by_number: dict[int, list[str]] = {}
+    for r in found:
+        by_number.setdefault(r.files_needed, []).append(r.partition_value)
+    number = F.lit(1)
+    for files, values in by_number.items():
+        if files > 1:
+            number = F.when(key_in(key, rows.schema[key].dataType, values), files).otherwise(number)
+    return number

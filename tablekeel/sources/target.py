@@ -38,14 +38,16 @@ def target_state(spark: SparkSession, name: str) -> TargetState | None:
         return None
     described = [(r.col_name, r.data_type) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
     details = dict(_section(described, "# Detailed Table Information"))
+    is_view = details.get("Type") == "VIEW"
     partitioning = _section(described, "# Partition Information")
     return TargetState(
         name=name,
-        is_view=details.get("Type") == "VIEW",
+        is_view=is_view,
         provider=details.get("Provider", "").lower(),
         storage_properties=details.get("Storage Properties", ""),
         partition_columns=tuple(column for column, _ in partitioning if column != "# col_name"),
-        schema=spark.table(name).schema,
+        # A view is replaced whatever its columns, even one that no longer resolves.
+        schema=T.StructType() if is_view else spark.table(name).schema,
     )
 
 

@@ -123,8 +123,12 @@ class LoadSpec:
 
     def sibling(self, table: str) -> str:
         """The quoted name of another table in the target's schema."""
-        parts = [self.catalog, self.schema, table] if self.catalog else [self.schema, table]
-        return ".".join(quoted(part) for part in parts)
+        return f"{self.target_schema}.{quoted(table)}"
+
+    @property
+    def target_schema(self) -> str:
+        """The quoted name of the target's schema."""
+        return ".".join(quoted(part) for part in (self.catalog, self.schema) if part)
 
 
 def quoted(name: str) -> str:

@@ -132,6 +132,30 @@ def test_view(spark, caplog):
     assert spark.catalog.getTable(f"{schema}.t").tableType == "VIEW"
 
 
+def test_view_that_no_longer_resolves_can_be_replaced(spark):
+    schema = database(spark)
+    run_load(spark, full_spec(schema, "SELECT 1 AS a", table="base"))
+    run_load(spark, full_spec(schema, f"SELECT a FROM {schema}.base", "view"))
+    spark.sql(f"DROP TABLE {schema}.base")
+    run_load(spark, full_spec(schema, "SELECT 2 AS a", "view"))
+    assert rows_of(spark.table(f"{schema}.t")) == [(2,)]
+
+
+def test_full_may_be_rebalanced(spark):
+    schema = database(spark)
+    many = "SELECT /*+ REPARTITION(6) */ id FROM range(100)"
+    for options, files in (({}, 6), ({"compact": True}, 1), ({"rebalance": True}, 1)):
+        run_load(spark, full_spec(schema, many), **options)
+        table = spark.table(f"{schema}.t")
+        assert table.count() == 100
+        assert table.select("_metadata.file_path").distinct().count() == files
+
+
+def test_schema_must_exist(spark):
+    with pytest.raises(SpecError, match="no_such_schema.*does not exist"):
+        run_load(spark, full_spec("no_such_schema", "SELECT 1 AS a"))
+
+
 def test_tables_and_views_do_not_replace_each_other(spark):
     schema = database(spark)
     view = source(spark, days_of(1))
@@ -186,7 +210,9 @@ def test_compaction_gives_a_large_partition_several_files(spark):
     total = sum(r.file_size for r in size.collect())
     compact_partitions(spark, spec.target, "d", DAYS[:1], file_bytes=total // 2 + 1)
     assert 1 <= files_per_day(spark, spec.target)[DAYS[0]] <= 2
-    assert spark.table(spec.target).count() == 40_000
+    compact_partitions(spark, spec.target, "d", DAYS, file_bytes=total)
+    assert max(files_per_day(spark, spec.target).values()) <= 2
+    assert rows_of(spark.table(spec.target).select("id")) == rows_of(spark.range(40_000).selectExpr("CAST(id AS INT)"))
 
 
 def test_compaction_with_the_load(spark):
