@@ -122,8 +122,8 @@ def staged(spark: SparkSession, df: DataFrame, spec: LoadSpec, rebalance: bool =
     table = f"{spec.table}__stage_{uuid.uuid4().hex[:12]}"
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
-        schema = "tablekeel_stage"
-        location = f"{folder.rstrip('/')}/{schema}".replace("'", "\\'")
+        schema = "spark_catalog.tablekeel_stage"
+        location = f"{folder.rstrip('/')}/tablekeel_stage".replace("'", "\\'")
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{location}'")
         name = f"{schema}.{quoted(table)}"
     else:
