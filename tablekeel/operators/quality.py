@@ -12,13 +12,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablekeel.spec import quoted
+
 
 def partition_counts(df: DataFrame, key: str) -> DataFrame:
     """Rows per partition. Order the result by ``partition_value`` where it is shown."""
+    column = F.col(quoted(key))
     return (
-        df.groupBy(F.col(key))
+        df.groupBy(column)
         .agg(F.count("*").alias("row_count"))
-        .select(F.col(key).cast("string").alias("partition_value"), "row_count")
+        .select(column.cast("string").alias("partition_value"), "row_count")
     )
 
 
@@ -29,7 +32,7 @@ def total_rows(df: DataFrame) -> DataFrame:
 
 def distinct_partitions(df: DataFrame, key: str) -> DataFrame:
     """The partition values present."""
-    return df.select(F.col(key).cast("string").alias("partition_value")).distinct()
+    return df.select(F.col(quoted(key)).cast("string").alias("partition_value")).distinct()
 
 
 def partition_bounds(df: DataFrame, key: str) -> DataFrame:

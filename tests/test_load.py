@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tablekeel import SpecError, VerificationError, plan_load, preview_rows, run_load
+from tablekeel import SourceError, SpecError, VerificationError, plan_load, preview_rows, run_load
 from tests.helpers import DAYS, database, day_spec, days_of, full_spec, month_spec, report_of, rows_of, source, tables_of
 
 RANGE = f"{DAYS[0]},{DAYS[-1]}"
@@ -194,6 +194,34 @@ def test_source_that_changes_between_check_and_write(spark, tmp_path):
     assert rows_of(spark.table(f"{schema}.t")) == before
 
 
+@pytest.mark.parametrize("exists", [False, True])
+def test_a_failed_write_can_be_repeated(spark, tmp_path, exists):
+    """The check passes, the write dies once; the next run finds nothing in its way."""
+    schema = database(spark)
+    if exists:
+        run_load(spark, day_spec(schema, source(spark, days_of(2))), RANGE)
+    checked, failed = str(tmp_path / "checked"), str(tmp_path / "failed")
+    failing = f"fail_{os.urandom(4).hex()}"
+
+    def fail_once(day):
+        if os.path.exists(checked) and not os.path.exists(failed):
+            open(failed, "w").close()
+            raise RuntimeError("task lost")
+        open(checked, "w").close()
+        return day
+
+    spark.udf.register(failing, fail_once, "string")
+    view = source(spark, [(1, 1.0, DAYS[0])])
+    spec = day_spec(schema, view, f"SELECT id, v, {failing}(d) AS d FROM {view} WHERE d IN ({{target_date_list}})")
+    with pytest.raises(SourceError, match="task lost"):
+        run_load(spark, spec, DAYS[0])
+    assert spark.catalog.tableExists(spec.target) == exists
+    if exists:
+        assert spark.table(spec.target).count() == 8
+    before = 2 if exists else 0
+    assert report_of(run_load(spark, spec, DAYS[0])) == [(DAYS[0], 1, before, 1, "written")]
+
+
 def test_rows_that_vanish_between_check_and_write(spark, tmp_path):
     marker = str(tmp_path / "counted")
     vanishing = f"vanish_{os.urandom(4).hex()}"

@@ -177,8 +177,8 @@ def test_tables_and_views_do_not_replace_each_other(spark):
 def test_odd_names(spark):
     schema = database(spark)
     view = source(spark, days_of(1))
-    query = f"SELECT id AS `a b`, d AS `the day` FROM {view} WHERE d IN ({{target_date_list}})"
-    spec = day_spec(schema, view, query, table="odd_name", partition_column="the day")
+    query = f"SELECT id AS `a b`, d AS `the.day` FROM {view} WHERE d IN ({{target_date_list}})"
+    spec = day_spec(schema, view, query, table="odd_name", partition_column="the.day")
     run_load(spark, spec, RANGE)
     run_load(spark, spec, DAYS[0], compact=True)
     assert spark.table(spec.target).count() == 4
