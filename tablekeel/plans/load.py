@@ -110,7 +110,9 @@ def run_load(
     rebalance = rebalance is not False
     plan = plan_load(spark, spec, target_date, now)
     source = _partitioned_source(spark, spec, plan, state)
-    rows_of = staged(spark, source, spec, rebalance) if staged_source else nullcontext(source)
+    rows_of = nullcontext(source)
+    if staged_source:
+        rows_of = staged(spark, source, spec, len(plan.partitions), rebalance)
     with rows_of as rows:
         checked = _check(spark, spec, plan, rows, state)
         if dry_run:

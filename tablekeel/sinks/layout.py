@@ -11,25 +11,33 @@ from tablekeel.sources.target import TargetState, key_in
 from tablekeel.spec import quoted
 
 
-def spread_for_write(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Give the writer a few well-filled files per partition value.
+# Shuffle partitions per partition value: with four, few values share one and get split together.
+# Beyond 2000 Spark keeps only average sizes of shuffle blocks, and can split less exactly.
+SHUFFLE_PARTITIONS_PER_VALUE = 4
+MOST_SHUFFLE_PARTITIONS = 2000
+
+
+def spread_for_write(df: DataFrame, key: str | None = None, values: int = 1) -> DataFrame:
+    """Give the writer a few well-filled files for each of the key's (number of) values.
 
     Rebalancing shuffles by the key, joins up small partitions and splits large ones
     at ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, from the sizes actually
     written. A key that holds a third of all rows becomes many tasks, not one.
     """
     spark = df.sparkSession
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if spark.conf.get("spark.sql.adaptive.enabled") == "true":
-        return df.hint("rebalance", F.col(quoted(key))) if key else df.hint("rebalance")
+        if not key:
+            return df.hint("rebalance")
+        wanted = min(values * SHUFFLE_PARTITIONS_PER_VALUE, MOST_SHUFFLE_PARTITIONS)
+        return df.hint("rebalance", max(usual, wanted), F.col(quoted(key)))
     if not key:
         return df
     # Without adaptive execution the hint does nothing, so the key is salted by the task
     # that read the row: bounded per task, and the same again if that task is retried.
-    salt = quoted("tablekeel_salt")
-    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return (
-        df.withColumn("tablekeel_salt", F.spark_partition_id() % salts)
-        .repartition(F.col(quoted(key)), F.col(salt))
+        df.withColumn("tablekeel_salt", F.spark_partition_id() % usual)
+        .repartition(F.col(quoted(key)), F.col("tablekeel_salt"))
         .drop("tablekeel_salt")
     )
 

@@ -38,15 +38,13 @@ def publish_partitions(
     rows = only_expected_keys(checked.frame, checked.key, checked.expected)
     if state is None:
         check_typed(list(rows.schema))
-        _create_partitioned(_spread(rows, checked.key, rebalance), checked.key, name)
+        spread = spread_for_write(rows, checked.key, len(checked.expected)) if rebalance else rows
+        _create_partitioned(spread, checked.key, name)
         return
     fitted, added = fit_to_target(rows, state)
     add_columns(spark, name, added)
-    _overwrite_partitions(spark, _spread(fitted, state.partition_columns[0], rebalance), name, state)
-
-
-def _spread(df: DataFrame, key: str | None, rebalance: bool) -> DataFrame:
-    return spread_for_write(df, key) if rebalance else df
+    spread = spread_for_write(fitted, checked.key, len(checked.expected)) if rebalance else fitted
+    _overwrite_partitions(spark, spread, name, state)
 
 
 def _create_partitioned(df: DataFrame, key: str, name: str) -> None:
@@ -81,7 +79,7 @@ def replace_table(
     fresh_name = spec.sibling(fresh)
     try:
         with source_errors("the query could not be executed"):
-            writer = _spread(fitted, None, rebalance).write
+            writer = (spread_for_write(fitted) if rebalance else fitted).write
             writer.format(state.provider if state else "parquet").saveAsTable(fresh_name)
         rows = spark.table(fresh_name).count()
         if rows == 0:
@@ -113,9 +111,13 @@ def _rename(spark: SparkSession, spec: LoadSpec, table: str, new_table: str) ->
 
 
 @contextmanager
-def staged(spark: SparkSession, df: DataFrame, spec: LoadSpec, rebalance: bool = True) -> Iterator[DataFrame]:
+def staged(
+    spark: SparkSession, df: DataFrame, spec: LoadSpec, values: int, rebalance: bool = True
+) -> Iterator[DataFrame]:
     """The rows of a query, evaluated once and written down for the duration of a load.
 
+    ``values`` is the number of partition values they are expected to have.
+
     They go to the folder the cluster names in ``spark.checkpoint.dir``, or beside the
     target where there is none, so they outlive the executors that computed them.
     """
@@ -132,7 +134,8 @@ def staged(spark: SparkSession, df: DataFrame, spec: LoadSpec, rebalance: bool =
     df = df.drop(*[f.name for f in df.schema if isinstance(f.dataType, T.NullType)])
     try:
         with source_errors("the query could not be executed"):
-            _spread(df, spec.partition_column or None, rebalance).write.format("parquet").saveAsTable(name)
+            spread = spread_for_write(df, spec.partition_column, values) if rebalance else df
+            spread.write.format("parquet").saveAsTable(name)
         yield spark.table(name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
