@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,19 +20,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 MOST_BROADCAST_ROWS = 500_000
 
 
-def pick(df: DataFrame, **wanted: str) -> DataFrame:
-    """The wanted columns under new names, found by position.
+def position(df: DataFrame, name: str) -> int:
+    """Where the column stands: an exact match, otherwise a single match that ignores case."""
+    places = [i for i, c in enumerate(df.columns) if c == name]
+    places = places or [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
+    if len(places) != 1:
+        raise ValueError(f"column {name!r} is found {len(places)} times in {df.columns}")
+    return places[0]
 
-    Other columns may clash with the wanted ones in all but case, or with the new names:
-    an exact match wins, otherwise a single match that ignores case.
-    """
-    found = {}
-    for new, name in wanted.items():
-        places = [i for i, c in enumerate(df.columns) if c == name]
-        places = places or [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
-        if len(places) != 1:
-            raise ValueError(f"column {name!r} is found {len(places)} times in {df.columns}")
-        found[new] = places[0]
+
+def pick(df: DataFrame, **wanted: str) -> DataFrame:
+    """The wanted columns under new names, whatever other columns there are."""
+    found = {new: position(df, name) for new, name in wanted.items()}
     numbered = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
     return numbered.select(*[F.col(f"_{i}").alias(new) for new, i in found.items()])
 
@@ -64,6 +65,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers, for sessions whose executors do not have it installed."""
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parents[1]
+    name = f"{package.name}-{hash(context.applicationId) & 0xFFFFFF:06x}.zip"
+    if any(f.endswith(name) for f in context.listFiles):
+        return
+    folder = tempfile.mkdtemp(prefix="tablekeel-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/{name}", "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(f"{folder}/{name}")
+
+
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Marked for broadcast if it is counted to be small; as it is otherwise. Its rows must be narrow."""
     rows = df.count() if rows is None else rows
@@ -116,6 +132,11 @@ class WordHasher:
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all words, and for each text the number of words before it, for texts that lie one after another."""
+        starts, ends = self.words(data, offsets)
+        return self.hashes(data, starts, ends), np.searchsorted(starts, offsets)
+
+    def words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the words start and end; the end of a text ends a word."""
         gap = self.space[data]
         start = ~gap
         end = ~gap
@@ -124,7 +145,9 @@ class WordHasher:
         edges = offsets[(offsets > 0) & (offsets < len(data))]
         start[edges] |= ~gap[edges]
         end[edges - 1] |= ~gap[edges - 1]
-        starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
+        return np.flatnonzero(start), np.flatnonzero(end) + 1
+
+    def hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         out = np.empty(len(starts), dtype=np.uint64)
         at = 0
         while at < len(starts):  # windows of words within a bounded number of bytes
@@ -136,7 +159,7 @@ class WordHasher:
                 out[at] = self._long(data[first : ends[at]])
                 to = at + 1
             at = to
-        return mixed(out), np.searchsorted(starts, offsets)
+        return mixed(out)
 
     def _hash(self, part: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         sums = np.zeros(len(part) + 1, dtype=np.uint64)

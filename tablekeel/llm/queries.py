@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablekeel.llm.common import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -17,6 +19,7 @@ def query(function: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -27,3 +30,25 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tablekeel.llm.tokens import count_tokens
 
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op3_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablekeel.llm.language import identify_language
+
+    return identify_language(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablekeel.llm.quality import classify_quality
+
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_mixing_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablekeel.llm.mixing import mix_by_source
+
+    mixed = mix_by_source(table(spark, sf_dir, "documents"), [5, 2, 1])
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
