@@ -138,11 +138,12 @@ def learn_languages(
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
             for part in pieces(batch, "text"):
-                key, start = grams(*text_bytes(part.column("text")), bits)
-                for language in set(names := part.column("lang").to_pylist()):
-                    own = np.repeat(np.array([x == language for x in names]), np.diff(start))
-                    totals.setdefault(language, np.zeros(1 << bits, dtype=np.int64))
-                    totals[language] += np.bincount(key[own], minlength=1 << bits)
+                names = np.array(part.column("lang").to_pylist(), dtype=object)
+                for key, start in grams(*text_bytes(part.column("text")), bits):
+                    for language in set(names):
+                        own = np.repeat(names == language, np.diff(start))
+                        totals.setdefault(language, np.zeros(1 << bits, dtype=np.int64))
+                        totals[language] += np.bincount(key[own], minlength=1 << bits)
         for language, total in totals.items():
             used = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablekeel.llm.common import ship
+from tablekeel.llm.licenses import oracle as license_oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,3 +54,29 @@ def op1_mixing_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     mixed = mix_by_source(table(spark, sf_dir, "documents"), [5, 2, 1])
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op2_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablekeel.llm.dedup import Rule, near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), Rule(words=3, percent=85))
+
+
+@query
+def op5_packing_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablekeel.llm.mixing import words_in
+    from tablekeel.llm.packing import pack
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", words_in(F.col("text")).alias("n_tokens"))
+    return pack(docs, buckets=16, budget=32_768)
+
+
+@query
+def op4_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablekeel.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op4_license_digests"] = license_oracle()
