@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tablekeel.llm.common import WordHasher, cut, mixed, pick, pieces, small, text_bytes
 
 #: Classes of one side of a block comparison.
-BLOCK = 96
+BLOCK = 256
 ROWS_IN_BAND = 5
 #: Signature values that are compared before the posterior is looked at again.
 BATCH = 24
@@ -252,16 +252,18 @@ def _cells(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
     n_main = F.ceil((F.col("n_main") - 1) / BLOCK).cast("int")
     n_other = F.ceil(F.col("n_other") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("cls"), F.when(F.col("main"), n_main).otherwise(n_other)).cast("int")
-    rows = rows.select("band", "key", "cls", "comp", "main", n_main.alias("n_main"), n_other.alias("n_other"), block.alias("block"))
+    rows = rows.select(
+        "band", "key", "cls", "comp", "main", F.col("n_other").alias("others"), n_main.alias("n_main"), n_other.alias("n_other"), block.alias("block")
+    )
     upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     cell = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
     own = F.col("block")
     cross = F.when(F.col("main"), F.transform(upto(F.col("n_other")), lambda j: cell(0, own, j)))
     cross = cross.otherwise(F.transform(upto(F.col("n_main")), lambda i: cell(0, i, own)))
     among = F.transform(upto(F.col("n_other")), lambda j: cell(1, F.least(own, j), F.greatest(own, j)))
-    among = F.when(F.col("main"), F.array().cast("array<struct<kind:int,i:int,j:int>>")).otherwise(among)
+    alone = F.col("main") | (F.col("others") < 2)
+    among = F.when(alone, F.array().cast("array<struct<kind:int,i:int,j:int>>")).otherwise(among)
     rows = rows.withColumn("cell", F.explode(F.concat(cross, among)))
-    # A cell of others alone, with a single member, or of one side alone, has nothing to compare.
     rows = rows.select("band", "key", "cell", "cls", "comp", "main", "block")
     return rows.join(reps.select("cls", "sig", "n_shingles"), "cls")
 

@@ -11,6 +11,7 @@ then choose its documents.
 from __future__ import annotations
 
 from collections import deque
+from dataclasses import dataclass
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
@@ -154,8 +155,8 @@ def mix(
     size: str = "size",
     sources: str = "sources",
     total: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Per document how often it is taken, and per source its size, target and routed words.
+) -> Mix:
+    """How often to take each document, and what each source gets.
 
     docs: doc_id, size (words; null or negative: 0) and sources, an array of the sources a
     document belongs to (nulls in it are a source of their own; null or empty: the same as
@@ -175,15 +176,7 @@ def mix(
     in the shared folder. Reruns agree: order comes from hashes of seed, id and size.
     """
     spark = docs.sparkSession
-    rows = pick(docs, doc_id=doc_id, size=size, sources=sources).select(
-        "doc_id",
-        F.greatest(F.coalesce(F.col("size").cast("long"), F.lit(0)), F.lit(0)).cast("long").alias("size"),
-        F.when(F.size(F.coalesce("sources", F.array())) > 0, F.array_sort(F.array_distinct("sources")))
-        .otherwise(F.array(F.lit(None).cast("string")))
-        .alias("sources"),
-    )
-    place_of = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size")), 1)
-    rows = cut(rows.withColumn("place", place_of))
+    rows = cut(_placed(pick(docs, doc_id=doc_id, size=size, sources=sources), seed).drop("doc_id"))
     found = rows.groupBy("sources").agg(F.sum("size").alias("words")).take(MOST_PATTERNS + 1)
     if len(found) > MOST_PATTERNS:
         raise ValueError(f"more than {MOST_PATTERNS} membership patterns")
@@ -214,19 +207,47 @@ def mix(
         [(s, sizes[i], float(targets[i]), routed[i]) for i, s in enumerate(names)],
         "source string, source_size long, target double, routed long",
     )
-    taken = (F.col("repeats") * F.col("size")).alias("taken")
-    return _select(rows, plan).select("doc_id", "size", "sources", "repeats", taken), summary
+    return Mix(seed, plan, cut(_ends(rows.join(F.broadcast(plan), "sources"))), summary)
+
+
+def _placed(rows: DataFrame, seed: int) -> DataFrame:
+    """Rows of doc_id, size and sources, tidied, with each document's place in the seeded order of its pattern."""
+    sources = F.when(F.size(F.coalesce("sources", F.array())) > 0, F.array_sort(F.array_distinct("sources")))
+    rows = rows.withColumn("size", F.greatest(F.coalesce(F.col("size").cast("long"), F.lit(0)), F.lit(0)).cast("long"))
+    rows = rows.withColumn("sources", sources.otherwise(F.array(F.lit(None).cast("string"))))
+    return rows.withColumn("place", F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size")), 1))
+
+
+@dataclass
+class Mix:
+    """A plan that says of any document how often it is taken, by its pattern and its place in the seeded order.
+
+    summary has source, source_size, target (double) and routed (long); plan and ends have
+    a row per pattern.
+    """
+
+    seed: int
+    plan: DataFrame
+    ends: DataFrame
+    summary: DataFrame
+
+    def repeats(self, docs: DataFrame) -> DataFrame:
+        """docs (doc_id, size, sources and others) with repeats; no shuffle, as plan and ends are bounded."""
+        rows = _placed(docs, self.seed).join(F.broadcast(self.plan), "sources").join(F.broadcast(self.ends), "pattern", "left")
+        head = (F.col("place") <= F.col("end")) | F.array_contains("picked", F.col("place"))
+        more = F.coalesce(head & (F.col("rest") > 0), F.lit(False)).cast("long")
+        rows = rows.withColumn("repeats", F.when(F.col("size") > 0, F.col("times") + more).otherwise(0).cast("long"))
+        return rows.select(*docs.columns, "repeats")
 
 
-def _select(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Give each document its pattern's times, and one more to those at the head of the seeded order.
+def _ends(rows: DataFrame) -> DataFrame:
+    """Per pattern where the head of the seeded order ends that is taken once more, and which others are.
 
     The head ends where the sizes so far reach the pattern's rest. That place is found level
     by level: sums of 256 ranges of the hashes, then of 256 within the range where the rest
     is reached, then of the single hashes there, so that no task ever sorts a whole pattern.
-    plan has MOST_PATTERNS rows at most, and so have the tables of ends.
+    rows has a document's size and place, and its pattern's number and rest.
     """
-    rows = rows.join(F.broadcast(plan), "sources")
     high, low = F.shiftright("place", 55).cast("int"), F.shiftright("place", 47).bitwiseAND(_LEVEL - 1).cast("int")
     sums = rows.where((F.col("rest") > 0) & (F.col("size") > 0)).groupBy("pattern", "rest", high.alias("high"), low.alias("low"))
     sums = sums.agg(F.sum("size").alias("words"))
@@ -268,11 +289,7 @@ def _select(rows: DataFrame, plan: DataFrame) -> DataFrame:
             (F.col("left") - F.coalesce("best.words", F.lit(0))).alias("left"),
             F.when(F.col("best").isNull(), F.col("picked")).otherwise(F.concat("picked", F.array("best.place"))).alias("picked"),
         )
-    ends = picks
-    rows = rows.join(F.broadcast(ends), "pattern", "left")
-    head = (F.col("place") <= F.col("end")) | F.array_contains("picked", F.col("place"))
-    more = F.coalesce(head & (F.col("rest") > 0), F.lit(False)).cast("long")
-    return rows.withColumn("repeats", F.when(F.col("size") > 0, F.col("times") + more).otherwise(0).cast("long"))
+    return picks.select("pattern", "end", "picked")
 
 
 def mix_by_source(
@@ -291,8 +308,9 @@ def mix_by_source(
     """
     rows = pick(docs, doc_id=doc_id, text=text, source=source)
     rows = rows.select("doc_id", words_in(F.col("text")).alias("size"), F.array("source").alias("sources"))
-    taken, summary = mix(rows, weights, seed=seed, most_repeats=most_repeats)
-    taken = taken.withColumn("source", F.col("sources")[0]).drop("sources")
-    summary = summary.withColumnRenamed("source", "_source")
+    plan = mix(rows, weights, seed=seed, most_repeats=most_repeats)
+    taken = plan.repeats(rows).withColumn("source", F.col("sources")[0])
+    summary = plan.summary.withColumnRenamed("source", "_source")
     taken = taken.join(F.broadcast(summary), F.col("source").eqNullSafe(F.col("_source")), "left")
-    return taken.select("doc_id", "size", "source", "source_size", "target", "taken", "repeats")
+    words = (F.col("repeats") * F.col("size")).alias("taken")
+    return taken.select("doc_id", "size", "source", "source_size", "target", words, "repeats")

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tablekeel.llm.common import ship
 from tablekeel.llm.licenses import oracle as license_oracle
+from tablekeel.llm.topk import oracle as topk_oracle
+from tablekeel.llm.warc import oracle as warc_oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,3 +82,31 @@ def op4_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op4_license_digests"] = license_oracle()
+
+
+@query
+def op9_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablekeel.llm.warc import roundtrip
+
+    return roundtrip(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op9_warc_transactions"] = warc_oracle()
+
+
+@query
+def op8_topk_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablekeel.llm.topk import quantised, top_inner_products
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", quantised(F.col("embedding"), 256).alias("vector"))
+    return top_inner_products(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+ORACLES["op8_topk_norms"] = topk_oracle()
+
+
+@query
+def op10_fingerprint_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablekeel.llm.fingerprints import fingerprint_edits
+
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
