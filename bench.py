@@ -167,7 +167,6 @@ def measure(spark: SparkSession, sf_dir: str) -> tuple[dict[str, float], dict[st
     against_plain("reload_lineitem", lines, SHIPPED)
     against_plain("reload_lineitem_year", lines, "1996-01,1996-12")
     against_plain("reload_metrics", revenue, ALL_MONTHS)
-    timed("reload_metrics_staged", lambda: run_load(spark, revenue, ALL_MONTHS, staged_source=True), runs=2)
     timed("reload_late_days", lambda: run_load(spark, late, now=date(2024, 1, 31)), runs=2)
     timed("check_30_days", lambda: run_load(spark, days, ALL_DAYS, dry_run=True), runs=2)
 

@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekeel.errors import DataQualityError
-from tablekeel.operators.quality import partition_ledger
+from tablekeel.operators.quality import (
+    fold_unexpected,
+    gap_partitions,
+    missing_partitions,
+    out_of_range_partitions,
+    partition_ledger,
+    summary_of,
+)
 from tablekeel.sources.extract import source_errors
 
 log = logging.getLogger(__name__)
@@ -58,52 +65,48 @@ def check_key_column(df: DataFrame, key: str, partition_type: str) -> None:
         )
 
 
+@dataclass(frozen=True)
+class Unexpected:
+    """The keys that a write has put together, as they were: the least, the greatest, and rows without one."""
+
+    lowest: str | None
+    highest: str | None
+    null_rows: int
+
+
 def check_partitions(
-    source: DataFrame, key: str, spine: DataFrame, target: DataFrame | None
+    source: DataFrame, key: str, spine: DataFrame, target: DataFrame | None, put_together: Unexpected | None = None
 ) -> CheckedSource:
-    """Run the guards in one Spark job and return the checked source.
+    """Count in one Spark job, run the guards over the counts, and return the checked source.
 
-    The job's result is collected: one row per expected partition and one row that
-    sums up everything unexpected, however many distinct bad keys there are.
+    What is collected is one row per expected partition and one that sums up everything
+    unexpected, however many distinct bad keys there are. Rows written to files have
+    their bad keys put together as NULL there; ``put_together`` says what they were.
     """
-    ledger = partition_ledger(spine, source, key, target)
-    value = F.col("partition_value")
-    is_bad = ~F.col("is_expected") & (F.col("rows_read") > 0)
-    summary = ledger.groupBy(F.when(F.col("is_expected"), value).alias("expected_value")).agg(
-        F.sum("rows_read").alias("rows_read"),
-        F.sum("rows_before").alias("rows_before"),
-        F.min(F.when(is_bad, value)).alias("first_bad"),
-        F.max(F.when(is_bad, value)).alias("last_bad"),
-        F.sum(F.when(is_bad & value.isNull(), F.col("rows_read"))).alias("null_rows"),
-    )
+    folded = fold_unexpected(partition_ledger(spine, source, key, target))
     with source_errors("the query could not be executed"):
-        rows = summary.collect()
-
-    expected = sorted((r for r in rows if r.expected_value is not None), key=lambda r: r.expected_value)
-    unexpected = [r for r in rows if r.expected_value is None and r.rows_read > 0]
-    first, last = expected[0].expected_value, expected[-1].expected_value
+        settled = source.sparkSession.createDataFrame(folded.collect(), folded.schema)
 
-    if not any(r.rows_read for r in rows):
+    expected = sorted(settled.where("is_expected").collect(), key=lambda r: r.partition_value)
+    first, last = expected[0].partition_value, expected[-1].partition_value
+    counts = settled.select("partition_value", F.col("rows_read").alias("row_count"))
+    if summary_of(counts).first().row_count == 0:
         raise DataQualityError(f"the query returned no rows for {first} to {last}")
-    if unexpected:
-        bad = unexpected[0]
+    for bad in out_of_range_partitions(settled).collect():
+        seen = put_together or settled.where("NOT is_expected").first()
         raise DataQualityError(
-            f"{bad.rows_read} rows have a {key} that is no partition from {first} to {last}: "
-            f"lowest {bad.first_bad!r}, highest {bad.last_bad!r}, {bad.null_rows or 0} rows NULL"
+            f"{bad.row_count} rows have a {key} that is no partition from {first} to {last}: "
+            f"lowest {seen.lowest!r}, highest {seen.highest!r}, {seen.null_rows} rows NULL"
         )
-    missing = [r for r in expected if r.rows_read == 0]
-    gaps = [r.expected_value for r in missing if r.rows_before > 0]
+    gaps = sorted(r.partition_value for r in gap_partitions(settled).collect())
     if gaps:
         raise DataQualityError(
             f"the query has no rows for {key} {', '.join(gaps)}, which the target holds: "
             "loading would leave a data gap"
         )
+    missing = sorted(r.partition_value for r in missing_partitions(settled).collect())
     if missing:
-        log.warning(
-            "no source rows for %s %s; the target has none either",
-            key,
-            ", ".join(r.expected_value for r in missing),
-        )
+        log.warning("no source rows for %s %s; the target has none either", key, ", ".join(missing))
     return CheckedSource(
-        source, key, tuple(PartitionCount(r.expected_value, r.rows_read, r.rows_before) for r in expected)
+        source, key, tuple(PartitionCount(r.partition_value, r.rows_read, r.rows_before) for r in expected)
     )

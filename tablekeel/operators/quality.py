@@ -37,7 +37,12 @@ def distinct_partitions(df: DataFrame, key: str) -> DataFrame:
 
 def partition_bounds(df: DataFrame, key: str) -> DataFrame:
     """One row: first and last partition value as text, and the sum of all counts."""
-    return partition_counts(df, key).agg(
+    return bounds_of(partition_counts(df, key))
+
+
+def bounds_of(counts: DataFrame) -> DataFrame:
+    """The same, over rows per partition that are counted already."""
+    return counts.agg(
         F.min("partition_value").alias("min_partition"),
         F.max("partition_value").alias("max_partition"),
         F.sum("row_count").alias("row_count"),
@@ -49,8 +54,13 @@ def key_summary(df: DataFrame, key: str) -> DataFrame:
 
     Counted over the per-key counts, so that no distinct aggregate is shuffled.
     """
+    return summary_of(partition_counts(df, key))
+
+
+def summary_of(counts: DataFrame) -> DataFrame:
+    """The same, over rows per partition that are counted already."""
     null_rows = F.sum(F.when(F.col("partition_value").isNull(), F.col("row_count")))
-    return partition_counts(df, key).agg(
+    return counts.agg(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"),
         F.count("partition_value").alias("partition_count"),
         F.coalesce(null_rows, F.lit(0)).alias("null_key_rows"),
@@ -95,6 +105,27 @@ def _entry(df: DataFrame, is_expected: Column, rows_read: Column, rows_before: C
     )
 
 
+def fold_unexpected(ledger: DataFrame) -> DataFrame:
+    """The ledger with all that is not expected in one row, however many keys that is.
+
+    That row has no partition value; lowest, highest and null_rows tell which keys it had.
+    """
+    value = F.col("partition_value")
+    is_bad = ~F.col("is_expected") & (F.col("rows_read") > 0)
+    expected = F.when(F.col("is_expected"), value)
+    return (
+        ledger.groupBy(expected.alias("expected_value"), "is_expected")
+        .agg(
+            F.sum("rows_read").alias("rows_read"),
+            F.sum("rows_before").alias("rows_before"),
+            F.min(F.when(is_bad, value)).alias("lowest"),
+            F.max(F.when(is_bad, value)).alias("highest"),
+            F.coalesce(F.sum(F.when(is_bad & value.isNull(), F.col("rows_read"))), F.lit(0)).alias("null_rows"),
+        )
+        .withColumnRenamed("expected_value", "partition_value")
+    )
+
+
 def out_of_range_partitions(ledger: DataFrame) -> DataFrame:
     """Source keys that are no expected partition: outside the range, malformed or NULL."""
     return ledger.where(~F.col("is_expected") & (F.col("rows_read") > 0)).select(

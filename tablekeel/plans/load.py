@@ -4,20 +4,20 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable, Mapping
-from contextlib import nullcontext
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablekeel.errors import DataQualityError, SpecError, VerificationError
 from tablekeel.functions.dates import window_days, window_partitions
-from tablekeel.operators.guards import CheckedSource, check_key_column, check_partitions
-from tablekeel.operators.quality import partition_counts
+from tablekeel.operators.guards import CheckedSource, Unexpected, check_key_column, check_partitions
+from tablekeel.operators.quality import bounds_of, total_rows
 from tablekeel.operators.spine import listed_partitions, plan_loads, single_request
 from tablekeel.sinks.layout import check_typed, fit_to_target
-from tablekeel.sinks.tables import compact_partitions, publish_partitions, replace_table, staged
+from tablekeel.sinks.tables import compact_partitions, publish_partitions, replace_table, staged_partitions
 from tablekeel.sinks.views import publish_view
 from tablekeel.sources.extract import extract, fill_date_list, source_errors
 from tablekeel.sources.target import TargetState, check_target_kind, target_partitions, target_state
@@ -45,7 +45,7 @@ def plan_load(
 ) -> LoadPlan:
     """Work out the window of a day or month load and fill in its query."""
     request = single_request(
-        spark, spec.partition_type, spec.processing_strategy, target_date, _run_date(now)
+        spark, spec.partition_type, spec.processing_strategy, target_date, _run_date(now, spec.time_zone)
     )
     windows = plan_loads(request).select("start_date", "end_date", "error")
     start, end = F.col("start_date"), F.col("end_date")
@@ -64,13 +64,14 @@ def plan_load(
     )
 
 
-def _run_date(now: date | datetime | None) -> date:
-    """The run's calendar day, in UTC unless the caller says otherwise."""
+def _run_date(now: date | datetime | None, time_zone: str = "") -> date:
+    """The run's calendar day, in UTC unless the spec names a time zone."""
+    zone = ZoneInfo(time_zone) if time_zone else timezone.utc
     if now is None:
-        now = datetime.now(timezone.utc)
+        now = datetime.now(zone)
     if not isinstance(now, datetime):
         return now
-    return (now.astimezone(timezone.utc) if now.tzinfo else now).date()
+    return (now.astimezone(zone) if now.tzinfo else now).date()
 
 
 def run_load(
@@ -80,53 +81,63 @@ def run_load(
     dry_run: bool = False,
     now: date | datetime | None = None,
     *,
-    staged_source: bool = False,
     rebalance: bool | None = None,
-    compact: bool = False,
+    compact: bool | None = None,
 ) -> DataFrame:
     """Load or reload one target and report row counts per partition.
 
     ``target_date`` names a day, month or range (``a,b``) and wins over the spec's
     strategy, which counts back from ``now``. With ``dry_run`` all checks run and
-    nothing is written.
+    nothing is written; it reads the key column and the filter columns only.
 
-    A partitioned load runs its query twice: once for the key column alone, to check,
-    and once to write. ``staged_source`` runs it once and keeps the rows in a table
-    meanwhile, which pays when the query aggregates or joins far more data than it
-    returns, or is not repeatable. ``rebalance`` shuffles rows into well-filled files
-    before the write; partitioned loads do so unless told otherwise, as for queries
-    whose tasks already hold one partition value each. ``compact`` merges small files
-    in the loaded partitions afterwards, and rebalances a whole-table load.
+    The query runs once. Its rows are written beside the target, checked there, and
+    switched in. ``rebalance`` shuffles rows into well-filled files before the write;
+    partitioned loads do so unless told otherwise, as for queries whose tasks already
+    hold one partition value each. ``compact`` merges small files: for a whole-table load
+    before the switch and unless told otherwise, for the loaded partitions if asked.
 
     Returns ``partition_value, rows_read, rows_before, rows_after, status``: a row per
     expected partition, or a single one with no partition value for a whole-table load.
     """
     spec = spec if isinstance(spec, LoadSpec) else LoadSpec.from_mapping(spec)
+    if spec.is_view and (rebalance is not None or compact is not None):
+        raise SpecError("a view stores nothing, so it takes neither rebalance nor compact")
+    if dry_run and compact:
+        raise SpecError("a dry run writes nothing, so it takes no compact")
     state = _open_target(spark, spec, target_date)
     if spec.is_view:
         return _load_view(spark, spec, dry_run)
     if not spec.is_partitioned:
-        return _load_full(spark, spec, state, dry_run, compact if rebalance is None else rebalance)
-    rebalance = rebalance is not False
+        return _load_full(spark, spec, state, dry_run, rebalance is True, compact is not False)
     plan = plan_load(spark, spec, target_date, now)
     source = _partitioned_source(spark, spec, plan, state)
-    rows_of = nullcontext(source)
-    if staged_source:
-        rows_of = staged(spark, source, spec, len(plan.partitions), rebalance)
-    with rows_of as rows:
-        checked = _check(spark, spec, plan, rows, state)
-        if dry_run:
-            return _report(
-                spark,
-                (
-                    (p.partition_value, p.rows_read, p.rows_before, p.rows_before,
-                     "would_write" if p.rows_read else "missing")
-                    for p in checked.partitions
-                ),
-            )
-        # Staged rows already lie in files of one key each.
-        publish_partitions(spark, checked, spec.target, state, rebalance and not staged_source)
-    return _verify(spark, spec, checked, compact)
+    if dry_run:
+        checked = _check(spark, spec, plan, source, state)
+        return _report(
+            spark,
+            (
+                (p.partition_value, p.rows_read, p.rows_before, p.rows_before,
+                 "would_write" if p.rows_read else "missing")
+                for p in checked.partitions
+            ),
+        )
+    with staged_partitions(spark, source, spec, state, plan.partitions, rebalance is not False) as staged:
+        checked = _check(spark, spec, plan, staged.frame, state, staged.unexpected)
+    publish_partitions(spark, checked, staged, spec.target, state)
+    if compact:
+        _try_compaction(spark, spec, [p.partition_value for p in checked.partitions if p.rows_read])
+    # Rows read are rows after: publishing has compared the two, partition by partition.
+    report = _report(
+        spark,
+        (
+            (p.partition_value, p.rows_read, p.rows_before, p.rows_read, "written" if p.rows_read else "missing")
+            for p in checked.partitions
+        ),
+    )
+    loaded = report.where("rows_after > 0").select("partition_value", F.col("rows_after").alias("row_count"))
+    bounds = bounds_of(loaded).first()
+    log.info("%s: %d rows in %s to %s", spec.target, bounds.row_count, bounds.min_partition, bounds.max_partition)
+    return report
 
 
 def preview_rows(
@@ -138,8 +149,13 @@ def preview_rows(
     """The rows a load would publish, after all checks, as a lazy DataFrame."""
     spec = spec if isinstance(spec, LoadSpec) else LoadSpec.from_mapping(spec)
     state = _open_target(spark, spec, target_date)
-    if not spec.is_partitioned:
+    if spec.is_view:
         return extract(spark, spec.partition_query)
+    if not spec.is_partitioned:
+        source = extract(spark, spec.partition_query)
+        _check_columns(source, state)
+        _rows_of_full(source)
+        return source
     plan = plan_load(spark, spec, target_date, now)
     return _check(spark, spec, plan, _partitioned_source(spark, spec, plan, state), state).frame
 
@@ -173,41 +189,18 @@ def _check_columns(source: DataFrame, state: TargetState | None) -> None:
 
 
 def _check(
-    spark: SparkSession, spec: LoadSpec, plan: LoadPlan, source: DataFrame, state: TargetState | None
+    spark: SparkSession,
+    spec: LoadSpec,
+    plan: LoadPlan,
+    source: DataFrame,
+    state: TargetState | None,
+    put_together: Unexpected | None = None,
 ) -> CheckedSource:
     present = None
     if state is not None:
         present = target_partitions(spark, spec.target, spec.partition_column, plan.partitions)
     spine = listed_partitions(spark, plan.partitions)
-    return check_partitions(source, spec.partition_column, spine, present)
-
-
-def _verify(spark: SparkSession, spec: LoadSpec, checked: CheckedSource, compact: bool) -> DataFrame:
-    """Count what the target now holds and compare it with what was checked."""
-    loaded = target_partitions(spark, spec.target, spec.partition_column, checked.expected)
-    after = {
-        r.partition_value: r.row_count for r in partition_counts(loaded, spec.partition_column).collect()
-    }
-    differing = [
-        f"{p.partition_value} ({p.rows_read} checked, {after.get(p.partition_value, 0)} in the target)"
-        for p in checked.partitions
-        if p.rows_read != after.get(p.partition_value, 0)
-    ]
-    if differing:
-        raise VerificationError(
-            f"{spec.target} differs from the checked rows: {', '.join(differing)}. "
-            "The source changed during the load, or is not repeatable; staged_source=True reads it once"
-        )
-    if compact:
-        _try_compaction(spark, spec, [p.partition_value for p in checked.partitions if p.rows_read])
-    return _report(
-        spark,
-        (
-            (p.partition_value, p.rows_read, p.rows_before, after.get(p.partition_value, 0),
-             "written" if p.rows_read else "missing")
-            for p in checked.partitions
-        ),
-    )
+    return check_partitions(source, spec.partition_column, spine, present, put_together)
 
 
 def _try_compaction(spark: SparkSession, spec: LoadSpec, values: list[str]) -> None:
@@ -219,20 +212,24 @@ def _try_compaction(spark: SparkSession, spec: LoadSpec, values: list[str]) -> N
         log.warning("could not compact %s", spec.target, exc_info=True)
 
 
+def _rows_of_full(source: DataFrame) -> int:
+    with source_errors("the query could not be executed"):
+        rows = total_rows(source).first().row_count
+    if rows == 0:
+        raise DataQualityError("the query returned no rows for a full load")
+    return rows
+
+
 def _load_full(
-    spark: SparkSession, spec: LoadSpec, state: TargetState | None, dry_run: bool, rebalance: bool
+    spark: SparkSession, spec: LoadSpec, state: TargetState | None, dry_run: bool, rebalance: bool, merge: bool
 ) -> DataFrame:
     source = extract(spark, spec.partition_query)
     _check_columns(source, state)
-    before = spark.table(spec.target).count() if state else 0
+    before = total_rows(spark.table(spec.target)).first().row_count if state else 0
     if dry_run:
-        with source_errors("the query could not be executed"):
-            rows = source.count()
-        if rows == 0:
-            raise DataQualityError("the query returned no rows for a full load")
-        return _report(spark, [(None, rows, before, before, "would_write")])
-    rows = replace_table(spark, source, spec, state, rebalance)
-    after = spark.table(spec.target).count()
+        return _report(spark, [(None, _rows_of_full(source), before, before, "would_write")])
+    rows = replace_table(spark, source, spec, state, rebalance, merge)
+    after = total_rows(spark.table(spec.target)).first().row_count
     if after != rows:
         raise VerificationError(f"{spec.target} holds {after} rows, {rows} were written")
     return _report(spark, [(None, rows, before, after, "written")])

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekeel.errors import SpecError
+from tablekeel.operators.quality import partition_counts
 from tablekeel.sources.target import TargetState, key_in
 from tablekeel.spec import quoted
 
-
 # Shuffle partitions per partition value: with four, few values share one and get split together.
-# Beyond 2000 Spark keeps only average sizes of shuffle blocks, and can split less exactly.
 SHUFFLE_PARTITIONS_PER_VALUE = 4
-MOST_SHUFFLE_PARTITIONS = 2000
 
 
 def spread_for_write(df: DataFrame, key: str | None = None, values: int = 1) -> DataFrame:
@@ -22,40 +23,75 @@ def spread_for_write(df: DataFrame, key: str | None = None, values: int = 1) ->
 
     Rebalancing shuffles by the key, joins up small partitions and splits large ones
     at ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, from the sizes actually
-    written. A key that holds a third of all rows becomes many tasks, not one.
+    written. A key that holds a third of all rows becomes many tasks, not one. Up to
+    ``spark.shuffle.minNumPartitionsToHighlyCompress`` shuffle partitions Spark knows the
+    exact sizes it splits by, so that many are used at most; with more values than a
+    quarter of that, several share a partition and are split together. A higher
+    ``spark.sql.shuffle.partitions`` of the session holds all the same.
+
+    Without adaptive execution the hint does nothing. Then rows are counted per key first,
+    which evaluates the source's key column once more, and only the keys with more rows
+    than fit the advisory size are salted, by as many files as they need.
     """
     spark = df.sparkSession
     usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if spark.conf.get("spark.sql.adaptive.enabled") == "true":
         if not key:
             return df.hint("rebalance")
-        wanted = min(values * SHUFFLE_PARTITIONS_PER_VALUE, MOST_SHUFFLE_PARTITIONS)
+        exact = int(spark.sparkContext.getConf().get("spark.shuffle.minNumPartitionsToHighlyCompress", "2000"))
+        wanted = min(values * SHUFFLE_PARTITIONS_PER_VALUE, exact)
         return df.hint("rebalance", max(usual, wanted), F.col(quoted(key)))
     if not key:
         return df
-    # Without adaptive execution the hint does nothing, so the key is salted by the task
-    # that read the row: bounded per task, and the same again if that task is retried.
-    return (
-        df.withColumn("tablekeel_salt", F.spark_partition_id() % usual)
-        .repartition(F.col(quoted(key)), F.col("tablekeel_salt"))
-        .drop("tablekeel_salt")
-    )
-
-
-def only_expected_keys(df: DataFrame, key: str, expected: list[str]) -> DataFrame:
-    """Make the write itself fail if a key outside the checked list turns up.
-
-    The source is read again for the write. Should it have changed meanwhile, the job
-    aborts before anything is published.
-    """
+    return _salted(df, key)
+
+
+def _salted(df: DataFrame, key: str) -> DataFrame:
+    """Shuffled by the key, and rows of large keys also by the task that read them: repeatable when a task is retried."""
+    per_file = rows_per_file(df)
+    # As many keys as there are files' worth of rows, at most.
+    large = {
+        r.partition_value: -(-r.row_count // per_file)
+        for r in partition_counts(df, key).where(F.col("row_count") > per_file).collect()
+    }
+    salt = free_name(df, "salt")
+    salts = F.lit(1)
+    if large:
+        table = F.create_map(*[F.lit(x) for pair in large.items() if pair[0] is not None for x in pair])
+        salts = F.coalesce(F.try_element_at(table, F.col(quoted(key)).cast("string")), F.lit(large.get(None, 1)))
+    salted = df.withColumn(salt, F.pmod(F.spark_partition_id(), salts))
+    return salted.repartition(F.col(quoted(key)), F.col(quoted(salt))).drop(salt)
+
+
+def rows_per_file(df: DataFrame) -> int:
+    """About how many rows make up the advisory size, taking 20 bytes for a text or nested value and 8 for others."""
+    wide = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
+    width = sum(20 if isinstance(f.dataType, wide) else 8 for f in df.schema)
+    advised = df.sparkSession.sql("SET spark.sql.adaptive.advisoryPartitionSizeInBytes").first().value
+    return max(1, as_bytes(advised) // max(1, width))
+
+
+def as_bytes(text: str) -> int:
+    """A size setting such as ``64MB``, ``64m`` or ``67108864b`` as a number; 64 MB for what is none."""
+    found = re.fullmatch(r"\s*(\d+)\s*([kmgt]?)i?b?\s*", text.lower())
+    if not found:
+        return 64 << 20
+    return int(found[1]) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[found[2]]
+
+
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that the DataFrame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while stem in taken:
+        stem += "_"
+    return stem
+
+
+def expected_keys_only(df: DataFrame, key: str, expected: Sequence[str]) -> DataFrame:
+    """Keys outside the expected ones become NULL, so that rows with them share one folder, however many there are."""
     key_column = F.col(quoted(key))
-    message = F.concat(
-        F.lit(f"{key} changed between check and write: "), F.coalesce(key_column.cast("string"), F.lit("NULL"))
-    )
-    guarded = F.when(key_in(key, df.schema[key].dataType, expected), key_column).otherwise(
-        F.raise_error(message)
-    )
-    return df.withColumn(key, guarded)
+    kept = F.when(key_in(key, df.schema[key].dataType, expected), key_column)
+    return df.select(*[kept.alias(c) if c == key else F.col(quoted(c)) for c in df.columns])
 
 
 def fit_to_target(df: DataFrame, state: TargetState) -> tuple[DataFrame, list[T.StructField]]:

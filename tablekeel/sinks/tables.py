@@ -1,55 +1,192 @@
-"""Publishing rows into tables: listed partitions, whole tables, compaction."""
+"""Publishing rows into tables: write once, audit, then switch to the new files.
+
+Rows are written to a folder of their own beside the target, ``<table>__loads/<id>``, and
+counted there. Only then does the catalog point the target's partitions, or the whole
+table, at that folder. Until the switch the target is as it was; what goes wrong before
+it leaves at most a folder that nothing refers to.
+"""
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekeel.errors import DataQualityError, SpecError, VerificationError
-from tablekeel.operators.guards import CheckedSource
-from tablekeel.sinks.layout import (
-    add_columns,
-    check_typed,
-    fit_to_target,
-    only_expected_keys,
-    spread_for_write,
-)
+from tablekeel.operators.guards import CheckedSource, Unexpected
+from tablekeel.operators.quality import distinct_partitions, reconcile_partitions, total_rows
+from tablekeel.sinks.layout import add_columns, check_typed, expected_keys_only, fit_to_target, spread_for_write
 from tablekeel.sources.extract import source_errors
-from tablekeel.sources.target import FILE_FORMATS, TargetState, key_in, target_partitions, target_state
+from tablekeel.sources.target import (
+    FILE_FORMATS,
+    TargetState,
+    key_in,
+    partition_literal,
+    partition_locations,
+    target_partitions,
+    target_state,
+)
 from tablekeel.spec import LoadSpec, quoted
 
+log = logging.getLogger(__name__)
+
 DYNAMIC_OVERWRITE = "partitionOverwriteMode"
+# Formats whose files hold column names and types, so that any folder can be switched in.
+SELF_DESCRIBING = ("parquet", "orc")
+LOADS = "__loads"
+#: Bytes that a file should have at least, on average, for its partition not to be worth merging.
+FILE_BYTES = 32 * 1024 * 1024
+
+
+@dataclass(frozen=True)
+class StagedRows:
+    """Rows written to a folder beside the target, read back from there."""
+
+    frame: DataFrame
+    folder: str
+    added: list[T.StructField]
+    unexpected: Unexpected | None = None
+
+
+# --- Folders ---
+
+
+def _new_folder(spark: SparkSession, state: TargetState | None, spec: LoadSpec | None = None) -> str:
+    """A folder beside the table's first one, wherever a load has put its present files."""
+    if state is not None:
+        base = state.location.rstrip("/").split(f"{LOADS}/")[0]
+    else:
+        base = f"{spark.catalog.getDatabase(spec.target_schema).locationUri.rstrip('/')}/{spec.table}"
+    return f"{base}{LOADS}/{uuid.uuid4().hex[:12]}"
+
+
+def _delete(spark: SparkSession, folders: Sequence[str]) -> None:
+    """Remove folders that nothing refers to any more; what stays behind does no harm but takes space."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        try:
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        except Exception:
+            log.warning("could not remove %s", folder, exc_info=True)
+
+
+def _escaped(name: str) -> str:
+    """A name as it stands in a partition's folder. The characters that are escaped there."""
+    special = "\"#%'*/:=?\\\x7f{[]^"
+    return "".join(f"%{ord(c):02X}" if c in special or ord(c) < 32 else c for c in name)
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def listed_files(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    """``folder, length`` of every file below the folders; a listing, which opens no file."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(folders))
+    folder = F.regexp_replace(F.regexp_replace("path", "/[^/]+$", ""), "^file:/+", "file:/")
+    return files.select(folder.alias("folder"), "length")
+
+
+# --- Listed partitions ---
+
+
+@contextmanager
+def staged_partitions(
+    spark: SparkSession, source: DataFrame, spec: LoadSpec, state: TargetState | None, expected: Sequence[str], rebalance: bool
+) -> Iterator[StagedRows]:
+    """The query's rows, evaluated once and written by partition; removed again if the load fails."""
+    key = spec.partition_column
+    fitted, added = (source, []) if state is None else fit_to_target(source, state)
+    check_typed(list(fitted.schema))
+    value = F.col(quoted(key))
+    bad = ~F.coalesce(key_in(key, fitted.schema[key].dataType, expected), F.lit(False))
+    seen = Observation()
+    watched = fitted.observe(
+        seen,
+        F.min(F.when(bad, value.cast("string"))).alias("lowest"),
+        F.max(F.when(bad, value.cast("string"))).alias("highest"),
+        F.count(F.when(bad & value.isNull(), F.lit(1))).alias("null_rows"),
+    )
+    rows = expected_keys_only(watched, key, expected)
+    rows = rows.select(*[quoted(c) for c in rows.columns if c != key], quoted(key))
+    folder = _new_folder(spark, state, spec)
+    kind = state.provider if state and state.provider in SELF_DESCRIBING else "parquet"
+    try:
+        with source_errors("the query could not be executed"):
+            spread = spread_for_write(rows, key, len(expected)) if rebalance else rows
+            spread.write.format(kind).partitionBy(key).save(folder)
+        yield StagedRows(_read_back(spark, folder, kind, rows.schema), folder, added, _unexpected(seen))
+    except BaseException:
+        _delete(spark, [folder])
+        raise
+
+
+def _unexpected(seen: Observation) -> Unexpected:
+    try:
+        return Unexpected(**seen.get)
+    except Py4JJavaError:  # Spark has found the query to be empty before it ran, and left out what watches it
+        return Unexpected(None, None, 0)
+
+
+def _read_back(spark: SparkSession, folder: str, kind: str, schema: T.StructType) -> DataFrame:
+    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
+    return spark.read.format(kind).schema(nullable).load(folder)
 
 
 def publish_partitions(
-    spark: SparkSession, checked: CheckedSource, name: str, state: TargetState | None, rebalance: bool = True
+    spark: SparkSession, checked: CheckedSource, staged: StagedRows, name: str, state: TargetState | None
 ) -> None:
-    """Replace the checked partitions of the target, creating the table if need be.
+    """Make the staged rows the target's partitions, creating the table if need be.
 
-    Spark overwrites exactly the partitions present in the data. The guards have made
-    sure that those are the listed ones: no other key is in the data, and a listed key
-    without rows has none in the target to remove.
+    The guards have made sure that only listed partitions are in the files, and that a
+    listed one without rows has none in the target to remove. New columns are added here,
+    not before, so that a failed load leaves the schema as it was.
     """
-    rows = only_expected_keys(checked.frame, checked.key, checked.expected)
     if state is None:
-        check_typed(list(rows.schema))
-        spread = spread_for_write(rows, checked.key, len(checked.expected)) if rebalance else rows
-        _create_partitioned(spread, checked.key, name)
-        return
-    fitted, added = fit_to_target(rows, state)
-    add_columns(spark, name, added)
-    spread = spread_for_write(fitted, checked.key, len(checked.expected)) if rebalance else fitted
-    _overwrite_partitions(spark, spread, name, state)
+        empty = spark.createDataFrame([], staged.frame.schema)
+        empty.write.format("parquet").option(DYNAMIC_OVERWRITE, "dynamic").partitionBy(checked.key).saveAsTable(name)
+        state = target_state(spark, name)
+    else:
+        add_columns(spark, name, staged.added)
+    values = [p.partition_value for p in checked.partitions if p.rows_read]
+    _publish(spark, staged, name, checked.key, values, state)
+
+
+def _publish(spark: SparkSession, staged: StagedRows, name: str, key: str, values: list[str], state: TargetState) -> None:
+    """Switch the partitions to the staged folder, then compare the counts and remove what was replaced.
+
+    A table whose partitions the catalog does not list, or whose format needs more than
+    the files, is overwritten from the staged rows by Spark instead.
+    """
+    if state.lists_partitions and state.provider in SELF_DESCRIBING:
+        replaced = list(_switch(spark, staged.folder, name, key, values).values())
+    else:
+        _overwrite_partitions(spark, staged.frame, name, state)
+        replaced = [staged.folder]
+    spark.catalog.refreshTable(name)
+    verify_partitions(spark, staged.frame, name, key, values)
+    _delete(spark, replaced)
 
 
-def _create_partitioned(df: DataFrame, key: str, name: str) -> None:
-    with source_errors("the query could not be executed"):
-        df.write.format("parquet").option(DYNAMIC_OVERWRITE, "dynamic").partitionBy(key).saveAsTable(name)
+def _switch(spark: SparkSession, folder: str, name: str, key: str, values: list[str]) -> dict[str, str]:
+    """Point each partition at its staged folder; returns the folders they had."""
+    key_type = spark.table(name).schema[key].dataType
+    had = partition_locations(spark, name, key, values)
+    for value in values:
+        location = _sql_text(f"{folder}/{_escaped(key)}={_escaped(value)}")
+        partition = partition_literal(key, key_type, value)
+        if value in had:
+            spark.sql(f"ALTER TABLE {name} {partition} SET LOCATION {location}")
+        else:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {partition} LOCATION {location}")
+    return had
 
 
 def _overwrite_partitions(spark: SparkSession, df: DataFrame, name: str, state: TargetState) -> None:
@@ -60,143 +197,132 @@ def _overwrite_partitions(spark: SparkSession, df: DataFrame, name: str, state:
         state = target_state(spark, name)
         if not state.replaces_only_written_partitions:
             raise SpecError(f"target {name} cannot be set to replace single partitions")
-    with source_errors("the query could not be executed"):
-        df.write.insertInto(name, overwrite=True)
+    with source_errors("the checked rows could not be written"):
+        df.select(*[quoted(c) for c in spark.table(name).columns]).write.insertInto(name, overwrite=True)
+
+
+def verify_partitions(spark: SparkSession, rows: DataFrame, name: str, key: str, values: Sequence[str]) -> None:
+    """Compare what the target holds of the listed partitions with the rows, per partition."""
+    held = target_partitions(spark, name, key, values)
+    wrong = reconcile_partitions(rows, key, held, key).where("NOT is_match").orderBy("partition_value").collect()
+    if wrong:
+        told = (f"{r.partition_value} ({r.source_rows} checked, {r.target_rows} in the target)" for r in wrong)
+        raise VerificationError(f"{name} differs from the checked rows: {', '.join(told)}")
+
+
+# --- Whole tables ---
 
 
 def replace_table(
-    spark: SparkSession, source: DataFrame, spec: LoadSpec, state: TargetState | None, rebalance: bool
+    spark: SparkSession, source: DataFrame, spec: LoadSpec, state: TargetState | None, rebalance: bool, merge: bool
 ) -> int:
     """Replace the whole target with the query's rows and return their number.
 
-    The rows go to a new table beside the target, are counted there, and the two swap
-    names. The query runs once, may read the target itself, and a failure at any point
-    leaves the old rows in place.
+    The rows go to a folder of their own and are counted there; then the table's location
+    changes, in one step. The table keeps its kind, comment, properties and grants, the
+    query runs once and may read the target itself, and until that step a failure leaves
+    the old rows in place. ``merge`` writes small files once more as fewer before it.
     """
     fitted, added = (source, list(source.schema)) if state is None else fit_to_target(source, state)
     check_typed(added)
-    fresh = f"{spec.table}__new_{uuid.uuid4().hex[:12]}"
-    fresh_name = spec.sibling(fresh)
+    kind, options = (state.provider, state.options) if state else ("parquet", {})
+    made: list[str] = []
+
+    def written(rows: DataFrame) -> tuple[str, DataFrame, int]:
+        made.append(folder := _new_folder(spark, state, spec))
+        rows.write.format(kind).options(**options).save(folder)
+        back = spark.read.format(kind).options(**options).schema(_nullable(rows.schema)).load(folder)
+        return folder, back, total_rows(back).first().row_count
+
     try:
         with source_errors("the query could not be executed"):
-            writer = (spread_for_write(fitted) if rebalance else fitted).write
-            writer.format(state.provider if state else "parquet").saveAsTable(fresh_name)
-        rows = spark.table(fresh_name).count()
+            folder, back, rows = written(spread_for_write(fitted) if rebalance else fitted)
         if rows == 0:
             raise DataQualityError("the query returned no rows for a full load")
-        _swap_in(spark, spec, fresh, replaced=state is not None)
+        if merge and not rebalance and _has_small_files(spark, folder):
+            folder, _, again = written(spread_for_write(back))
+            if again != rows:
+                raise VerificationError(f"merging files of {spec.target} found {rows} rows and left {again}")
+        if state is None:
+            spark.createDataFrame([], _nullable(fitted.schema)).write.format(kind).saveAsTable(spec.target)
+            state = target_state(spark, spec.target)
+        else:
+            add_columns(spark, spec.target, added)
+        spark.sql(f"ALTER TABLE {spec.target} SET LOCATION {_sql_text(folder)}")
     except BaseException:
-        spark.sql(f"DROP TABLE IF EXISTS {fresh_name}")
+        _delete(spark, made)
         raise
+    spark.catalog.refreshTable(spec.target)
+    _delete(spark, [state.location, *(f for f in made if f != folder)])
     return rows
 
 
-def _swap_in(spark: SparkSession, spec: LoadSpec, fresh: str, replaced: bool) -> None:
-    old = fresh.replace("__new_", "__old_")
-    if replaced:
-        _rename(spark, spec, spec.table, old)
-    try:
-        _rename(spark, spec, fresh, spec.table)
-    except BaseException:
-        if replaced:
-            _rename(spark, spec, old, spec.table)
-        raise
-    if replaced:
-        spark.sql(f"DROP TABLE {spec.sibling(old)}")
-
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
-def _rename(spark: SparkSession, spec: LoadSpec, table: str, new_table: str) -> None:
-    new_name = ".".join((quoted(spec.schema), quoted(new_table)))
-    spark.sql(f"ALTER TABLE {spec.sibling(table)} RENAME TO {new_name}")
 
+def _has_small_files(spark: SparkSession, folder: str, file_bytes: int = FILE_BYTES) -> bool:
+    files = listed_files(spark, [folder]).agg(F.count("*").alias("n"), F.sum("length").alias("bytes")).first()
+    return files.n >= 2 * -(-(files.bytes or 0) // file_bytes) and files.n > 1
 
-@contextmanager
-def staged(
-    spark: SparkSession, df: DataFrame, spec: LoadSpec, values: int, rebalance: bool = True
-) -> Iterator[DataFrame]:
-    """The rows of a query, evaluated once and written down for the duration of a load.
-
-    ``values`` is the number of partition values they are expected to have.
 
-    They go to the folder the cluster names in ``spark.checkpoint.dir``, or beside the
-    target where there is none, so they outlive the executors that computed them.
-    """
-    table = f"{spec.table}__stage_{uuid.uuid4().hex[:12]}"
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        schema = "spark_catalog.tablekeel_stage"
-        location = f"{folder.rstrip('/')}/tablekeel_stage".replace("'", "\\'")
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{location}'")
-        name = f"{schema}.{quoted(table)}"
-    else:
-        name = spec.sibling(table)
-    # Untyped NULL columns cannot be stored; the ones the target has are filled in at the write.
-    df = df.drop(*[f.name for f in df.schema if isinstance(f.dataType, T.NullType)])
-    try:
-        with source_errors("the query could not be executed"):
-            spread = spread_for_write(df, spec.partition_column, values) if rebalance else df
-            spread.write.format("parquet").saveAsTable(name)
-        yield spark.table(name)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+# --- Compaction ---
 
 
 def small_file_partitions(
-    spark: SparkSession, name: str, key: str, values: Sequence[str], file_bytes: int
+    spark: SparkSession, name: str, key: str, values: Sequence[str], file_bytes: int = FILE_BYTES, least_factor: float = 2.0
 ) -> DataFrame:
-    """The listed partitions with at least twice the files their bytes need.
+    """The listed partitions with at least least_factor times the files their bytes need.
 
-    ``partition_value, files, bytes, files_needed``; reads file metadata columns only.
+    ``partition_value, files, bytes, files_needed``; from a listing of their folders.
     """
-    per_file = (
-        target_partitions(spark, name, key, values)
-        .groupBy(F.col(quoted(key)).cast("string").alias("partition_value"), "_metadata.file_path")
-        .agg(F.max("_metadata.file_size").alias("bytes"))
-    )
+    state = target_state(spark, name)
+    if state.lists_partitions:
+        folders = partition_locations(spark, name, key, values)
+    else:
+        present = {r.partition_value for r in distinct_partitions(target_partitions(spark, name, key, values), key).collect()}
+        folders = {v: f"{state.location.rstrip('/')}/{_escaped(key)}={_escaped(v)}" for v in values if v in present}
+    if not folders:
+        return spark.createDataFrame([], "partition_value string, files bigint, bytes bigint, files_needed bigint")
+    of = spark.createDataFrame([(v, f.rstrip("/")) for v, f in folders.items()], "partition_value string, folder string")
+    of = of.withColumn("folder", F.regexp_replace("folder", "^file:/+", "file:/"))
     return (
-        per_file.groupBy("partition_value")
-        .agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
-        .withColumn("files_needed", F.ceil(F.col("bytes") / F.lit(file_bytes)).cast("int"))
-        .where(F.col("files") >= 2 * F.col("files_needed"))
+        listed_files(spark, list(folders.values()))
+        .join(F.broadcast(of), "folder")
+        .groupBy("partition_value")
+        .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+        .withColumn("files_needed", F.ceil(F.col("bytes") / F.lit(file_bytes)))
+        .where(F.col("files") >= F.greatest(F.lit(2), least_factor * F.col("files_needed")))
     )
 
 
 def compact_partitions(
-    spark: SparkSession, name: str, key: str, values: Sequence[str], file_bytes: int = 128 * 1024 * 1024
+    spark: SparkSession, name: str, key: str, values: Sequence[str], file_bytes: int = FILE_BYTES, least_factor: float = 2.0
 ) -> list[str]:
     """Rewrite the listed partitions that consist of many small files; return which.
 
-    The rows stay the same, and partitions already in good shape are not touched. A
-    partition gets the number of files its bytes need: rows are salted by the task
-    that read them, so a large partition is written by many tasks.
+    A partition is rewritten if it has at least least_factor times the files of file_bytes
+    that its bytes would fill, and more than one. The rows stay the same: they are written
+    to new folders, counted there, and only then switched in. The new files follow
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, so file_bytes should not be above
+    half of that. Partitions already in good shape are not touched.
     """
     state = target_state(spark, name)
     if state is None or state.is_view or state.partition_columns != (key,) or state.provider not in FILE_FORMATS:
         raise SpecError(f"{name} is no table partitioned by {key}")
-    found = small_file_partitions(spark, name, key, values, file_bytes).collect()
-    chosen = sorted(r.partition_value for r in found)
-    if chosen:
-        rows = target_partitions(spark, name, key, chosen)
-        before = rows.count()
-        packed = (
-            rows.withColumn("tablekeel_salt", F.spark_partition_id() % _files_for(found, key, rows))
-            .repartition(sum(r.files_needed for r in found), quoted(key), "tablekeel_salt")
-            .drop("tablekeel_salt")
-        )
-        _overwrite_partitions(spark, packed, name, state)
-        after = target_partitions(spark, name, key, chosen).count()
-        if before != after:
-            raise VerificationError(f"compaction of {name} found {before} rows and left {after}")
+    found = small_file_partitions(spark, name, key, values, file_bytes, least_factor)
+    chosen = sorted(r.partition_value for r in found.select("partition_value").collect())
+    if not chosen:
+        return []
+    rows = target_partitions(spark, name, key, chosen)
+    kind = state.provider if state.provider in SELF_DESCRIBING else "parquet"
+    folder = _new_folder(spark, state)
+    try:
+        spread_for_write(rows, key, len(chosen)).write.format(kind).partitionBy(key).save(folder)
+        staged = StagedRows(_read_back(spark, folder, kind, rows.schema), folder, [])
+        verify_partitions(spark, staged.frame, name, key, chosen)
+    except BaseException:
+        _delete(spark, [folder])
+        raise
+    _publish(spark, staged, name, key, chosen, state)
     return chosen
-
-
-def _files_for(found: list[Row], key: str, rows: DataFrame) -> Column:
-    """The number of files of the row's partition; nearly all partitions share a few numbers."""
-    by_number: dict[int, list[str]] = {}
-    for r in found:
-        by_number.setdefault(r.files_needed, []).append(r.partition_value)
-    number = F.lit(1)
-    for files, values in by_number.items():
-        if files > 1:
-            number = F.when(key_in(key, rows.schema[key].dataType, values), files).otherwise(number)
-    return number

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,5 +33,5 @@ def source_errors(what: str) -> Iterator[None]:
     """Re-raise Spark's errors as :class:`SourceError`, with the cause attached."""
     try:
         yield
-    except PySparkException as cause:
+    except (PySparkException, Py4JJavaError) as cause:
         raise SourceError(f"partition_query failed: {what}: {cause}") from cause

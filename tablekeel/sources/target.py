@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,15 @@ class TargetState:
     storage_properties: str
     partition_columns: tuple[str, ...]
     schema: T.StructType
+    location: str = ""
+    lists_partitions: bool = False
+
+    @property
+    def options(self) -> dict[str, str]:
+        """How files of the table are written, such as the separator of a text format."""
+        pairs = (p.partition("=") for p in self.storage_properties.strip("[]").split(", "))
+        ours = ("partitionoverwritemode", "path", "serialization.format")
+        return {k: v for k, _, v in pairs if k and k.lower() not in ours}
 
     @property
     def replaces_only_written_partitions(self) -> bool:
@@ -48,6 +58,8 @@ def target_state(spark: SparkSession, name: str) -> TargetState | None:
         partition_columns=tuple(column for column, _ in partitioning if column != "# col_name"),
         # A view is replaced whatever its columns, even one that no longer resolves.
         schema=T.StructType() if is_view else spark.table(name).schema,
+        location=details.get("Location", ""),
+        lists_partitions=details.get("Partition Provider", "") == "Catalog",
     )
 
 
@@ -61,6 +73,25 @@ def _section(described: list[tuple[str, str]], heading: str) -> list[tuple[str,
     return rest[: blank[0]] if blank else rest
 
 
+def partition_literal(key: str, key_type: T.DataType, value: str) -> str:
+    """The partition as SQL names it: ``PARTITION (key = value)``."""
+    text = "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"PARTITION ({quoted(key)} = {'DATE ' if isinstance(key_type, T.DateType) else ''}{text})"
+
+
+def partition_locations(spark: SparkSession, name: str, key: str, values: Sequence[str]) -> dict[str, str]:
+    """The folder of each listed partition that the catalog knows."""
+    key_type = spark.table(name).schema[key].dataType
+    known = {unquote(r.partition.split("=", 1)[1]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    found = {}
+    for value in values:
+        if value in known:
+            rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name} {partition_literal(key, key_type, value)}").collect()
+            section = _section([(r.col_name, r.data_type) for r in rows], "# Detailed Partition Information")
+            found[value] = dict(section)["Location"]
+    return found
+
+
 def check_target_kind(spec: LoadSpec, state: TargetState | None) -> None:
     """Refuse a target that is not the kind of object the spec describes.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, fields
+from zoneinfo import ZoneInfo
 
 from tablekeel.errors import SpecError
 
@@ -16,6 +17,7 @@ STRATEGIES = {
 # Fixed value: where the quoted list of source days goes in a partitioned query.
 DATE_LIST_PLACEHOLDER = "{target_date_list}"
 
+# The fields that every description has.
 REQUIRED_FIELDS = (
     "table",
     "schema",
@@ -40,6 +42,7 @@ class LoadSpec:
     partition_query: str
     partition_column: str = ""
     catalog: str = ""
+    time_zone: str = ""
 
     @classmethod
     def from_mapping(cls, config: Mapping[str, str | None]) -> LoadSpec:
@@ -74,6 +77,11 @@ class LoadSpec:
                 raise SpecError(
                     f"{name} must be a single name without dots, got {getattr(self, name)!r}"
                 )
+        if self.time_zone:
+            try:
+                ZoneInfo(self.time_zone)
+            except (ValueError, KeyError, OSError) as cause:
+                raise SpecError(f"time_zone {self.time_zone!r} is not known") from cause
         if self.partition_type not in STRATEGIES:
             raise SpecError(
                 f"partition_type must be one of {', '.join(STRATEGIES)}; got {self.partition_type!r}"

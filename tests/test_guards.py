@@ -35,10 +35,9 @@ def unfiltered(view):
     return f"SELECT * FROM {view} WHERE d IN ({{target_date_list}}) OR true"
 
 
-@pytest.mark.parametrize("staged", [False, True])
-def test_no_rows(spark, loaded, staged):
+def test_no_rows(spark, loaded):
     spec = day_spec(loaded, source(spark, []))
-    refused(spark, spec, RANGE, "no rows", modes=(True, False), staged_source=staged)
+    refused(spark, spec, RANGE, "no rows", modes=(True, False))
 
 
 def test_no_rows_full(spark):
@@ -49,13 +48,12 @@ def test_no_rows_full(spark):
     assert tables_of(spark, schema) == ["t"]
 
 
-@pytest.mark.parametrize("staged", [False, True])
 @pytest.mark.parametrize(
     "bad", ["2023-12-31", "2024-01-05", "2024-01-015", "2024-01-1", "zzz", "", None, "2024-01-01 "]
 )
-def test_key_that_is_no_expected_partition(spark, loaded, bad, staged):
+def test_key_that_is_no_expected_partition(spark, loaded, bad):
     view = source(spark, [*days_of(1), (1, 1.0, bad), (2, 1.0, bad)])
-    refused(spark, day_spec(loaded, view, unfiltered(view)), RANGE, "2 rows have a d", staged_source=staged)
+    refused(spark, day_spec(loaded, view, unfiltered(view)), RANGE, "2 rows have a d")
 
 
 def test_null_keys_are_counted(spark, loaded):
@@ -129,12 +127,11 @@ def test_invalid_sql(spark, loaded):
     refused(spark, day_spec(loaded, None, "SELEKT {target_date_list}"), RANGE, "could not be analysed", SourceError)
 
 
-@pytest.mark.parametrize("staged", [False, True])
-def test_error_at_run_time(spark, loaded, staged):
+def test_error_at_run_time(spark, loaded):
     view = source(spark, days_of(1))
     query = f"SELECT id, v, IF(id < 0, d, raise_error('boom')) AS d FROM {view} WHERE d IN ({{target_date_list}})"
     spec = day_spec(loaded, view, query)
-    refused(spark, spec, RANGE, "boom", SourceError, staged_source=staged)
+    refused(spark, spec, RANGE, "boom", SourceError)
 
 
 def test_error_at_run_time_in_full_and_view(spark):

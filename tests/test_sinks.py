@@ -61,15 +61,14 @@ def test_columns_match_without_regard_to_case(spark):
     assert {r.v for r in spark.table(f"{schema}.t").collect()} == {1.0}
 
 
-@pytest.mark.parametrize("staged", [False, True])
-def test_untyped_null(spark, staged):
+def test_untyped_null(spark):
     schema = database(spark)
     view = source(spark, days_of(1))
     query = f"SELECT id, NULL AS v, d FROM {view} WHERE d IN ({{target_date_list}})"
     with pytest.raises(SpecError, match="CAST"):
-        run_load(spark, day_spec(schema, view, query), RANGE, staged_source=staged)
+        run_load(spark, day_spec(schema, view, query), RANGE)
     run_load(spark, day_spec(schema, view), RANGE)
-    run_load(spark, day_spec(schema, view, query), RANGE, staged_source=staged)
+    run_load(spark, day_spec(schema, view, query), RANGE)
     assert {r.v for r in spark.table(f"{schema}.t").collect()} == {None}
 
 
@@ -109,13 +108,12 @@ def test_full_may_read_its_own_target(spark):
     assert rows_of(spark.table(f"{schema}.t")) == [(10,), (11,), (12,)]
 
 
-@pytest.mark.parametrize("staged", [False, True])
-def test_partitioned_may_read_its_own_target(spark, staged):
+def test_partitioned_may_read_its_own_target(spark):
     schema = database(spark)
     view = source(spark, days_of(2))
     run_load(spark, day_spec(schema, view), RANGE)
     query = f"SELECT id, v + 5 AS v, d FROM {schema}.t WHERE d IN ({{target_date_list}})"
-    run_load(spark, day_spec(schema, view, query), DAYS[1], staged_source=staged)
+    run_load(spark, day_spec(schema, view, query), DAYS[1])
     found = {d: set() for d in DAYS}
     for r in spark.table(f"{schema}.t").collect():
         found[r.d].add(r.v)
@@ -144,7 +142,7 @@ def test_view_that_no_longer_resolves_can_be_replaced(spark):
 def test_full_may_be_rebalanced(spark):
     schema = database(spark)
     many = "SELECT /*+ REPARTITION(6) */ id FROM range(100)"
-    for options, files in (({}, 6), ({"compact": True}, 1), ({"rebalance": True}, 1)):
+    for options, files in (({}, 1), ({"compact": False}, 6), ({"rebalance": True}, 1)):
         run_load(spark, full_spec(schema, many), **options)
         table = spark.table(f"{schema}.t")
         assert table.count() == 100
@@ -223,6 +221,79 @@ def test_compaction_with_the_load(spark):
     assert spark.table(spec.target).count() == 400
 
 
+def test_compaction_of_many_partitions_with_different_file_counts(spark):
+    name = f"{database(spark)}.wide"
+    frame = spark.range(0, 4000, 1, 20).where("id % 20 <= id % 400 / 20").selectExpr("id", "concat('k', id % 400) AS d")
+    frame.write.partitionBy("d").saveAsTable(name)
+    rows = rows_of(spark.table(name))
+    values = sorted({r[1] for r in rows})
+    assert len(values) > 150
+    done = compact_partitions(spark, name, "d", values)
+    assert len(done) > 100
+    assert set(files_per_day(spark, name).values()) == {1}
+    assert rows_of(spark.table(name)) == rows
+
+
+@pytest.mark.parametrize("external", [False, True])
+def test_full_keeps_kind_comment_and_properties(spark, tmp_path, external):
+    schema = database(spark)
+    where = f"LOCATION '{tmp_path}/kept'" if external else ""
+    spark.sql(f"CREATE TABLE {schema}.t (id BIGINT) USING parquet {where} COMMENT 'mine' TBLPROPERTIES ('owner.team' = 'x')")
+    spark.sql(f"INSERT INTO {schema}.t VALUES (7)")
+    run_load(spark, full_spec(schema, f"SELECT id + 1 AS id FROM {schema}.t"))
+    run_load(spark, full_spec(schema, f"SELECT id + 1 AS id FROM {schema}.t"))
+    assert rows_of(spark.table(f"{schema}.t")) == [(9,)]
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {schema}.t").collect()}
+    assert told["Type"] == ("EXTERNAL" if external else "MANAGED")
+    assert told["Comment"] == "mine" and "owner.team=x" in told["Table Properties"]
+
+
+def test_full_load_that_fails_before_the_switch_changes_nothing(spark, monkeypatch):
+    from tablekeel.sinks import tables
+
+    schema = database(spark)
+    run_load(spark, full_spec(schema, "SELECT 1 AS a"))
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(tables, "add_columns", killed)
+    with pytest.raises(KeyboardInterrupt):
+        run_load(spark, full_spec(schema, "SELECT 2 AS a, 3 AS b"))
+    monkeypatch.undo()
+    assert rows_of(spark.table(f"{schema}.t")) == [(1,)]
+    assert report_of(run_load(spark, full_spec(schema, "SELECT 2 AS a, 3 AS b"))) == [(None, 1, 1, 1, "written")]
+
+
+def test_shuffle_partitions_for_many_values(spark):
+    rows = spark.range(10).selectExpr("id", "'x' AS d")
+    for values, wanted in ((1, 8), (600, 2000), (100, 400)):
+        plan = spread_for_write(rows, "d", values)._jdf.queryExecution().analyzed().toString()
+        assert f", {wanted}" in plan.split("RebalancePartitions")[1].split("\n")[0]
+
+
+def test_without_adaptive_execution_small_days_get_few_files(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spec = scattered(spark, database(spark))
+        run_load(spark, spec, RANGE)
+        assert max(files_per_day(spark, spec.target).values()) <= 2
+        assert spark.table(spec.target).columns == ["id", "v", "d"]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_a_column_named_like_the_helper_is_kept(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        view = source(spark, [(1, 1.0, DAYS[0])], "salt int, v double, d string")
+        spec = day_spec(database(spark), view)
+        run_load(spark, spec, DAYS[0])
+        assert rows_of(spark.table(spec.target)) == [(1, 1.0, DAYS[0])]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_compaction_needs_the_right_table(spark):
     schema = database(spark)
     run_load(spark, full_spec(schema, "SELECT 1 AS d"))

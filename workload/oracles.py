@@ -12,9 +12,9 @@ SELECT p_partkey AS product_code, p_name AS product_name, CAST(p_size AS VARCHAR
   CASE WHEN p_retailprice >= 1000 THEN 'premium' ELSE 'standard' END AS price_band
 FROM part""",
     "compound_predicate": """
-SELECT event_id, event_type, value FROM events
+SELECT event_id, nullif(event_type, 'error') AS event_type, value FROM events
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-02' AND DATE '2024-01-29'
-  AND (value >= 20 OR event_type IS NULL)""",
+  AND (value >= 20 OR event_type = 'error')""",
     "day_spine": """
 WITH active AS (
   SELECT user_id, date_trunc('day', min(ts)) AS first_day, date_trunc('day', max(ts)) AS last_day
@@ -71,16 +71,25 @@ SELECT request_id, partition_type, target_date,
 FROM t""",
     "choose_window": """
 WITH q AS (
-  SELECT o_orderkey AS request_id, o_orderstatus AS s, CAST(o_orderdate AS DATE) AS run_date,
-    CAST(o_orderdate - INTERVAL 1 DAY AS DATE) AS prev
-  FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED')
+  SELECT o_orderkey AS request_id, o_orderstatus AS s, o_orderpriority = '4-NOT SPECIFIED' AS monthly,
+    CAST(o_orderdate AS DATE) AS run_date, CAST(o_orderdate - INTERVAL 1 DAY AS DATE) AS prev
+  FROM orders)
 SELECT request_id,
-  CASE WHEN s = 'F' THEN 'single_day' ELSE 'last_and_current_month' END AS processing_strategy,
+  CASE WHEN monthly THEN 'single_month' WHEN s = 'F' THEN 'single_day' ELSE 'last_and_current_month' END
+    AS processing_strategy,
   run_date,
-  CASE s WHEN 'F' THEN strftime(run_date, '%Y-%m-%d') WHEN 'O' THEN '' END AS target_date,
-  CASE WHEN s = 'F' THEN run_date
+  CASE WHEN s = 'O' THEN ''
+    WHEN s = 'F' AND monthly THEN strftime(run_date, '%Y-%m')
+    WHEN s = 'F' AND request_id % 2 = 0
+      THEN strftime(run_date, '%Y-%m-%d') || ',' || strftime(run_date + INTERVAL 6 DAY, '%Y-%m-%d')
+    WHEN s = 'F' THEN strftime(run_date, '%Y-%m-%d') END AS target_date,
+  CASE WHEN s = 'F' AND monthly THEN CAST(date_trunc('month', run_date) AS DATE)
+    WHEN s = 'F' THEN run_date
+    WHEN monthly THEN CAST(date_trunc('month', prev) AS DATE)
     ELSE CAST(date_trunc('month', prev) - INTERVAL 1 MONTH AS DATE) END AS start_date,
-  CASE WHEN s = 'F' THEN run_date ELSE prev END AS end_date
+  CASE WHEN s = 'F' AND monthly THEN last_day(run_date)
+    WHEN s = 'F' AND request_id % 2 = 0 THEN CAST(run_date + INTERVAL 6 DAY AS DATE)
+    WHEN s = 'F' THEN run_date ELSE prev END AS end_date
 FROM q""",
     "partition_row_counts": """
 SELECT strftime(ts, '%Y-%m-%d') AS event_day, count(*) AS row_count FROM events GROUP BY 1""",

@@ -128,7 +128,9 @@ def projection_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def compound_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = daily_events(
-        sf_dir, columns="e.event_id, e.event_type, e.value", where="e.value >= 20 OR e.event_type IS NULL"
+        sf_dir,
+        columns="e.event_id, nullif(e.event_type, 'error') AS event_type, e.value",
+        where="e.value >= 20 OR nullif(e.event_type, 'error') IS NULL",
     )
     return planned_source(spark, spec, "2024-01-02,2024-01-29").drop("event_day")
 
@@ -231,14 +233,17 @@ def parse_target_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def choose_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A given request wins over the strategy; where it is absent or empty the strategy applies."""
+    month = F.col("partition_type") == "month"
+    day = F.col("run_date").cast("string")
+    week = F.concat(day, F.lit(","), F.date_add("run_date", 6).cast("string"))
     given = (
-        F.when(F.col("status") == "F", F.col("run_date").cast("string"))
+        F.when((F.col("status") == "F") & month, F.date_format("run_date", "yyyy-MM"))
+        .when((F.col("status") == "F") & (F.col("request_id") % 2 == 0), week)
+        .when(F.col("status") == "F", day)
         .when(F.col("status") == "O", F.lit(""))
         .cast("string")
     )
-    requests = (
-        load_requests(spark, sf_dir).where("partition_type = 'day'").withColumn("target_date", given)
-    )
+    requests = load_requests(spark, sf_dir).withColumn("target_date", given)
     return plan_loads(requests).select(
         "request_id", "processing_strategy", "run_date", "target_date", "start_date", "end_date"
     )
@@ -362,8 +367,8 @@ def replace_staged_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
             WHERE {IN_TARGET_MONTHS}
             GROUP BY c.c_nationkey, date_format(o.o_orderdate, 'yyyy-MM')""",
     )
-    run_load(spark, totals, ALL_MONTHS, staged_source=True)
-    run_load(spark, totals, "1996-01,1996-12", staged_source=True)
+    run_load(spark, totals, ALL_MONTHS)
+    run_load(spark, totals, "1996-01,1996-12")
     return spark.table(totals.target)
 
 
