@@ -9,7 +9,8 @@
    reach the threshold; below the chosen miss probability the pair is dropped.
 4. Survivors are verified on their whole sets, and connected components are found.
 5. In buckets that still hold several components, all classes of different components are
-   compared the same way, in blocks of bounded size, so that no link depends on the centre.
+   compared and verified the same way, in blocks of bounded size, so that no link depends
+   on the centre.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 from tablekeel.llm.common import WordHasher, cut, mixed, pick, pieces, small, text_bytes
 
-#: Classes of one side of a block comparison.
-BLOCK = 256
+#: Classes, and shingles of all of them, of one side of a block comparison, on average.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 20
 ROWS_IN_BAND = 5
 #: Signature values that are compared before the posterior is looked at again.
 BATCH = 24
@@ -181,10 +182,9 @@ def prune_pairs(pairs: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
     return pairs.select("a", "b", "sig_a", "sig_b", "n_a", "n_b").mapInArrow(work, "a binary, b binary")
 
 
-def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) of classes that are linked, by their whole sets, which are made again from the texts."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    wanted = cut(wanted.join(reps.select("cls", F.col("least").alias("doc_id")), "cls"))
+def sets_of(wanted: DataFrame, docs: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
+    """Per wanted class (cls): cls and shingles, ascending, made again from the text of one of its documents."""
+    wanted = cut(wanted.distinct().join(reps.select("cls", F.col("least").alias("doc_id")), "cls"))
     rows = docs.join(small(wanted), "doc_id").select("text", "cls")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +204,12 @@ def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, rule: Rule) -> Da
                     names=["cls", "shingles"],
                 )
 
-    sets = rows.mapInArrow(work, "cls binary, shingles array<bigint>").dropDuplicates(["cls"])
+    return rows.mapInArrow(work, "cls binary, shingles array<bigint>").dropDuplicates(["cls"])
+
+
+def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) of classes that are linked, by their whole sets."""
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("cls")), docs, reps, rule)
     for side in ("b", "a"):
         pairs = pairs.join(sets.select(F.col("cls").alias(side), F.col("shingles").alias(f"s_{side}")), side)
     both = F.size(F.array_intersect("s_a", "s_b"))
@@ -242,15 +247,21 @@ def _cells(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
     others, and the others among each other; the centre itself has been compared with all.
     """
     rows = members.join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    rows = rows.join(reps.select("cls", "n_shingles"), "cls")
     centre = rows.groupBy("band", "key").agg(F.max(F.struct("degree", "cls", "comp")).alias("centre"))
     rows = rows.join(centre, ["band", "key"]).withColumn("main", F.col("comp") == F.col("centre.comp"))
+    total = lambda main, of: F.sum(F.when(F.col("main") == main, of).otherwise(0))
     counts = rows.groupBy("band", "key").agg(
-        F.sum(F.when(F.col("main"), 1).otherwise(0)).alias("n_main"), F.sum(F.when(F.col("main"), 0).otherwise(1)).alias("n_other")
+        total(True, F.lit(1)).alias("n_main"),
+        total(False, F.lit(1)).alias("n_other"),
+        total(True, F.col("n_shingles")).alias("s_main"),
+        total(False, F.col("n_shingles")).alias("s_other"),
     )
     counts = counts.where("n_other > 0 AND n_main + n_other > 2")
     rows = rows.where(F.col("cls") != F.col("centre.cls")).join(counts, ["band", "key"])
-    n_main = F.ceil((F.col("n_main") - 1) / BLOCK).cast("int")
-    n_other = F.ceil(F.col("n_other") / BLOCK).cast("int")
+    blocks = lambda n, s: F.greatest(F.ceil(n / BLOCK), F.ceil(s / BLOCK_SHINGLES)).cast("int")
+    n_main = F.when(F.col("n_main") > 1, blocks(F.col("n_main") - 1, F.col("s_main"))).otherwise(0)
+    n_other = blocks(F.col("n_other"), F.col("s_other"))
     block = F.pmod(F.xxhash64("cls"), F.when(F.col("main"), n_main).otherwise(n_other)).cast("int")
     rows = rows.select(
         "band", "key", "cls", "comp", "main", F.col("n_other").alias("others"), n_main.alias("n_main"), n_other.alias("n_other"), block.alias("block")
@@ -264,15 +275,18 @@ def _cells(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
     alone = F.col("main") | (F.col("others") < 2)
     among = F.when(alone, F.array().cast("array<struct<kind:int,i:int,j:int>>")).otherwise(among)
     rows = rows.withColumn("cell", F.explode(F.concat(cross, among)))
-    rows = rows.select("band", "key", "cell", "cls", "comp", "main", "block")
-    return rows.join(reps.select("cls", "sig", "n_shingles"), "cls")
+    return rows.select("band", "key", "cell", "cls", "comp", "main", "block")
 
 
-def compare_cells(cells: DataFrame, rule: Rule, best: bool) -> DataFrame:
-    """Pairs (a, b) of different components whose signatures may belong to a link; each pair in its first band only.
+def links_in_cells(cells: DataFrame, docs: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
+    """Links (a, b) between classes of different components, of which enough to connect what is linked within a cell.
 
-    best: for each class only the candidate with most matches, which links most of what can be linked.
+    A pair is looked at in the first band it shares. Its signatures are compared first, and
+    if they may belong to a link, its whole sets, the likeliest pairs first; a pair that a
+    chain of links within the cell has connected by then is passed over.
     """
+    sets = sets_of(cells.select("cls"), docs, reps, rule).join(reps.select("cls", "sig"), "cls")
+    cells = cells.join(sets, "cls")
 
     def work(table: pa.Table) -> pa.Table:
         n = table.num_rows
@@ -283,7 +297,10 @@ def compare_cells(cells: DataFrame, rule: Rule, best: bool) -> DataFrame:
         band = table.column("band")[0].as_py()
         names = table.column("cls").to_pylist()
         sig = _matrix(table.column("sig").combine_chunks())
-        size = table.column("n_shingles").to_numpy()
+        flat = table.column("shingles").combine_chunks()
+        edges = flat.offsets.to_numpy()
+        shingles = flat.values.to_numpy(zero_copy_only=False).view(np.uint64)
+        size = np.diff(edges)
         index: dict[bytes, int] = {}
         comp = np.array([index.setdefault(c, len(index)) for c in table.column("comp").to_pylist()])
         main, block = np.array(table.column("main").to_pylist()), table.column("block").to_numpy()
@@ -304,16 +321,28 @@ def compare_cells(cells: DataFrame, rule: Rule, best: bool) -> DataFrame:
         same = (sig[x, : band * ROWS_IN_BAND] == sig[y, : band * ROWS_IN_BAND]).reshape(len(x), band, ROWS_IN_BAND)
         first = ~same.all(axis=2).any(axis=1)
         x, y, matches = x[first], y[first], matches[first]
-        if best and len(x):
-            keep = np.zeros(len(x), dtype=bool)
-            for side in (x, y):
-                order = np.lexsort((-matches, side))
-                keep[order[np.concatenate([[True], side[order][1:] != side[order][:-1]])]] = True
-            x, y = x[keep], y[keep]
-        pairs = [(names[i], names[j]) if names[i] < names[j] else (names[j], names[i]) for i, j in zip(x, y, strict=True)]
-        return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
-
-    return cells.groupBy("band", "key", "cell").applyInArrow(work, "a binary, b binary").distinct()
+        order = np.argsort(-matches, kind="stable")
+        leader = list(range(len(index)))
+
+        def lead(c: int) -> int:
+            while leader[c] != c:
+                leader[c] = c = leader[leader[c]]
+            return c
+
+        found = []
+        for i, j in zip(x[order].tolist(), y[order].tolist(), strict=True):
+            p, q = lead(comp[i]), lead(comp[j])
+            if p == q:
+                continue
+            one, two = shingles[edges[i] : edges[i + 1]], shingles[edges[j] : edges[j + 1]]
+            at = np.searchsorted(two, one)
+            both = int((two[np.minimum(at, len(two) - 1)] == one).sum())
+            if 100 * both >= rule.percent * (len(one) + len(two) - both):
+                leader[p] = q
+                found.append((min(names[i], names[j]), max(names[i], names[j])))
+        return pa.table({"a": pa.array([p[0] for p in found], pa.binary()), "b": pa.array([p[1] for p in found], pa.binary())})
+
+    return cut(cells.groupBy("band", "key", "cell").applyInArrow(work, "a binary, b binary").distinct())
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -345,13 +374,9 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id"
     star = star.select(F.least("cls", "centre.cls").alias("a"), F.greatest("cls", "centre.cls").alias("b")).distinct()
     links = verify(cut(prune_pairs(star, reps, rule)), docs, reps, rule)
     labels = components(links)
-    for best in (True, False):
-        pairs = cut(compare_cells(_cells(members, labels, reps), rule, best))
-        more = verify(pairs, docs, reps, rule)
-        if more.isEmpty():
-            continue
-        links = links.union(more)
-        labels = components(links)
+    more = links_in_cells(cut(_cells(members, labels, reps)), docs, reps, rule)
+    if not more.isEmpty():
+        labels = components(links.union(more))
     named = reps.select("cls", "least").join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     smallest = named.groupBy("comp").agg(F.min("least").alias("smallest"))
     named = named.join(smallest, "comp").select("cls", "smallest")
