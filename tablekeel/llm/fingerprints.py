@@ -4,8 +4,8 @@ A document is the set of its paragraphs' digests. Its sketch adds each digest to
 of each of three tables: a count, and the exclusive-or of digests and of their checks. Two
 sketches subtract cell by cell, which leaves the digests that only one version has. A cell
 that holds one digest gives it away; taking it out of its other cells frees further ones,
-until nothing is left. If that gets stuck, it is tried again with four times as many
-cells. Everything is a DataFrame expression, and works within a row.
+until nothing is left. If that gets stuck, it is tried again with more and more cells.
+Everything is a DataFrame expression, and works within a row.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from pyspark.sql.window import Window
 from tablekeel.llm.common import pick, small
 
 #: Cells of each of the three tables: of the fingerprint itself, and of a share of a larger sketch.
-BASE_CELLS, SHARE_CELLS = 5, 7
-#: A larger sketch divides digests into 4, 16, 64 ... shares with a sketch each, so that its work grows with its size.
-RETRIES = 12
+BASE_CELLS, SHARE_CELLS = 5, 12
+#: A larger sketch divides digests into shares with a sketch each, so that its work grows with its size. It begins
+#: with a share for so many digests of both versions, and has twice as many shares for each further try.
+SHARE_DIGESTS, RETRIES = 32, 20
 ROUNDS = 16
 #: A paragraph is a line; a longer line is cut into paragraphs of so many characters.
 PARAGRAPH = 256
@@ -50,16 +51,15 @@ def _cell(n: str, k: str, c: str) -> str:
     return f"named_struct('n', CAST({n} AS INT), 'k', {k}, 'c', {c})"
 
 
-def _in(entries: str) -> str:
-    return f"filter({entries}, e -> e.p0 = i OR e.p1 = i OR e.p2 = i)"
-
-
 def sketch(digests: str, cells: int) -> str:
     """The cells of all three tables, one after another."""
     add = _cell("x.n + 1", "x.k ^ y.k", "x.c ^ y.c")
-    fill = f"aggregate({_in('es')}, {_cell('0', '0L', '0L')}, (x, y) -> {add})"
     entries = f"transform({digests}, d -> {_entry('d', cells)})"
-    return let("es", entries, f"transform(sequence(0, {3 * cells - 1}), i -> {fill})")
+    tables = []
+    for t in range(3):
+        fill = f"aggregate(filter(es, e -> e.p{t} = i), {_cell('0', '0L', '0L')}, (x, y) -> {add})"
+        tables.append(f"transform(sequence({t * cells}, {(t + 1) * cells - 1}), i -> {fill})")
+    return let("es", entries, f"concat({', '.join(tables)})")
 
 
 def subtract(a: str, b: str) -> str:
@@ -72,7 +72,7 @@ def peel(difference: str, cells: int) -> str:
     pure = "filter(s.cells, c -> abs(c.n) = 1 AND c.c = xxhash64(c.k, 7))"
     more = ", 'n', c.n"
     pure = f"array_distinct(transform({pure}, c -> {_entry('c.k', cells, more)}))"
-    without = f"aggregate({_in('pure')}, cell, (x, y) -> {_cell('x.n - y.n', 'x.k ^ y.k', 'x.c ^ y.c')})"
+    without = f"aggregate(filter(pure, e -> e.p0 = i OR e.p1 = i OR e.p2 = i), cell, (x, y) -> {_cell('x.n - y.n', 'x.k ^ y.k', 'x.c ^ y.c')})"
     left = f"CASE WHEN size(pure) > 0 THEN transform(s.cells, (cell, i) -> {without}) ELSE s.cells END"
     turn = let("pure", pure, f"named_struct('cells', {left}, 'found', s.found + size(pure), 'going', size(pure) > 0)")
     end = f"aggregate(sequence(1, {ROUNDS}), {start}, (s, r) -> CASE WHEN s.going THEN {turn} ELSE s END)"
@@ -83,7 +83,8 @@ def difference_size(a: str, b: str, base_a: str, base_b: str) -> str:
     """How many digests only one of two versions has: by the fingerprints, or where these get stuck by larger sketches."""
     own = [sketch(f"filter({x}, h -> pmod(shiftrightunsigned(h, 40), shares) = share)", SHARE_CELLS) for x in (a, b)]
     one = f"CASE WHEN total IS NOT NULL THEN total + {peel(subtract(*own), SHARE_CELLS)} END"
-    larger = let("shares", "shiftleft(1, 2 * level)", f"aggregate(sequence(0, shares - 1), 0L, (total, share) -> {one})")
+    shares = f"shiftleft(1L, level - 1) * ceil((size({a}) + size({b})) / {SHARE_DIGESTS})"
+    larger = let("shares", shares, f"aggregate(sequence(0L, shares - 1), 0L, (total, share) -> {one})")
     first = peel(subtract(base_a, base_b), BASE_CELLS)
     return f"aggregate(sequence(1, {RETRIES}), {first}, (done, level) -> CASE WHEN done IS NOT NULL THEN done ELSE {larger} END)"
 
