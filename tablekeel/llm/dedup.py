@@ -209,7 +209,8 @@ def sets_of(wanted: DataFrame, docs: DataFrame, reps: DataFrame, rule: Rule) ->
 
 def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) of classes that are linked, by their whole sets."""
-    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("cls")), docs, reps, rule)
+    # Kept as files: a join of its own exchange is one that Spark can split where a class has many pairs.
+    sets = cut(sets_of(pairs.select(F.explode(F.array("a", "b")).alias("cls")), docs, reps, rule))
     for side in ("b", "a"):
         pairs = pairs.join(sets.select(F.col("cls").alias(side), F.col("shingles").alias(f"s_{side}")), side)
     both = F.size(F.array_intersect("s_a", "s_b"))

@@ -43,7 +43,7 @@ def paragraph_digests(text: str) -> str:
 
 def _entry(key: str, cells: int, more: str = "") -> str:
     """A digest with its check and its cell in each of the three tables, from bits of its own for each."""
-    places = [f"'p{t}', CAST(pmod(shiftrightunsigned({key}, {13 * t}), {cells}) AS INT) + {t * cells}" for t in range(3)]
+    places = [f"'p{t}', CAST(pmod(shiftrightunsigned({key}, {13 * t}), {cells}) AS INT)" for t in range(3)]
     return f"named_struct('k', {key}, 'c', xxhash64({key}, 7), {', '.join(places)}{more})"
 
 
@@ -58,7 +58,7 @@ def sketch(digests: str, cells: int) -> str:
     tables = []
     for t in range(3):
         fill = f"aggregate(filter(es, e -> e.p{t} = i), {_cell('0', '0L', '0L')}, (x, y) -> {add})"
-        tables.append(f"transform(sequence({t * cells}, {(t + 1) * cells - 1}), i -> {fill})")
+        tables.append(f"transform(sequence(0, {cells - 1}), i -> {fill})")
     return let("es", entries, f"concat({', '.join(tables)})")
 
 
@@ -72,8 +72,12 @@ def peel(difference: str, cells: int) -> str:
     pure = "filter(s.cells, c -> abs(c.n) = 1 AND c.c = xxhash64(c.k, 7))"
     more = ", 'n', c.n"
     pure = f"array_distinct(transform({pure}, c -> {_entry('c.k', cells, more)}))"
-    without = f"aggregate(filter(pure, e -> e.p0 = i OR e.p1 = i OR e.p2 = i), cell, (x, y) -> {_cell('x.n - y.n', 'x.k ^ y.k', 'x.c ^ y.c')})"
-    left = f"CASE WHEN size(pure) > 0 THEN transform(s.cells, (cell, i) -> {without}) ELSE s.cells END"
+    tables = []
+    for t in range(3):
+        without = _cell("x.n - y.n", "x.k ^ y.k", "x.c ^ y.c")
+        without = f"aggregate(filter(pure, e -> e.p{t} = i), cell, (x, y) -> {without})"
+        tables.append(f"transform(slice(s.cells, {t * cells + 1}, {cells}), (cell, i) -> {without})")
+    left = f"CASE WHEN size(pure) > 0 THEN concat({', '.join(tables)}) ELSE s.cells END"
     turn = let("pure", pure, f"named_struct('cells', {left}, 'found', s.found + size(pure), 'going', size(pure) > 0)")
     end = f"aggregate(sequence(1, {ROUNDS}), {start}, (s, r) -> CASE WHEN s.going THEN {turn} ELSE s END)"
     return let("z", end, "CASE WHEN forall(z.cells, c -> c.n = 0 AND c.k = 0 AND c.c = 0) THEN z.found END")
