@@ -147,7 +147,7 @@ def learn_languages(
         for language, total in totals.items():
             used = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([language] * len(used)), pa.array(used, pa.int32()), pa.array(total[used])],
+                [pa.array([language] * len(used), pa.string()), pa.array(used, pa.int32()), pa.array(total[used], pa.int64())],
                 names=["lang", "bucket", "n"],
             )
 
