@@ -419,6 +419,7 @@ def preview_dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = run_load(spark, spec, ALL_DAYS, dry_run=True)
     if spark.catalog.tableExists(spec.target):
         raise AssertionError("a dry run must not create its target")
+    spark.sql(f"DROP DATABASE {spec.schema} CASCADE")
     return report.select("partition_value", F.col("rows_read").alias("would_write"))
 
 
@@ -439,4 +440,6 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = fresh_database(spark, "report")
     early = daily_events(sf_dir, schema, where="e.event_type <> 'purchase'")
     run_load(spark, early, "2024-01-01,2024-01-29")
-    return run_load(spark, daily_events(sf_dir, schema), "2024-01-01,2024-02-02")
+    report = run_load(spark, daily_events(sf_dir, schema), "2024-01-01,2024-02-02")
+    spark.sql(f"DROP DATABASE {schema} CASCADE")
+    return report
