@@ -50,24 +50,29 @@ def _letters() -> np.ndarray:
 
 
 _LETTERS = _letters()
+_WINDOW = 1 << 20
 
 
 def grams(data: np.ndarray, offsets: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For n-grams of two and of three bytes: their buckets, and for each text the number before it.
 
-    Letters are lower-cased where UTF-8 has them in ASCII and Latin-1; all else in ASCII is a gap.
+    Letters are lower-cased where UTF-8 has them in ASCII and Latin-1; all else in ASCII is
+    a gap. Comes in windows of a bounded number of bytes, for texts of any length.
     """
     b = _LETTERS[data]
     b[1:][(b[:-1] == 0xC3) & (b[1:] >= 0x80) & (b[1:] <= 0x9E) & (b[1:] != 0x97)] += 32
-    x = np.zeros(len(b) + 2, dtype=np.uint64)
-    x[: len(b)] = b
-    left = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(len(b))  # bytes up to the end of the text
-    code = x[: len(b)]
-    for n in (1, 2):
-        code = code << np.uint64(8) | x[n : n + len(b)]
-        inside = np.flatnonzero((left > n) & ((b != 32) | (x[n : n + len(b)] != 32)))
-        bucket = mixed(code[inside] * np.uint64(4) + np.uint64(n)) >> np.uint64(64 - bits)
-        yield bucket.astype(np.int64), np.searchsorted(inside, offsets)
+    for at in range(0, len(b), _WINDOW):
+        size = min(_WINDOW, len(b) - at)
+        x = np.zeros(size + 2, dtype=np.uint64)
+        x[: len(b) - at] = b[at : at + size + 2]
+        ends = np.repeat(offsets[1:], np.diff(np.clip(offsets, at, at + size)))
+        left = ends - np.arange(at, at + size)  # bytes up to the end of the text
+        code = x[:size]
+        for n in (1, 2):
+            code = code << np.uint64(8) | x[n : n + size]
+            inside = np.flatnonzero((left > n) & ((x[:size] != 32) | (x[n : n + size] != 32)))
+            bucket = mixed(code[inside] * np.uint64(4) + np.uint64(n)) >> np.uint64(64 - bits)
+            yield bucket.astype(np.int64), np.searchsorted(inside + at, offsets)
 
 
 @dataclass

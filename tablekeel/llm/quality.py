@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from tablekeel.llm.common import WordHasher, pick, pieces, position, small, text_bytes, training_row, unused
 
 PASSAGE_WORDS = 40
+#: Bytes of text whose passages are held at a time, and up to which a text may teach.
+PART_BYTES, LEARN_BYTES = 1 << 20, 1 << 20
 _CLASSES = 6
 FEATURES = _CLASSES**3 + 6
 
@@ -85,6 +87,21 @@ def passages(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher) -> tuple
     return x, before
 
 
+def long_parts(text: np.ndarray, hasher: WordHasher) -> Iterator[np.ndarray]:
+    """A text cut where passages begin, in parts of about PART_BYTES, so that its passages stay the same."""
+    at, size = 0, PART_BYTES
+    while len(text) - at > size:
+        part = text[at : at + size]
+        starts, _ = hasher.words(part, np.array([0, len(part)]))
+        whole = (len(starts) - 1) // PASSAGE_WORDS * PASSAGE_WORDS  # the last word may go on
+        if whole <= 0:
+            size *= 2
+            continue
+        yield part[: starts[whole]]
+        at, size = at + int(starts[whole]), PART_BYTES
+    yield text[at:]
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(x / 2))
 
@@ -109,6 +126,20 @@ class QualityModel:
         a = raw / np.repeat(np.add.reduceat(raw, before[:-1]), np.diff(before))
         return t, g, a, np.add.reduceat(a[:, None] * h, before[:-1], axis=0)
 
+    def score_long(self, text: np.ndarray, hasher: WordHasher) -> float:
+        """The score of one text of any length, from parts of it, with attention summed up as they come."""
+        if self.weights is None:
+            return self.constant
+        top, total, mean = -np.inf, 0.0, np.zeros(len(self.weights["c"]))
+        for part in long_parts(text, hasher):
+            h = self.hidden(passages(part, np.array([0, len(part)]), hasher)[0])
+            raw = (np.tanh(h @ self.weights["V"]) * _sigmoid(h @ self.weights["U"])) @ self.weights["w"]
+            high = max(top, float(raw.max()))
+            share = np.exp(raw - high)
+            fade = np.exp(top - high)
+            total, mean, top = total * fade + share.sum(), mean * fade + share @ h, high
+        return float(_sigmoid((mean / total) @ self.weights["c"] + self.weights["b"][0]))
+
     def score(self, x: np.ndarray, before: np.ndarray) -> np.ndarray:
         if self.weights is None:
             return np.full(len(before) - 1, self.constant)
@@ -190,7 +221,7 @@ def learn_quality(
 
     only: a condition on doc_id. The features of the sample, and nothing else, come to the
     driver. A doc_id with several labels counts as 1 if any is 1; null ids, labels and
-    texts teach nothing. Without labels of both kinds the score is constant.
+    texts teach nothing, nor do texts beyond LEARN_BYTES. Without labels of both kinds the score is constant.
     """
     marks = pick(labels, doc_id=doc_id, quality=quality).where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     if only is not None:
@@ -201,6 +232,7 @@ def learn_quality(
     marks = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < min(scale, scale * sample_rows // max(n, 1)))
     rows = pick(docs, doc_id=doc_id, text=text).where(F.col("text").isNotNull())
     rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < min(scale, scale * sample_rows // max(n, 1)))
+    rows = rows.where(F.octet_length("text") <= LEARN_BYTES)
     rows = rows.join(small(marks, min(n, sample_rows)), "doc_id").select("doc_id", "text", "quality")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +259,8 @@ def score_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> D
     """docs with score added (under a name with "_" appended if docs has such a column).
 
     A null text counts as empty; an empty text is one passage without words, and has a
-    score like any other. No shuffle; a task holds one Arrow batch and its features.
+    score like any other. No shuffle; a task holds one Arrow batch, and the features of
+    PART_BYTES of text, however long a text is.
     """
     names = list(docs.columns)
     place = position(docs, text)
@@ -236,8 +269,12 @@ def score_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> D
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, hasher = shared.value, WordHasher()
         for batch in batches:
-            for part in pieces(batch, f"_{place}", 1 << 20):
-                scores = own.score(*passages(*text_bytes(part.column(f"_{place}")), hasher))
+            for part in pieces(batch, f"_{place}", PART_BYTES):
+                data, offsets = text_bytes(part.column(f"_{place}"))
+                if len(data) > PART_BYTES:  # then it is a single text
+                    scores = np.array([own.score_long(data, hasher)])
+                else:
+                    scores = own.score(*passages(data, offsets, hasher))
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(f"_{i}") for i in range(len(names))], pa.array(scores, pa.float64())],
                     names=[*[f"_{i}" for i in range(len(names))], "score"],

@@ -330,6 +330,48 @@ def test_quality_awkward_rows(spark):
     assert quality.classify_quality(docs(spark, []), labels).count() == 0
 
 
+def test_a_text_in_parts_has_the_same_score(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from tablekeel.llm.common import WordHasher, text_bytes
+
+    rng = random.Random(9)
+    text = " " + " ".join(rng.choice(["ab", "Cd!!", "é", "x" * 700, "12 |"]) for _ in range(900)) + "\n"
+    data, offsets = text_bytes(pa.array([text]))
+    hasher = WordHasher()
+    x, before = quality.passages(data, offsets, hasher)
+    model = quality.fit(np.concatenate([x, x * 0.5]), np.array([0, 9, 2 * len(x)]), np.array([0, 1], np.float32), hidden=5, gate=4, epochs=20, seed=1)
+    whole = model.score(x, before)[0]
+    for size in (300, 5000, 20_000):
+        monkeypatch.setattr(quality, "PART_BYTES", size)
+        assert b"".join(p.tobytes() for p in quality.long_parts(data, hasher)) == data.tobytes()
+        assert model.score_long(data, hasher) == pytest.approx(whole, abs=1e-4)
+
+
+def test_grams_in_windows(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from tablekeel.llm.common import text_bytes
+
+    data, offsets = text_bytes(pa.array(["Ünïcode tëxt of words", "", "ab", "x", None, "ÀÉ ÷ and more"]))
+
+    def counts():
+        out = [Counter() for _ in range(6)]
+        for key, start in language.grams(data, offsets, 16):
+            for i in range(6):
+                out[i].update(key[start[i] : start[i + 1]].tolist())
+        return out
+
+    whole = counts()
+    assert sum(whole[2].values()) == 1 and not whole[1] and not whole[3] and not whole[4]
+    for size in (1, 3, 7):
+        monkeypatch.setattr(language, "_WINDOW", size)
+        assert counts() == whole
+    assert np.diff(offsets).sum() == len(data)
+
+
 def test_passages_cover_all_words():
     import numpy as np
     import pyarrow as pa
