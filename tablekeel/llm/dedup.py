@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from tablekeel.llm.common import WordHasher, cut, mixed, pick, pieces, small, text_bytes
 
 #: Classes, and shingles of all of them, of one side of a block comparison, on average.
-BLOCK, BLOCK_SHINGLES = 256, 1 << 20
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
+#: Pairs whose signatures are compared at once.
+CHUNK = 1 << 16
 ROWS_IN_BAND = 5
 #: Signature values that are compared before the posterior is looked at again.
 BATCH = 24
@@ -290,9 +292,9 @@ def links_in_cells(cells: DataFrame, docs: DataFrame, reps: DataFrame, rule: Rul
     cells = cells.join(sets, "cls")
 
     def work(table: pa.Table) -> pa.Table:
-        n = table.num_rows
+        rows = table.num_rows
         empty = pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
-        if n < 2:
+        if rows < 2:
             return empty
         cell = table.column("cell")[0].as_py()
         band = table.column("band")[0].as_py()
@@ -309,7 +311,7 @@ def links_in_cells(cells: DataFrame, docs: DataFrame, reps: DataFrame, rule: Rul
             left, right = np.flatnonzero(main), np.flatnonzero(~main)
             x, y = np.repeat(left, len(right)), np.tile(right, len(left))
         elif cell["i"] == cell["j"]:
-            x, y = np.triu_indices(n, 1)
+            x, y = np.triu_indices(rows, 1)
         else:
             left, right = np.flatnonzero(block == cell["i"]), np.flatnonzero(block == cell["j"])
             x, y = np.repeat(left, len(right)), np.tile(right, len(left))
@@ -317,11 +319,16 @@ def links_in_cells(cells: DataFrame, docs: DataFrame, reps: DataFrame, rule: Rul
         x, y = x[apart], y[apart]
         if not len(x):
             return empty
-        alive, matches = likely(sig[x], sig[y], (size[x], size[y]), rule)
-        x, y = x[alive], y[alive]
-        same = (sig[x, : band * ROWS_IN_BAND] == sig[y, : band * ROWS_IN_BAND]).reshape(len(x), band, ROWS_IN_BAND)
-        first = ~same.all(axis=2).any(axis=1)
-        x, y, matches = x[first], y[first], matches[first]
+        kept = []
+        earlier = slice(0, band * ROWS_IN_BAND)
+        for at in range(0, len(x), CHUNK):
+            i, j = x[at : at + CHUNK], y[at : at + CHUNK]
+            alive, n = likely(sig[i], sig[j], (size[i], size[j]), rule)
+            i, j = i[alive], j[alive]
+            same = (sig[i, earlier] == sig[j, earlier]).reshape(len(i), band, ROWS_IN_BAND)
+            first = ~same.all(axis=2).any(axis=1)
+            kept.append((i[first], j[first], n[first]))
+        x, y, matches = (np.concatenate(parts) for parts in zip(*kept, strict=True))
         order = np.argsort(-matches, kind="stable")
         leader = list(range(len(index)))
 
