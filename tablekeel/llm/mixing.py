@@ -13,19 +13,18 @@ from __future__ import annotations
 from collections import deque
 from dataclasses import dataclass
 from fractions import Fraction
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablekeel.llm.common import WORD, cut, pick
+from tablekeel.llm.common import WORD, cut, pick, small
 
 #: More sources or patterns than this are refused: their sums, a row each, are held by the driver.
 MOST_PATTERNS = 100_000
 #: Levels of 256 buckets by which the place of a document in its pattern's seeded order is found.
 _LEVEL = 256
-#: Documents of each pattern, beyond the head of its order, that may fill what the head leaves open.
-FILLS = 2
 
 
 class Flow:
@@ -167,8 +166,9 @@ def mix(
 
     The first result has doc_id, size, sources, repeats and taken (repeats * size). repeats
     is the same for all documents of a pattern but for one more on a seeded part of them:
-    its words fall short of what was routed by less than one document. Documents without words
-    have 0. Ids may repeat or be null: copies of a row share its fate. The second result
+    what its words fall short of those routed by is less than any other of its documents has.
+    Documents without words have 0. Ids may repeat or be null: rows of equal id and size share
+    their fate and count as one document. The second result
     has source, source_size, target (double) and routed (long).
 
     Patterns and sources are summed by Spark; the driver routes between at most
@@ -207,7 +207,7 @@ def mix(
         [(s, sizes[i], float(targets[i]), routed[i]) for i, s in enumerate(names)],
         "source string, source_size long, target double, routed long",
     )
-    return Mix(seed, plan, cut(_ends(rows.join(F.broadcast(plan), "sources"))), summary)
+    return Mix(seed, plan, *_ends(rows.join(F.broadcast(plan), "sources")), summary)
 
 
 def _placed(rows: DataFrame, seed: int) -> DataFrame:
@@ -223,73 +223,98 @@ class Mix:
     """A plan that says of any document how often it is taken, by its pattern and its place in the seeded order.
 
     summary has source, source_size, target (double) and routed (long); plan and ends have
-    a row per pattern.
+    a row per pattern. together has places within the runs of ends that are not taken.
     """
 
     seed: int
     plan: DataFrame
     ends: DataFrame
+    together: DataFrame
     summary: DataFrame
 
     def repeats(self, docs: DataFrame) -> DataFrame:
-        """docs (doc_id, size, sources and others) with repeats; no shuffle, as plan and ends are bounded."""
+        """docs (doc_id, size, sources and others) with repeats; plan and ends are bounded, so that only many rows in together take a shuffle."""
         rows = _placed(docs, self.seed).join(F.broadcast(self.plan), "sources").join(F.broadcast(self.ends), "pattern", "left")
-        head = (F.col("place") <= F.col("end")) | F.array_contains("picked", F.col("place"))
-        more = F.coalesce(head & (F.col("rest") > 0), F.lit(False)).cast("long")
+        if not self.together.isEmpty():
+            rows = rows.join(small(self.together.withColumn("out", F.lit(True))), ["pattern", "place"], "left")
+        else:
+            rows = rows.withColumn("out", F.lit(None).cast("boolean"))
+        taken = F.exists("runs", lambda r: (F.col("place") > r["begin"]) & (F.col("place") <= r["end"]) & (F.col("size") <= r["most"]))
+        more = F.coalesce(taken & F.col("out").isNull(), F.lit(False)).cast("long")
         rows = rows.withColumn("repeats", F.when(F.col("size") > 0, F.col("times") + more).otherwise(0).cast("long"))
         return rows.select(*docs.columns, "repeats")
 
 
-def _ends(rows: DataFrame) -> DataFrame:
-    """Per pattern where the head of the seeded order ends that is taken once more, and which others are.
+def _ends(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Per pattern which documents are taken once more, as runs of its seeded order, and the places that are left out of them.
 
-    The head ends where the sizes so far reach the pattern's rest. That place is found level
-    by level: sums of 256 ranges of the hashes, then of 256 within the range where the rest
-    is reached, then of the single hashes there, so that no task ever sorts a whole pattern.
+    In the seeded order, each place is taken whose documents all fit in what those before
+    it have left of the pattern's rest. A run ends before a place that does not fit, and
+    the next one passes over all that are larger than what is left by then; the last one
+    ends where no unused place fits. So the runs of a pattern are as many as the limits
+    that its documents lower, not as its documents. A run has begin, end and most: its
+    places lie above begin and up to end, and their documents have at most so many words.
+
+    The second result has the pattern and place of documents that share their place, are
+    small enough for their run one by one and too large together.
     rows has a document's size and place, and its pattern's number and rest.
     """
+    open_ = rows.where((F.col("rest") > 0) & (F.col("size") > 0))
+    alike = cut(open_.groupBy("pattern", "place").agg(F.sum("size").alias("words"), F.min("size").alias("size")))
+    state = open_.groupBy("pattern").agg(F.first("rest").alias("left")).withColumn("begin", F.lit(-1).cast("long"))
+    runs = []
+    while True:
+        state = cut(state)
+        fitting = alike.join(F.broadcast(state), "pattern").where("place > begin AND words <= left")
+        run = cut(state.join(F.broadcast(_run(fitting)), "pattern"))
+        if run.isEmpty():
+            break
+        runs.append(run.select("pattern", "begin", "end", F.col("left").alias("most")))
+        state = run.where("end < last AND rest > 0").select("pattern", F.col("rest").alias("left"), F.col("end").alias("begin"))
+    if not runs:
+        runs = [state.select("pattern", "begin", F.col("begin").alias("end"), F.col("left").alias("most"))]
+    runs = cut(reduce(DataFrame.union, runs))
+    together = alike.where("words > size").join(F.broadcast(runs), "pattern")
+    together = together.where("place > begin AND place <= end AND size <= most AND words > most").select("pattern", "place")
+    return cut(runs.groupBy("pattern").agg(F.collect_list(F.struct("begin", "end", "most")).alias("runs"))), cut(together)
+
+
+def _run(fitting: DataFrame) -> DataFrame:
+    """Per pattern the last place that is taken before one that does not fit (end), what is left then (rest), and the last place there is.
+
+    The run ends where the words so far pass what is left, or else at the last place. That is
+    found level by level: sums of 256 ranges of the hashes, then of 256 within the range
+    where it is passed, then of the single hashes there, so that no task ever sorts a whole
+    pattern. fitting has pattern, left, place and words, none above left.
+    """
     high, low = F.shiftright("place", 55).cast("int"), F.shiftright("place", 47).bitwiseAND(_LEVEL - 1).cast("int")
-    sums = rows.where((F.col("rest") > 0) & (F.col("size") > 0)).groupBy("pattern", "rest", high.alias("high"), low.alias("low"))
-    sums = sums.agg(F.sum("size").alias("words"))
+    fitting = fitting.withColumn("high", high).withColumn("low", low)
+    sums = cut(fitting.groupBy("pattern", "left", "high", "low").agg(F.sum("words").alias("words"), F.max("place").alias("last")))
+    every = sums.groupBy("pattern").agg(F.max("left").alias("left"), F.sum("words").alias("words"), F.max("last").alias("last"))
 
-    def reached(level: DataFrame, by: str, kept: list[str]) -> DataFrame:
-        """The one range of each pattern in which its rest is reached, and the words before it."""
+    def passed(level: DataFrame, by: str, kept: list[str]) -> DataFrame:
+        """The one range of each pattern in which what is left is passed, and the words before it."""
         so_far = Window.partitionBy("pattern").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
         level = level.withColumn("before", F.col("before") + F.coalesce(F.sum("words").over(so_far), F.lit(0)))
-        level = level.where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words")))
+        level = level.where((F.col("before") <= F.col("left")) & (F.col("left") < F.col("before") + F.col("words")))
         return level.select("pattern", *kept, "before")
 
-    first = sums.groupBy("pattern", "rest", "high").agg(F.sum("words").alias("words"))
-    first = reached(first.withColumn("before", F.lit(0).cast("long")), "high", ["high"])
-    second = reached(sums.join(F.broadcast(first), ["pattern", "high"]), "low", ["high", "low"])
-    last = rows.withColumn("high", high).withColumn("low", low).where(F.col("size") > 0)
-    last = last.join(F.broadcast(second), ["pattern", "high", "low"]).groupBy("pattern", "rest", "before", "high", "low", "place")
-    last = last.agg(F.sum("size").alias("words"))
+    first = sums.groupBy("pattern", "left", "high").agg(F.sum("words").alias("words"))
+    first = passed(first.withColumn("before", F.lit(0).cast("long")), "high", ["high"])
+    second = passed(sums.join(F.broadcast(first), ["pattern", "high"]), "low", ["high", "low"])
+    last = fitting.join(F.broadcast(second), ["pattern", "high", "low"])
     so_far = Window.partitionBy("pattern").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     after = F.col("before") + F.coalesce(F.sum("words").over(so_far), F.lit(0)) + F.col("words")
     begin = F.shiftleft(F.col("high").cast("long"), 55) + F.shiftleft(F.col("low").cast("long"), 47)
-    fits = after <= F.col("rest")
+    fits = after <= F.col("left")
     ends = last.select(
         "pattern",
         F.when(fits, F.col("place")).otherwise(begin - 1).alias("end"),
-        F.when(fits, F.col("rest") - after).otherwise(F.col("rest") - F.col("before")).alias("left"),
+        F.when(fits, F.col("left") - after).otherwise(F.col("left") - F.col("before")).alias("rest"),
     )
-    ends = ends.groupBy("pattern").agg(F.max("end").alias("end"), F.min("left").alias("left"))
-    # What is left is less than one document; the largest ones that still fit make up for most of it.
-    alike = rows.where((F.col("rest") > 0) & (F.col("size") > 0)).groupBy("pattern", "place").agg(F.sum("size").alias("words"))
-    picks = ends.withColumn("picked", F.array().cast("array<bigint>"))
-    for _ in range(FILLS):
-        picks = cut(picks)
-        open_ = alike.join(F.broadcast(picks.where("left > 0")), "pattern")
-        open_ = open_.where("place > end AND words <= left AND NOT array_contains(picked, place)")
-        best = open_.groupBy("pattern").agg(F.max(F.struct("words", "place")).alias("best"))
-        picks = picks.join(F.broadcast(best), "pattern", "left").select(
-            "pattern",
-            "end",
-            (F.col("left") - F.coalesce("best.words", F.lit(0))).alias("left"),
-            F.when(F.col("best").isNull(), F.col("picked")).otherwise(F.concat("picked", F.array("best.place"))).alias("picked"),
-        )
-    return picks.select("pattern", "end", "picked")
+    ends = ends.groupBy("pattern").agg(F.max("end").alias("end"), F.min("rest").alias("rest"))
+    whole = every.where("words <= left").select("pattern", F.col("last").alias("end"), (F.col("left") - F.col("words")).alias("rest"), "last")
+    return ends.join(F.broadcast(every.select("pattern", "last")), "pattern").unionByName(whole)
 
 
 def mix_by_source(

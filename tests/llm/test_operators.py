@@ -83,6 +83,27 @@ def test_mix_of_overlapping_sources(spark):
     assert {r.source: (r.source_size, r.routed) for r in plan.summary.collect()} == {"a": (60, 40), "b": (40, 40)}
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_mix_goes_on_past_documents_that_do_not_fit(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, rng.randint(20, 400), [rng.choice("ab")]) for i in range(600)]
+    rows += [(1000 + i, 60_000, ["a"]) for i in range(3)] + [(None, 7, ["a"])] * 40 + [(2000, 25, ["b"])] * 9
+    df = spark.createDataFrame(rows, "doc_id long, size long, sources array<string>")
+    plan = mixing.mix(df, {"a": 2, "b": 1}, total=110_000, seed=seed)
+    taken, routed = plan.repeats(df).collect(), {r.source: r.routed for r in plan.summary.collect()}
+    for source in "ab":
+        own = [r for r in taken if r.sources == [source]]
+        short = routed[source] - sum(r.repeats * r["size"] for r in own)
+        least, places = min(r.repeats for r in own), {}
+        for r in own:
+            places.setdefault((r.doc_id, r["size"]), []).append(r.repeats)
+        assert all(len(set(x)) == 1 for x in places.values())
+        unused = [k[1] * len(x) for k, x in places.items() if x[0] == least]
+        assert 0 <= short < min(unused)
+    again = plan.repeats(df.repartition(5)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, taken))
+
+
 def test_mixing_awkward_rows(spark):
     out = mixing.mix_by_source(docs(spark), [5, 2, 1]).collect()
     assert len(out) == len(ODD)
