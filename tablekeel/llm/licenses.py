@@ -2,12 +2,17 @@
 
 Two texts that differ in case, punctuation, spacing, copyright lines or the spelling of a
 few words have the same canonical form. A document, and each of its lines, is looked up
-as a whole: its canonical digest is joined to those of known licences and notices.
+as a whole: its canonical digest is joined to those of known licences and notices. Lines
+that only say 'all rights reserved' do not keep a document from being found.
 Everything is a DataFrame expression.
 """
 
 from __future__ import annotations
 
+import json
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,8 +40,10 @@ SPELLINGS = [
 #: Lines that only say who holds the copyright.
 COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright|\(c\)|©|portions copyright)[^\n]*$"
 NOISE = r"[^a-z0-9\n]+"
+#: Lines of a canonical form that say no more than that.
+RESERVED_LINE = r"(?m)^ ?all rights reserved ?$"
 
-# Notices and licences as they are published.
+# Notices and short licences; whole licences as they are published are in licenses.json.
 KNOWN = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     (
@@ -96,9 +103,20 @@ def _digest(canonical: Column) -> Column:
     return F.when(words != "", F.sha2(words, 256))
 
 
-def known_licenses(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """license_id and text of known licences and notices; several texts may have one id."""
-    return spark.createDataFrame(known, "license_id string, text string")
+def _unreserved(canonical: Column) -> Column:
+    """The digest without lines that only say 'all rights reserved', null if there is no such line."""
+    return F.when(canonical.rlike(RESERVED_LINE), _digest(F.regexp_replace(canonical, RESERVED_LINE, "")))
+
+
+def whole_licenses() -> list[tuple[str, str]]:
+    """(license_id, text) of the package's whole licences, with their lines as published and with a line for each paragraph."""
+    texts = [tuple(x) for x in json.loads(Path(__file__).with_name("licenses.json").read_text(encoding="utf-8"))]
+    return texts + [(i, re.sub(r"(?<!\n)\n(?!\n)[ \t]*", " ", t)) for i, t in texts]
+
+
+def known_licenses(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
+    """license_id and text of known licences and notices, by default all of the package; several texts may have one id."""
+    return spark.createDataFrame([*KNOWN, *whole_licenses()] if known is None else known, "license_id string, text string")
 
 
 def scan_licenses(
@@ -108,13 +126,14 @@ def scan_licenses(
 
     text_digest is the sha-256 of the whole text's canonical form, null where nothing is
     left of it (null, empty, marks only). license_id is the known licence that the whole
-    text is, else null. notices are the distinct ids, sorted, of known texts that a whole
+    text is, or is but for lines that only say 'all rights reserved', else null. notices are the distinct ids, sorted, of known texts that a whole
     line is, as one string with commas, empty for none. If a known text stands under
     several ids, the least counts; nulls among them are passed over. Ids may be null or repeat.
     """
     spark = docs.sparkSession
     known = pick(known_licenses(spark) if known is None else known, license_id="license_id", text="text")
-    known = known.select("license_id", _digest(canonical_lines(F.col("text"))).alias("digest"))
+    known = known.select("license_id", canonical_lines(F.col("text")).alias("canonical"))
+    known = known.select("license_id", F.explode(F.array(_digest(F.col("canonical")), _unreserved(F.col("canonical")))).alias("digest"))
     known = known.where("license_id IS NOT NULL AND digest IS NOT NULL").groupBy("digest").agg(F.min("license_id").alias("license_id"))
     rows = pick(docs, doc_id=doc_id, text=text).withColumn("row", F.monotonically_increasing_id())
     rows = rows.select("row", "doc_id", canonical_lines(F.col("text")).alias("canonical"))
@@ -122,19 +141,22 @@ def scan_licenses(
         "row",
         "doc_id",
         _digest(F.col("canonical")).alias("text_digest"),
+        _unreserved(F.col("canonical")).alias("unreserved"),
         F.array_distinct(F.transform(F.split("canonical", "\n"), _digest)).alias("lines"),
     )
-    whole = F.array(F.struct(F.lit(True).alias("whole"), F.col("text_digest").alias("digest")))
-    lines = F.transform("lines", lambda d: F.struct(F.lit(False).alias("whole"), d.alias("digest")))
-    units = rows.select("row", "doc_id", "text_digest", F.explode(F.concat(whole, F.coalesce(lines, F.array().cast("array<struct<whole:boolean,digest:string>>")))).alias("unit"))
-    units = units.select("row", "doc_id", "text_digest", "unit.whole", "unit.digest")
+    unit = lambda kind, digest: F.struct(F.lit(kind).alias("kind"), digest.alias("digest"))
+    whole = F.array(unit("whole", F.col("text_digest")))
+    whole = F.when(F.col("unreserved").isNull(), whole).otherwise(F.concat(whole, F.array(unit("unreserved", F.col("unreserved")))))
+    lines = F.transform("lines", lambda d: unit("line", d))
+    units = rows.select("row", "doc_id", "text_digest", F.explode(F.concat(whole, F.coalesce(lines, F.array().cast("array<struct<kind:string,digest:string>>")))).alias("unit"))
+    units = units.select("row", "doc_id", "text_digest", "unit.kind", "unit.digest")
     found = units.join(small(known), "digest", "left")
     # All units of a row leave the same task, so that they are one row before the shuffle.
     return (
         found.groupBy("row", "doc_id", "text_digest")
         .agg(
-            F.max(F.when(F.col("whole"), F.col("license_id"))).alias("license_id"),
-            F.array_join(F.array_sort(F.collect_set(F.when(~F.col("whole"), F.col("license_id")))), ",").alias("notices"),
+            F.coalesce(*[F.max(F.when(F.col("kind") == k, F.col("license_id"))) for k in ("whole", "unreserved")]).alias("license_id"),
+            F.array_join(F.array_sort(F.collect_set(F.when(F.col("kind") == "line", F.col("license_id")))), ",").alias("notices"),
         )
         .select("doc_id", "text_digest", "license_id", "notices")
     )

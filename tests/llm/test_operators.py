@@ -261,6 +261,21 @@ def test_canonical_forms_meet(spark):
     assert out[4].text_digest is None and out[5].text_digest is None
 
 
+def test_whole_licenses_are_found(spark):
+    texts = licenses.whole_licenses()
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "Unlicense", "CC0-1.0"} <= {i for i, _ in texts}
+    mit = next(t for i, t in licenses.KNOWN if i == "MIT" and len(t) > 500).removeprefix("MIT License ")
+    isc = next(t for i, t in licenses.KNOWN if i == "ISC")
+    texts += [("MIT", mit), ("MIT", f"MIT License\n\nCopyright (c) 2020 Somebody\nAll rights reserved.\n\n{mit}"), ("ISC", f"{isc}\n  ALL RIGHTS RESERVED")]
+    rows = [(i, t) for i, (_, t) in enumerate(texts)] + [(-1, "All rights reserved.\n"), (-2, f"{mit}\nNo rights reserved.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = by_id(licenses.scan_licenses(df))
+    assert all(out[i].license_id == k for i, (k, _) in enumerate(texts))
+    assert out[-1].license_id is None and out[-2].license_id is None and out[-1].text_digest is not None
+    known = licenses.known_licenses(spark, [("OWN", "All rights reserved."), ("MIT", mit)])
+    assert by_id(licenses.scan_licenses(df, known))[-1][2:] == ("OWN", "OWN")
+
+
 def test_licenses_awkward_rows(spark):
     out = licenses.scan_licenses(docs(spark)).collect()
     assert len(out) == len(ODD)
