@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablekeel.llm.collocations import oracle as collocations_oracle
 from tablekeel.llm.common import ship
+from tablekeel.llm.infill import oracle as infill_oracle
 from tablekeel.llm.licenses import oracle as license_oracle
 from tablekeel.llm.topk import oracle as topk_oracle
 from tablekeel.llm.warc import oracle as warc_oracle
@@ -110,3 +112,30 @@ def op10_fingerprint_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tablekeel.llm.fingerprints import fingerprint_edits
 
     return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_consensus_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablekeel.llm.pagetext import main_texts
+
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
+@query
+def op12_son_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablekeel.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_son_collocations"] = collocations_oracle()
+
+
+@query
+def op13_infill_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablekeel.llm.infill import fill_in_middle, with_digests
+
+    return with_digests(fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+ORACLES["op13_infill_words"] = infill_oracle()

@@ -8,7 +8,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_a_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_stages(spark):

@@ -1,0 +1,225 @@
+"""Extraction, collocations and fill-in-middle against plain Python, and on awkward rows and empty tables."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+from html import escape
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tablekeel.llm import collocations, infill, pagetext
+from tests.llm.helpers import ODD, docs
+
+# --- 11: main texts ---
+
+
+def alone(html):
+    return pagetext.Page(html).text({}, set())
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (
+            "<html><body><nav>m</nav><div class='wrap sidebar-right'><article><header><h1>Tit</h1></header><p>a  b&nbsp;c<br>d<p>e "
+            "<b>f</b>g</p><ul><li>x<li>y</ul><div class=comments><p>no</p></div><aside>z</aside></article></div><footer>f</footer>",
+            "Tit a b c d e fg x y",
+        ),
+        ("<p>one < two & three &lt;4 &#x41;&eacute;</p><!-- x --><script>var a='</p></style>'</script>t", "one < two & three <4 Aé t"),
+        ("", ""),
+        ("<", "<"),
+        ("<div class='a' hidden>h</div>x <span class='ad'>no</span>y", "x y"),
+        ("<form><main><p>Text here</p></main></form><form><p>no</p></form>", "Text here"),
+        ("<table><tr><td>a<td>b<tr><td>c</table>", "a b c"),
+        ("<head><title>t</title><p>x</p>", "x"),
+        ("<div>" * 3000 + "deep" + "</div>" * 3000 + " end", "deep end"),
+        ("<a href='", ""),
+        ("<!-- open", ""),
+        ("<script>x", ""),
+        ("<body><div class=cookieNotice>We bake.</div><div><p>Only this is told.</p></div><div role=search>find</div></body>", "Only this is told."),
+    ],
+)
+def test_text_of_one_page(html, text):
+    assert alone(html) == text
+
+
+def page_of(rng, host, template, boilerplate):
+    """A page of one of two templates, with its text: blocks of words with markup and character references."""
+    words = ["Wort", "a<b", "é", "&", "the", "word", "x", "\"q\""]
+    blocks = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 30))) for _ in range(rng.randint(1, 6))]
+    marked = "".join(f"<p>\n {'<i>' + escape(b) + '</i>' if rng.random() < 0.3 else escape(b)}</p>" for b in blocks)
+    links = "<ul class='x'>" + "".join(f"<li><a href=/{i}>link {i}</a></li>" for i in range(5)) + "</ul>"
+    body = f"<article>{marked}</article>" if template else f"<div class='post post-{rng.randint(1, 99)}'>{marked}{links}</div>"
+    return f"<html><body><nav>menu</nav>{body}<div class=box><p>{boilerplate}</p></div><footer>f</footer>", " ".join(blocks)
+
+
+def test_hosts_agree_on_the_main_container(spark):
+    """Short pages whose box outweighs their text are extracted by the path that the host's other pages voted for."""
+    rng = random.Random(5)
+    rows, texts = [], {}
+    for i in range(60):
+        html, texts[i] = page_of(rng, i % 3, i % 3 == 0, "Box text that is long. " * (9 if i % 10 == 0 else 1))
+        rows.append((i, f"https://Host{i % 3}.example.org/p/{i}", html))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in pagetext.main_texts(frame).collect()}
+    assert {i: r.text for i, r in got.items()} == texts
+    assert all(r.n_chars == len(r.text) for r in got.values())
+    assert any(alone(h) != texts[i] for i, _, h in rows)
+
+
+def test_a_long_page_and_one_with_many_boxes(spark):
+    many = "<div class='a1'>" + "<div class='b2'><p>word</p></div>" * 20_000 + "</div>"
+    rows = [(1, None, "<article>" + "<p>some words here</p>" * 100_000 + "</article>"), (2, "no host", many)]
+    got = {r.page_id: r.text for r in pagetext.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: " ".join(["some words here"] * 100_000), 2: " ".join(["word"] * 20_000)}
+
+
+def test_pages_with_awkward_rows(spark):
+    schema = "page_id long, url string, html string"
+    rows = [(1, None, None), (None, "http://a.org/", "<p>x y</p>"), (2, "", ""), (2, "", ""), (3, "::", "\x00&#0;&bogus;<p>"), (4, "//b", "<nav>n</nav>")]
+    frame = spark.createDataFrame(rows, schema)
+    for name in ("host", "main", "text", "path", "votes", "Html_"):
+        frame = frame.withColumn(name, F.lit("clash"))
+    got = sorted(((r.page_id, r.url, r.text, r.n_chars) for r in pagetext.main_texts(frame).collect()), key=repr)
+    expected = [(1, None, "", 0), (None, "http://a.org/", "x y", 3), (2, "", "", 0), (2, "", "", 0), (3, "::", "\x00�&bogus;", 9), (4, "//b", "", 0)]
+    assert got == sorted(expected, key=repr)
+    empty = pagetext.main_texts(spark.createDataFrame([], schema))
+    assert empty.columns == ["page_id", "url", "text", "n_chars"] and empty.collect() == []
+
+
+# --- 12: collocations ---
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute_collocations(rows, rule):
+    counts, totals = Counter(), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            counts.update((lang, tuple(words[i : i + k])) for k in range(1, rule.longest + 1) for i in range(len(words) - k + 1))
+    candidates = {p: a for p, a in counts.items() if len(p[1]) > 1 and a >= rule.support}
+    covered = {
+        (lang, words[i : i + k])
+        for (lang, words), a in candidates.items()
+        for k in range(2, len(words))
+        for i in range(len(words) - k + 1)
+        if counts[lang, words[i : i + k]] <= a
+    }
+    out = []
+    for (lang, words), a in candidates.items():
+        if (lang, words) in covered:
+            continue
+        cuts = []
+        for k in range(1, len(words)):
+            left, right = counts[lang, words[:k]], counts[lang, words[k:]]
+            cuts.append((1000 * a * totals[lang] // (left * right), k, left, right))
+        score, _, left, right = min(cuts)
+        out.append((lang, " ".join(words), a, left, right, totals[lang], score))
+    ranked = []
+    for lang in totals:
+        best = sorted((r for r in out if r[0] == lang), key=lambda r: (-r[6], -r[2], r[1].encode()))[: rule.top]
+        ranked += [(lang, i, *r[1:]) for i, r in enumerate(best, 1)]
+    return sorted(ranked)
+
+
+def chatter(seed, n=400):
+    rng = random.Random(seed)
+    vocabulary = ["the", "The", "of", "new", "york", "straße", "É", "z\x01", "san", "jose", "a", "b", "c"]
+    phrases = ["New York city hall", "san  jose", "a b c a b c", "x\ty"]
+    texts = []
+    for _ in range(n):
+        words = [rng.choice(phrases) if rng.random() < 0.2 else rng.choice(vocabulary) for _ in range(rng.randint(0, 40))]
+        texts.append("".join(w + rng.choice([" ", " ", " ", ", ", ". ", "\n", " \t", "!?"]) for w in words))
+    return [(t, rng.choice(["en", "en", "de", None])) for t in texts]
+
+
+@pytest.mark.parametrize("rule", [collocations.Rule(support=12, top=40), collocations.Rule(support=5, longest=3, filter_bits=8), collocations.Rule(support=30, longest=2)])
+def test_collocations_against_counting_all(spark, tmp_path, monkeypatch, rule):
+    monkeypatch.setattr(collocations, "MOST_KEYS", 200)
+    rows = chatter(rule.support)
+    folder = str(tmp_path / "texts")
+    for i in range(5):  # shards of unlike sizes
+        part = rows[len(rows) * i * i // 25 : len(rows) * (i + 1) * (i + 1) // 25]
+        spark.createDataFrame(part, "text string, lang string").coalesce(1).write.mode("append").parquet(folder)
+    got = collocations.collocations(spark.read.parquet(folder), rule).collect()
+    assert sorted((r.lang, r["rank"], r.phrase, r.a, r.l, r.r, r.n, r.score) for r in got) == brute_collocations(rows, rule)
+    assert len(got) > 5
+
+
+def test_scores_beyond_64_bits(spark, monkeypatch):
+    """With counts made large the product passes 64 bits and the score stays exact."""
+    a, total = 9_999_999_999, 123_456_789_012_345
+    counts = spark.createDataFrame([("en", 1, "x", a + 7), ("en", 1, "y", a + 3), ("en", 2, "x y", a)], "lang string, words int, phrase string, n long")
+    totals = spark.createDataFrame([("en", total)], "lang string, total long")
+    monkeypatch.setattr(collocations, "frequent_phrases", lambda *_: (counts, totals))
+    row = collocations.collocations(None).first()
+    assert 1000 * a * total > 2**63 and row.score == 1000 * a * total // ((a + 7) * (a + 3))
+
+
+def test_phrases_of_equal_words_in_unlike_languages_differ():
+    hasher = collocations.PhraseHasher()
+    data = np.frombuffer(b"Ab c.d  ab cab c", dtype=np.uint8)
+    found = hasher.phrases(data, np.array([0, 12, 16]), np.array([1, 2], dtype=np.uint64))
+    (_, one, _), (_, two, there) = list(found.of_length(2))
+    assert found.of.tolist() == [0, 0, 0, 0, 0, 1, 1] and there.tolist() == [True, False, True, True, False, True, False]
+    assert one[0] == one[3] != one[5] and two[0] == two[3] != two[5]
+
+
+def test_collocations_with_awkward_rows(spark):
+    frame = docs(spark, ODD + [(20 + i, "Same phrase, same phrase. " * 30, None, None, None) for i in range(3)])
+    got = collocations.collocations(frame).collect()
+    assert [(r.lang, r.phrase, r.a, r.n) for r in got if r.lang == "und"] == [("und", "same phrase", 180, 360)]
+    long = [r for r in got if r.lang == "de"]
+    assert {r.a for r in long} == {3000, 2999} and all(r.l >= r.a <= r.r for r in long)
+    assert collocations.collocations(docs(spark, [])).collect() == []
+
+
+# --- 13: fill in the middle ---
+
+
+def brute_infill(doc_id, text):
+    text = text or ""
+    digits = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digits[i : i + 8], 16) for i in (0, 8, 16, 24)]
+    low, high = sorted(x % (len(text) + 1) for x in h[:2])
+    if not text or any(s in text for s in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return doc_id, len(text), "plain", None, None, text
+    prefix, middle, suffix = text[:low], text[low:high], text[high:]
+    if h[3] % 100 < 20:
+        return doc_id, len(text), "spm", low, high - low, f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return doc_id, len(text), "psm", low, high - low, f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def test_cuts_in_words_of_bytes():
+    rng = random.Random(1)
+    units = ["a", "é", "€", "🙂", "\x00", "<", ">", "P", "\x7f", "ࠀ", "\U0010ffff"]
+    for _ in range(300):
+        texts = ["".join(rng.choice(units) for _ in range(rng.choice([0, 0, 1, 2, 3, 7, 8, 9, 30]))) for _ in range(rng.randrange(0, 9))]
+        raw = [t.encode() for t in texts]
+        points = infill.CodePoints(np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([0, *map(len, raw)]))
+        assert points.counts().tolist() == [len(t) for t in texts]
+        at = np.array([rng.randint(0, len(t)) for t in texts], dtype=np.int64)
+        assert points.cut(at).tolist() == [len(t[:k].encode()) for t, k in zip(texts, at)]
+
+
+def test_fill_in_middle_and_back(spark):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("aé🙂<SPM> \n") for _ in range(rng.randint(0, 60))) for _ in range(500)]
+    rows = [(i - 100, t, None, None, None) for i, t in enumerate(texts)] + ODD + [(1000 + i, t, None, None, None) for i, t in enumerate(["<P>", "a<S>b", "x<M>", "🙂" * 1_500_000])]
+    frame = docs(spark, rows)
+    filled = infill.fill_in_middle(frame)
+    back = filled.withColumn("back", infill.restored(F.col("output"), F.col("form"))).collect()
+    expected = sorted((brute_infill(r[0], r[1]) for r in rows), key=repr)
+    assert sorted(((r.doc_id, r.n, r.form, r.prefix_chars, r.middle_chars, r.output) for r in back), key=repr) == expected
+    assert sorted((repr(r.doc_id), r.back) for r in back) == sorted((repr(r[0]), r[1] or "") for r in rows)
+    assert {r.form for r in back} == {"plain", "psm", "spm"}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    digests = sorted((r.output_sha256, r.restored_sha256) for r in infill.with_digests(filled).collect())
+    assert digests == sorted((sha(brute_infill(r[0], r[1])[5]), sha(r[1] or "")) for r in rows)
+    assert infill.fill_in_middle(docs(spark, [])).collect() == []
