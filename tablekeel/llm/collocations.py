@@ -33,6 +33,8 @@ SINGLE = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 MOST_CELLS = 100_000
 #: Distinct phrases that a task holds before it hands on what it has counted.
 MOST_KEYS, MOST_PHRASES = 1 << 22, 1 << 19
+#: Splits of the input that a task reads, where there are more than two for each core.
+SPLITS = 4
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -127,9 +129,10 @@ class Tally:
         self.size += len(first)
 
     def merge(self) -> None:
-        keys, cells, n = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-        self.__init__()
-        self.add(keys, cells, n)
+        if self.parts:
+            keys, cells, n = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+            self.__init__()
+            self.add(keys, cells, n)
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         if self.parts:
@@ -143,11 +146,12 @@ class Tally:
 
 @dataclass
 class Corpus:
-    """Documents with their shard; the languages, their words in all, and the shares of the shards."""
+    """Documents with their shard; words by language, tasks of the last pass, and least occurrences by shard and language."""
 
     rows: DataFrame
     rule: Rule
     words: dict[str, int]
+    tasks: int
     least: DataFrame
 
     @property
@@ -161,8 +165,8 @@ def open_corpus(docs: DataFrame, rule: Rule, text: str, lang: str) -> Corpus:
     rows = pick(docs, text=text, lang=lang)
     shard = F.pmod(F.xxhash64(F.input_file_name()), F.lit(rule.shards)).cast("int")
     rows = rows.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"), shard.alias("shard"))
-    sums = rows.groupBy("shard", "lang").agg(F.sum(F.regexp_count("text", F.lit(SINGLE))).cast("long").alias("words"))
-    sums = sums.take(MOST_CELLS + 1)
+    words_of = F.sum(F.regexp_count("text", F.lit(SINGLE))).cast("long").alias("words")
+    sums = rows.withColumn("split", F.spark_partition_id()).groupBy("shard", "lang").agg(words_of, F.max("split").alias("last")).take(MOST_CELLS + 1)
     if len(sums) > MOST_CELLS:
         raise ValueError(f"more than {MOST_CELLS} combinations of shard and language")
     words = dict.fromkeys(sorted({r.lang for r in sums}), 0)
@@ -170,7 +174,8 @@ def open_corpus(docs: DataFrame, rule: Rule, text: str, lang: str) -> Corpus:
         words[r.lang] += r.words
     index = {lang: i for i, lang in enumerate(words)}
     least = [(index[r.lang] * rule.shards + r.shard, max(1, -(-rule.support * r.words // max(1, words[r.lang])))) for r in sums]
-    return Corpus(rows, rule, words, spark.createDataFrame(least, "cell int, least long"))
+    tasks = max(2 * spark.sparkContext.defaultParallelism, -(-max((r.last + 1 for r in sums), default=1) // SPLITS))
+    return Corpus(rows, rule, words, tasks, spark.createDataFrame(least, "cell int, least long"))
 
 
 def _parts(batches: Iterator[pa.RecordBatch], langs: list[str]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, Phrases]]:
@@ -184,9 +189,10 @@ def _parts(batches: Iterator[pa.RecordBatch], langs: list[str]) -> Iterator[tupl
 
 
 def found_in_shards(corpus: Corpus, lengths: range, parts: np.ndarray | None) -> DataFrame:
-    """key of each phrase of these lengths that is frequent in some shard, at the support of its share.
+    """key of each phrase of these lengths that is frequent in some shard, at the support of its share, and in all together.
 
-    parts: the bitmap of what all words (for pairs of words) or all pairs of words (for
+    Every shard counts all phrases whose parts are frequent, so that the sums over the shards
+    already drop most of what one of them has found alone. parts: the bitmap of what all words (for pairs of words) or all pairs of words (for
     longer phrases) have to be in; without it all phrases are counted.
     """
     rule, langs = corpus.rule, corpus.langs
@@ -218,12 +224,15 @@ def found_in_shards(corpus: Corpus, lengths: range, parts: np.ndarray | None) ->
         for t in tallies.values():
             yield from t.batches()
 
-    counted = corpus.rows.mapInArrow(count, "cell int, key long, n long").groupBy("cell", "key").agg(F.sum("n").alias("n"))
-    return counted.join(F.broadcast(corpus.least), "cell").where("n >= least").select("key")
+    # Tasks have summed up what they read; dealt by key, the sums of shards and those of all are made in one place.
+    counted = corpus.rows.mapInArrow(count, "cell int, key long, n long").repartition("key")
+    by_shard = counted.groupBy("key", "cell").agg(F.sum("n").alias("n")).join(F.broadcast(corpus.least), "cell")
+    everywhere = by_shard.groupBy("key").agg(F.max(F.col("n") >= F.col("least")).alias("local"), F.sum("n").alias("n"))
+    return everywhere.where(F.col("local") & (F.col("n") >= rule.support)).select("key")
 
 
 def count_everywhere(corpus: Corpus, found: np.ndarray) -> DataFrame:
-    """lang, words, phrase and n of all phrases with the support, counted exactly where their key is in the bitmap.
+    """lang, words, phrase and n of all phrases with the support, counted exactly where they and their parts are in the bitmap.
 
     Within a task, phrases are told apart by 64-bit keys; between tasks, by their text.
     """
@@ -239,10 +248,12 @@ def count_everywhere(corpus: Corpus, found: np.ndarray) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
         for data, lang, _, there_are in _parts(batches, langs):
-            raw = data.tobytes().lower()
+            raw, good = data.tobytes().lower(), None
             for k, keys, there in there_are.of_length(rule.longest):
-                at = np.flatnonzero(there)
-                at = at[within(shared.value, keys[at])]
+                if good is not None:  # a phrase is as frequent as its two longest parts at most
+                    there = there & good & np.append(good[1:], False)[: len(good)]
+                good = there & within(shared.value, keys)
+                at = np.flatnonzero(good)
                 order = at[np.argsort(keys[at], kind="stable")]
                 first = np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]]) != 0)
                 counts = np.diff(np.append(first, len(order)))
@@ -259,7 +270,8 @@ def count_everywhere(corpus: Corpus, found: np.ndarray) -> DataFrame:
         if held:
             yield batch_of(held)
 
-    counted = corpus.rows.mapInArrow(count, "lang string, words int, phrase string, n long")
+    # A task hands on each phrase that it has seen once, so it reads several splits where there are many.
+    counted = corpus.rows.coalesce(corpus.tasks).mapInArrow(count, "lang string, words int, phrase string, n long")
     return counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= rule.support)
 
 
