@@ -15,3 +15,7 @@ class DataQualityError(ValueError):
 
 class VerificationError(ValueError):
     """What the target holds after the write differs from what was checked."""
+
+
+class ConflictError(ValueError):
+    """Another load has published, or is publishing, the same partitions; this one has changed nothing."""

@@ -1,19 +1,26 @@
 """Row counts per partition, and the comparisons the guards are made of.
 
-Only the key column is ever read here. All results are DataFrames with at most one
+Only the key column is ever read here, but for comparisons of contents. All results are DataFrames with at most one
 row per distinct key, and every aggregation combines within the map tasks before
 its shuffle, so one key that holds most of the rows costs no more than any other.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablekeel.spec import quoted
 
+#: A sum of 64-bit hashes, of more rows than there can be.
+CONTENT = T.DecimalType(38, 0)
+#: Types whose values the hash functions do not take, or take without telling where a NULL is.
+NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+
 
 def partition_counts(df: DataFrame, key: str) -> DataFrame:
     """Rows per partition. Order the result by ``partition_value`` where it is shown."""
@@ -167,3 +174,49 @@ def reconcile_partitions(
         .agg(F.sum("source_rows").alias("source_rows"), F.sum("target_rows").alias("target_rows"))
         .withColumn("is_match", F.col("source_rows") == F.col("target_rows"))
     )
+
+
+def row_hash(schema: T.StructType, columns: Sequence[str]) -> Column:
+    """A hash of the row's columns, by which equal rows are equal; which of them are NULL counts too.
+
+    Nested values are hashed by their JSON text, and maps in the order they are stored in.
+    """
+    values, nulls = [], []
+    for name in columns:
+        kind, column = schema[name].dataType, F.col(quoted(name))
+        values.append(F.to_json(F.struct(column)) if isinstance(kind, NESTED) else column)
+        nulls.append(column.isNull())
+    marks = [F.concat(*[F.when(n, "1").otherwise("0") for n in nulls[i : i + 64]]) for i in range(0, len(nulls), 64)]
+    return F.xxhash64(*values, *marks).cast(CONTENT)
+
+
+def partition_contents(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows per partition and their content: the sum of the hashes of all rows, whatever their order.
+
+    ``partition_value, row_count, content``. columns: those that are compared, by default all.
+    """
+    column = F.col(quoted(key))
+    summed = F.sum(row_hash(df.schema, columns or df.columns)).alias("content")
+    counts = df.groupBy(column).agg(F.count("*").alias("row_count"), summed)
+    return counts.select(column.cast("string").alias("partition_value"), "row_count", "content")
+
+
+def reconcile_contents(
+    source: DataFrame, source_key: str, target: DataFrame, target_key: str, columns: Sequence[str]
+) -> DataFrame:
+    """As :func:`reconcile_partitions`, and whether the rows are the same in the columns that are compared.
+
+    ``partition_value, source_rows, target_rows, same_rows, same_content``. Either side is
+    read once, and stacked sums stand in for a full outer join.
+    """
+    none = F.lit(0)
+    read = partition_contents(source, source_key, columns).select(
+        "partition_value", F.col("row_count").alias("source_rows"), none.alias("target_rows"), "content"
+    )
+    held = partition_contents(target, target_key, columns).select(
+        "partition_value", none.alias("source_rows"), F.col("row_count").alias("target_rows"), (-F.col("content")).alias("content")
+    )
+    both = read.unionByName(held).groupBy("partition_value")
+    sums = both.agg(F.sum("source_rows").alias("source_rows"), F.sum("target_rows").alias("target_rows"), F.sum("content").alias("apart"))
+    same = F.col("source_rows") == F.col("target_rows")
+    return sums.select("partition_value", "source_rows", "target_rows", same.alias("same_rows"), (same & (F.col("apart") == 0)).alias("same_content"))

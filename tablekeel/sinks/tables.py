@@ -2,17 +2,18 @@
 
 Rows are written to a folder of their own beside the target, ``<table>__loads/<id>``, and
 counted there. Only then does the catalog point the target's partitions, or the whole
-table, at that folder. Until the switch the target is as it was; what goes wrong before
-it leaves at most a folder that nothing refers to.
+table, at that folder, under a journal. What the target then holds is compared with what was
+counted and written, and a difference puts everything back. A load that dies before the
+switch leaves at most a folder that nothing refers to.
 """
 
 from __future__ import annotations
 
-import logging
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from decimal import Decimal
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,26 +22,31 @@ from pyspark.sql import types as T
 
 from tablekeel.errors import DataQualityError, SpecError, VerificationError
 from tablekeel.operators.guards import CheckedSource, Unexpected
-from tablekeel.operators.quality import distinct_partitions, reconcile_partitions, total_rows
-from tablekeel.sinks.layout import add_columns, check_typed, expected_keys_only, fit_to_target, spread_for_write
+from tablekeel.operators.quality import (
+    distinct_partitions,
+    partition_contents,
+    partition_counts,
+    reconcile_contents,
+    row_hash,
+    total_rows,
+)
+from tablekeel.sinks.folders import delete, escaped, listed_files, new_folder, normal, table_folder
+from tablekeel.sinks.journal import Change, sql_text, switch
+from tablekeel.sinks.layout import Evolution, check_typed, evolve, expected_keys_only, fit_to_target, spread_for_write
 from tablekeel.sources.extract import source_errors
 from tablekeel.sources.target import (
     FILE_FORMATS,
     TargetState,
     key_in,
-    partition_literal,
     partition_locations,
     target_partitions,
     target_state,
 )
 from tablekeel.spec import LoadSpec, quoted
 
-log = logging.getLogger(__name__)
-
 DYNAMIC_OVERWRITE = "partitionOverwriteMode"
 # Formats whose files hold column names and types, so that any folder can be switched in.
 SELF_DESCRIBING = ("parquet", "orc")
-LOADS = "__loads"
 #: Bytes that a file should have at least, on average, for its partition not to be worth merging.
 FILE_BYTES = 32 * 1024 * 1024
 
@@ -51,47 +57,12 @@ class StagedRows:
 
     frame: DataFrame
     folder: str
-    added: list[T.StructField]
+    evolution: Evolution
     unexpected: Unexpected | None = None
-
-
-# --- Folders ---
-
-
-def _new_folder(spark: SparkSession, state: TargetState | None, spec: LoadSpec | None = None) -> str:
-    """A folder beside the table's first one, wherever a load has put its present files."""
-    if state is not None:
-        base = state.location.rstrip("/").split(f"{LOADS}/")[0]
-    else:
-        base = f"{spark.catalog.getDatabase(spec.target_schema).locationUri.rstrip('/')}/{spec.table}"
-    return f"{base}{LOADS}/{uuid.uuid4().hex[:12]}"
-
-
-def _delete(spark: SparkSession, folders: Sequence[str]) -> None:
-    """Remove folders that nothing refers to any more; what stays behind does no harm but takes space."""
-    for folder in folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        try:
-            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-        except Exception:
-            log.warning("could not remove %s", folder, exc_info=True)
-
-
-def _escaped(name: str) -> str:
-    """A name as it stands in a partition's folder. The characters that are escaped there."""
-    special = "\"#%'*/:=?\\\x7f{[]^"
-    return "".join(f"%{ord(c):02X}" if c in special or ord(c) < 32 else c for c in name)
-
-
-def _sql_text(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def listed_files(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
-    """``folder, length`` of every file below the folders; a listing, which opens no file."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(folders))
-    folder = F.regexp_replace(F.regexp_replace("path", "/[^/]+$", ""), "^file:/+", "file:/")
-    return files.select(folder.alias("folder"), "length")
+    #: Where the target's partitions were when the load began.
+    seen: Mapping[str, str] = field(default_factory=dict)
+    #: The sum of the hashes of all rows as they were written; None if contents are not to be compared.
+    content: Decimal | None = None
 
 
 # --- Listed partitions ---
@@ -99,40 +70,53 @@ def listed_files(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
 
 @contextmanager
 def staged_partitions(
-    spark: SparkSession, source: DataFrame, spec: LoadSpec, state: TargetState | None, expected: Sequence[str], rebalance: bool
+    spark: SparkSession,
+    source: DataFrame,
+    spec: LoadSpec,
+    state: TargetState | None,
+    expected: Sequence[str],
+    rebalance: bool,
+    contents: bool = True,
 ) -> Iterator[StagedRows]:
     """The query's rows, evaluated once and written by partition; removed again if the load fails."""
     key = spec.partition_column
-    fitted, added = (source, []) if state is None else fit_to_target(source, state)
+    seen = partition_locations(spark, state.name, key, expected) if state and state.lists_partitions else {}
+    fitted, evolution = (source, Evolution()) if state is None else fit_to_target(source, state)
     check_typed(list(fitted.schema))
     value = F.col(quoted(key))
     bad = ~F.coalesce(key_in(key, fitted.schema[key].dataType, expected), F.lit(False))
-    seen = Observation()
+    strange = Observation()
     watched = fitted.observe(
-        seen,
+        strange,
         F.min(F.when(bad, value.cast("string"))).alias("lowest"),
         F.max(F.when(bad, value.cast("string"))).alias("highest"),
         F.count(F.when(bad & value.isNull(), F.lit(1))).alias("null_rows"),
     )
     rows = expected_keys_only(watched, key, expected)
     rows = rows.select(*[quoted(c) for c in rows.columns if c != key], quoted(key))
-    folder = _new_folder(spark, state, spec)
+    folder = new_folder(spark, state, spec)
     kind = state.provider if state and state.provider in SELF_DESCRIBING else "parquet"
     try:
         with source_errors("the query could not be executed"):
             spread = spread_for_write(rows, key, len(expected)) if rebalance else rows
+            written = Observation()
+            if contents:
+                # In the tasks that write, after the shuffle: each of them counts once, however often it is tried.
+                spread = spread.observe(written, F.sum(row_hash(spread.schema, spread.columns)).alias("content"))
             spread.write.format(kind).partitionBy(key).save(folder)
-        yield StagedRows(_read_back(spark, folder, kind, rows.schema), folder, added, _unexpected(seen))
+        content = _observed(written).get("content") if contents else None
+        unexpected = Unexpected(**(_observed(strange) or {"lowest": None, "highest": None, "null_rows": 0}))
+        yield StagedRows(_read_back(spark, folder, kind, rows.schema), folder, evolution, unexpected, seen, content)
     except BaseException:
-        _delete(spark, [folder])
+        delete(spark, [folder])
         raise
 
 
-def _unexpected(seen: Observation) -> Unexpected:
+def _observed(seen: Observation) -> dict:
     try:
-        return Unexpected(**seen.get)
+        return seen.get
     except Py4JJavaError:  # Spark has found the query to be empty before it ran, and left out what watches it
-        return Unexpected(None, None, 0)
+        return {}
 
 
 def _read_back(spark: SparkSession, folder: str, kind: str, schema: T.StructType) -> DataFrame:
@@ -154,39 +138,31 @@ def publish_partitions(
         empty.write.format("parquet").option(DYNAMIC_OVERWRITE, "dynamic").partitionBy(checked.key).saveAsTable(name)
         state = target_state(spark, name)
     else:
-        add_columns(spark, name, staged.added)
-    values = [p.partition_value for p in checked.partitions if p.rows_read]
-    _publish(spark, staged, name, checked.key, values, state)
+        evolve(spark, name, staged.evolution)
+    counts = {p.partition_value: p.rows_read for p in checked.partitions if p.rows_read}
+    _publish(spark, staged, name, checked.key, counts, state)
 
 
-def _publish(spark: SparkSession, staged: StagedRows, name: str, key: str, values: list[str], state: TargetState) -> None:
-    """Switch the partitions to the staged folder, then compare the counts and remove what was replaced.
+def _publish(
+    spark: SparkSession, staged: StagedRows, name: str, key: str, counts: Mapping[str, int], state: TargetState
+) -> None:
+    """Switch the partitions to the staged folder and compare what the target then holds.
 
     A table whose partitions the catalog does not list, or whose format needs more than
     the files, is overwritten from the staged rows by Spark instead.
     """
-    if state.lists_partitions and state.provider in SELF_DESCRIBING:
-        replaced = list(_switch(spark, staged.folder, name, key, values).values())
-    else:
-        _overwrite_partitions(spark, staged.frame, name, state)
-        replaced = [staged.folder]
-    spark.catalog.refreshTable(name)
-    verify_partitions(spark, staged.frame, name, key, values)
-    _delete(spark, replaced)
 
+    def check() -> None:
+        verify_partitions(spark, name, key, counts, staged)
 
-def _switch(spark: SparkSession, folder: str, name: str, key: str, values: list[str]) -> dict[str, str]:
-    """Point each partition at its staged folder; returns the folders they had."""
-    key_type = spark.table(name).schema[key].dataType
-    had = partition_locations(spark, name, key, values)
-    for value in values:
-        location = _sql_text(f"{folder}/{_escaped(key)}={_escaped(value)}")
-        partition = partition_literal(key, key_type, value)
-        if value in had:
-            spark.sql(f"ALTER TABLE {name} {partition} SET LOCATION {location}")
-        else:
-            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {partition} LOCATION {location}")
-    return had
+    if state.lists_partitions and state.provider in SELF_DESCRIBING:
+        changes = [Change(v, staged.seen.get(v), f"{staged.folder}/{escaped(key)}={escaped(v)}") for v in counts]
+        switch(spark, name, key, table_folder(spark, state), changes, check)
+        return
+    _overwrite_partitions(spark, staged.frame, name, state)
+    spark.catalog.refreshTable(name)
+    check()
+    delete(spark, [staged.folder])
 
 
 def _overwrite_partitions(spark: SparkSession, df: DataFrame, name: str, state: TargetState) -> None:
@@ -201,13 +177,23 @@ def _overwrite_partitions(spark: SparkSession, df: DataFrame, name: str, state:
         df.select(*[quoted(c) for c in spark.table(name).columns]).write.insertInto(name, overwrite=True)
 
 
-def verify_partitions(spark: SparkSession, rows: DataFrame, name: str, key: str, values: Sequence[str]) -> None:
-    """Compare what the target holds of the listed partitions with the rows, per partition."""
-    held = target_partitions(spark, name, key, values)
-    wrong = reconcile_partitions(rows, key, held, key).where("NOT is_match").orderBy("partition_value").collect()
+def verify_partitions(spark: SparkSession, name: str, key: str, counts: Mapping[str, int], staged: StagedRows) -> None:
+    """Compare what the target holds of the partitions with the rows that were counted, and with what was written.
+
+    Contents are compared as one sum over all partitions, so the target is read once; if
+    they differ, a second reading says where, unless the files themselves have changed.
+    """
+    held = target_partitions(spark, name, key, list(counts))
+    found = partition_counts(held, key) if staged.content is None else partition_contents(held, key, staged.frame.columns)
+    found = {r.partition_value: r for r in found.collect()}
+    wrong = [v for v in sorted({*counts, *found}) if counts.get(v, 0) != (found[v].row_count if v in found else 0)]
     if wrong:
-        told = (f"{r.partition_value} ({r.source_rows} checked, {r.target_rows} in the target)" for r in wrong)
+        told = (f"{v} ({counts.get(v, 0)} checked, {found[v].row_count if v in found else 0} in the target)" for v in wrong)
         raise VerificationError(f"{name} differs from the checked rows: {', '.join(told)}")
+    if staged.content is not None and sum(r.content for r in found.values()) != staged.content:
+        apart = reconcile_contents(staged.frame, key, held, key, staged.frame.columns).where("NOT same_content")
+        where = ", ".join(sorted(r.partition_value for r in apart.collect())) or "the files are not those that were written"
+        raise VerificationError(f"{name} has other rows than were written: {where}")
 
 
 # --- Whole tables ---
@@ -223,40 +209,64 @@ def replace_table(
     query runs once and may read the target itself, and until that step a failure leaves
     the old rows in place. ``merge`` writes small files once more as fewer before it.
     """
-    fitted, added = (source, list(source.schema)) if state is None else fit_to_target(source, state)
-    check_typed(added)
+    fitted, evolution = (source, Evolution()) if state is None else fit_to_target(source, state)
+    check_typed(list(fitted.schema))
     kind, options = (state.provider, state.options) if state else ("parquet", {})
     made: list[str] = []
 
     def written(rows: DataFrame) -> tuple[str, DataFrame, int]:
-        made.append(folder := _new_folder(spark, state, spec))
+        made.append(folder := new_folder(spark, state, spec))
         rows.write.format(kind).options(**options).save(folder)
         back = spark.read.format(kind).options(**options).schema(_nullable(rows.schema)).load(folder)
         return folder, back, total_rows(back).first().row_count
 
+    def check() -> None:
+        held = total_rows(spark.table(spec.target)).first().row_count
+        if held != rows:
+            raise VerificationError(f"{spec.target} holds {held} rows, {rows} were written")
+
     try:
         with source_errors("the query could not be executed"):
             folder, back, rows = written(spread_for_write(fitted) if rebalance else fitted)
         if rows == 0:
             raise DataQualityError("the query returned no rows for a full load")
         if merge and not rebalance and _has_small_files(spark, folder):
-            folder, _, again = written(spread_for_write(back))
+            folder, back, again = written(spread_for_write(back))
             if again != rows:
                 raise VerificationError(f"merging files of {spec.target} found {rows} rows and left {again}")
-        if state is None:
-            spark.createDataFrame([], _nullable(fitted.schema)).write.format(kind).saveAsTable(spec.target)
-            state = target_state(spark, spec.target)
-        else:
-            add_columns(spark, spec.target, added)
-        spark.sql(f"ALTER TABLE {spec.target} SET LOCATION {_sql_text(folder)}")
+        if state is not None:
+            evolve(spark, spec.target, evolution)
     except BaseException:
-        _delete(spark, made)
+        delete(spark, made)
         raise
-    spark.catalog.refreshTable(spec.target)
-    _delete(spark, [state.location, *(f for f in made if f != folder)])
+    if state is None:
+        _create(spark, spec, back, folder)
+        check()
+    else:
+        change = Change(None, state.location, folder)
+        switch(spark, spec.target, "", table_folder(spark, state), [change], check)
+    delete(spark, [f for f in made if f != folder])
     return rows
 
 
+def _create(spark: SparkSession, spec: LoadSpec, rows: DataFrame, folder: str) -> None:
+    """A new table with its rows in place: made empty under another name, pointed at them, and then renamed."""
+    before = spec.sibling(f"{spec.table}__new_{uuid.uuid4().hex[:8]}")
+    try:
+        spark.createDataFrame([], rows.schema).write.format("parquet").saveAsTable(before)
+        empty = target_state(spark, before).location
+        spark.sql(f"ALTER TABLE {before} SET LOCATION {sql_text(folder)}")
+        delete(spark, [empty])
+        spark.sql(f"ALTER TABLE {before} RENAME TO {spec.target}")
+    except BaseException:
+        if spark.catalog.tableExists(before):
+            spark.sql(f"DROP TABLE {before}")
+        if not (spark.catalog.tableExists(spec.target) and normal(target_state(spark, spec.target).location) == normal(folder)):
+            delete(spark, [folder])
+        raise
+    spark.catalog.refreshTable(spec.target)
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
@@ -281,7 +291,7 @@ def small_file_partitions(
         folders = partition_locations(spark, name, key, values)
     else:
         present = {r.partition_value for r in distinct_partitions(target_partitions(spark, name, key, values), key).collect()}
-        folders = {v: f"{state.location.rstrip('/')}/{_escaped(key)}={_escaped(v)}" for v in values if v in present}
+        folders = {v: f"{state.location.rstrip('/')}/{escaped(key)}={escaped(v)}" for v in values if v in present}
     if not folders:
         return spark.createDataFrame([], "partition_value string, files bigint, bytes bigint, files_needed bigint")
     of = spark.createDataFrame([(v, f.rstrip("/")) for v, f in folders.items()], "partition_value string, folder string")
@@ -316,13 +326,17 @@ def compact_partitions(
         return []
     rows = target_partitions(spark, name, key, chosen)
     kind = state.provider if state.provider in SELF_DESCRIBING else "parquet"
-    folder = _new_folder(spark, state)
+    folder = new_folder(spark, state)
+    seen = partition_locations(spark, name, key, chosen) if state.lists_partitions else {}
     try:
         spread_for_write(rows, key, len(chosen)).write.format(kind).partitionBy(key).save(folder)
-        staged = StagedRows(_read_back(spark, folder, kind, rows.schema), folder, [])
-        verify_partitions(spark, staged.frame, name, key, chosen)
+        staged = StagedRows(_read_back(spark, folder, kind, rows.schema), folder, Evolution(), seen=seen)
+        compared = reconcile_contents(rows, key, staged.frame, key, rows.columns).collect()
+        wrong = sorted(r.partition_value for r in compared if not r.same_content)
+        if wrong:
+            raise VerificationError(f"merging files of {name} would change the rows of {', '.join(wrong)}")
     except BaseException:
-        _delete(spark, [folder])
+        delete(spark, [folder])
         raise
-    _publish(spark, staged, name, key, chosen, state)
+    _publish(spark, staged, name, key, {r.partition_value: r.source_rows for r in compared}, state)
     return chosen

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,17 +79,22 @@ def partition_literal(key: str, key_type: T.DataType, value: str) -> str:
     return f"PARTITION ({quoted(key)} = {'DATE ' if isinstance(key_type, T.DateType) else ''}{text})"
 
 
+def session_table(spark: SparkSession, name: str):
+    """The session's own catalog and the table's identifier there, for what no SQL statement does in one go."""
+    session, option = spark._jsparkSession.sessionState(), spark._jvm.scala.Option
+    parts = session.sqlParser().parseMultipartIdentifier(name)
+    *above, table = [parts.apply(i) for i in range(parts.length())]
+    names = [option.apply(part) for part in reversed(above)]
+    return session.catalog(), spark._jvm.org.apache.spark.sql.catalyst.TableIdentifier(table, *names)
+
+
 def partition_locations(spark: SparkSession, name: str, key: str, values: Sequence[str]) -> dict[str, str]:
-    """The folder of each listed partition that the catalog knows."""
-    key_type = spark.table(name).schema[key].dataType
-    known = {unquote(r.partition.split("=", 1)[1]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
-    found = {}
-    for value in values:
-        if value in known:
-            rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name} {partition_literal(key, key_type, value)}").collect()
-            section = _section([(r.col_name, r.data_type) for r in rows], "# Detailed Partition Information")
-            found[value] = dict(section)["Location"]
-    return found
+    """The folder of each listed partition that the catalog knows, from one listing of the catalog."""
+    wanted = set(values)
+    catalog, table = session_table(spark, name)
+    listed = catalog.listPartitions(table, spark._jvm.scala.Option.empty()).mkString("\n")
+    found = re.findall(r"^\s*Partition Values: \[[^=\n]*=(.*)\]\n\s*Location: (.*)$", listed, re.MULTILINE)
+    return {value: location for value, location in found if value in wanted}
 
 
 def check_target_kind(spec: LoadSpec, state: TargetState | None) -> None:

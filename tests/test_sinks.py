@@ -257,7 +257,7 @@ def test_full_load_that_fails_before_the_switch_changes_nothing(spark, monkeypat
     def killed(*_):
         raise KeyboardInterrupt
 
-    monkeypatch.setattr(tables, "add_columns", killed)
+    monkeypatch.setattr(tables, "evolve", killed)
     with pytest.raises(KeyboardInterrupt):
         run_load(spark, full_spec(schema, "SELECT 2 AS a, 3 AS b"))
     monkeypatch.undo()
