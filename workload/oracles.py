@@ -117,6 +117,12 @@ WHERE dayofweek(ts) IN (0, 6) GROUP BY 1""",
     "reconcile_partitions": """
 SELECT strftime(ts, '%Y-%m-%d') AS partition_value, count(*) AS source_rows, count(*) AS target_rows, TRUE AS is_match
 FROM events GROUP BY 1""",
+    "reconcile_contents": """
+WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS d, value, event_id % 7 = 0 AND CAST(ts AS DATE) = DATE '2024-01-20' AS lost FROM events),
+s AS (SELECT d AS partition_value, count(*) FILTER (WHERE NOT lost) AS source_rows, count(*) AS target_rows,
+  coalesce(bool_or(d = '2024-01-12' AND value <> 0), FALSE) AS other FROM e GROUP BY 1)
+SELECT partition_value, source_rows, target_rows, source_rows = target_rows AS same_rows,
+  source_rows = target_rows AND NOT other AS same_content FROM s""",
     "replace_day_partitions": """
 SELECT event_id, CASE WHEN CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
   THEN value * 2 ELSE value END AS value, strftime(ts, '%Y-%m-%d') AS event_day
@@ -132,6 +138,11 @@ SELECT p_partkey AS product_code, p_name AS product_name, p_brand AS product_bra
     "evolve_schema": """
 SELECT event_id, value, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-15' THEN event_type END AS event_type,
   strftime(ts, '%Y-%m-%d') AS event_day
+FROM events""",
+    "evolve_nested": """
+SELECT event_id, event_type AS kind, CASE WHEN CAST(ts AS DATE) BETWEEN DATE '2024-01-15' AND DATE '2024-01-17' THEN value END AS worth,
+  CAST(CASE WHEN CAST(ts AS DATE) BETWEEN DATE '2024-01-15' AND DATE '2024-01-17' THEN 2 ELSE 1 END AS BIGINT) AS version,
+  strftime(ts, '%Y-%m-%d') AS event_day
 FROM events""",
     "publish_view": "SELECT event_type, count(*) AS row_count FROM events GROUP BY 1",
     "create_on_first_load": """

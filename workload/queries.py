@@ -330,6 +330,18 @@ def reconcile_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def reconcile_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source that has since changed the values of one day and lost rows of another."""
+    spec = daily_events(sf_dir, fresh_database(spark, "contents"))
+    run_load(spark, spec, ALL_DAYS)
+    source = spark.sql(plan_load(spark, spec, ALL_DAYS).query)
+    day, kept = F.col("event_day"), spark.table(spec.target).columns
+    lost = (day == "2024-01-20") & (F.col("event_id") % 7 == 0)
+    source = source.withColumn("value", F.when(day == "2024-01-12", F.col("value") * 2).otherwise(F.col("value")))
+    return quality.reconcile_contents(source.where(~lost), "event_day", spark.table(spec.target), "event_day", kept)
+
+
 # --- Publishing ---
 
 
@@ -390,6 +402,18 @@ def evolve_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(wider.target)
 
 
+@query
+def evolve_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A struct that gains a field, and a narrower number, from one reload on."""
+    schema = fresh_database(spark, "nested")
+    seed = "e.event_id, named_struct('kind', e.event_type) AS detail, 1L AS version"
+    run_load(spark, daily_events(sf_dir, schema, columns=seed), ALL_DAYS)
+    wider = "e.event_id, named_struct('worth', e.value, 'kind', e.event_type) AS detail, 2 AS version"
+    spec = daily_events(sf_dir, schema, columns=wider)
+    run_load(spark, spec, "2024-01-15,2024-01-17")
+    return spark.table(spec.target).select("event_id", "detail.kind", "detail.worth", "version", "event_day")
+
+
 @query
 def publish_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = LoadSpec(
