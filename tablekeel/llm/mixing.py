@@ -13,8 +13,8 @@ from __future__ import annotations
 from collections import deque
 from dataclasses import dataclass
 from fractions import Fraction
-from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -223,7 +223,7 @@ class Mix:
     """A plan that says of any document how often it is taken, by its pattern and its place in the seeded order.
 
     summary has source, source_size, target (double) and routed (long); plan and ends have
-    a row per pattern. together has places within the runs of ends that are not taken.
+    a row per pattern. together has places that are taken, or not, whatever the runs of ends say.
     """
 
     seed: int
@@ -236,47 +236,100 @@ class Mix:
         """docs (doc_id, size, sources and others) with repeats; plan and ends are bounded, so that only many rows in together take a shuffle."""
         rows = _placed(docs, self.seed).join(F.broadcast(self.plan), "sources").join(F.broadcast(self.ends), "pattern", "left")
         if not self.together.isEmpty():
-            rows = rows.join(small(self.together.withColumn("out", F.lit(True))), ["pattern", "place"], "left")
+            rows = rows.join(small(self.together), ["pattern", "place"], "left")
         else:
-            rows = rows.withColumn("out", F.lit(None).cast("boolean"))
-        taken = F.exists("runs", lambda r: (F.col("place") > r["begin"]) & (F.col("place") <= r["end"]) & (F.col("size") <= r["most"]))
-        more = F.coalesce(taken & F.col("out").isNull(), F.lit(False)).cast("long")
+            rows = rows.withColumn("fate", F.lit(None).cast("boolean"))
+        more = F.coalesce(F.col("fate"), _taken("size"), F.lit(False)).cast("long")
         rows = rows.withColumn("repeats", F.when(F.col("size") > 0, F.col("times") + more).otherwise(0).cast("long"))
         return rows.select(*docs.columns, "repeats")
 
 
 def _ends(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per pattern which documents are taken once more, as runs of its seeded order, and the places that are left out of them.
-
-    In the seeded order, each place is taken whose documents all fit in what those before
-    it have left of the pattern's rest. A run ends before a place that does not fit, and
-    the next one passes over all that are larger than what is left by then; the last one
-    ends where no unused place fits. So the runs of a pattern are as many as the limits
-    that its documents lower, not as its documents. A run has begin, end and most: its
-    places lie above begin and up to end, and their documents have at most so many words.
-
-    The second result has the pattern and place of documents that share their place, are
-    small enough for their run one by one and too large together.
-    rows has a document's size and place, and its pattern's number and rest.
+    """Per pattern which documents are taken once more, as runs of its seeded order, and the places whose fate is another.
+
+    In the seeded order, places are taken up to the first that does not fit in what those
+    before it have left of the pattern's rest. What is left then, less than that one place
+    holds, is filled from the places after it, the largest first and equal ones in the
+    seeded order, until none fits. A run has begin, end, least and most: its places lie above
+    begin and up to end, and their documents have so many words. Filling a rest halves it
+    with each run but those of whole ranges of sizes between them, so that a pattern has
+    at most some dozens of runs, however many documents it has.
+
+    The second result has the pattern, place and fate of documents that share their place,
+    where the size of one says otherwise than the words of all. rows has a document's size
+    and place, and its pattern's number and rest.
     """
     open_ = rows.where((F.col("rest") > 0) & (F.col("size") > 0))
-    alike = cut(open_.groupBy("pattern", "place").agg(F.sum("size").alias("words"), F.min("size").alias("size")))
-    state = open_.groupBy("pattern").agg(F.first("rest").alias("left")).withColumn("begin", F.lit(-1).cast("long"))
-    runs = []
-    while True:
-        state = cut(state)
-        fitting = alike.join(F.broadcast(state), "pattern").where("place > begin AND words <= left")
-        run = cut(state.join(F.broadcast(_run(fitting)), "pattern"))
-        if run.isEmpty():
-            break
-        runs.append(run.select("pattern", "begin", "end", F.col("left").alias("most")))
-        state = run.where("end < last AND rest > 0").select("pattern", F.col("rest").alias("left"), F.col("end").alias("begin"))
-    if not runs:
-        runs = [state.select("pattern", "begin", F.col("begin").alias("end"), F.col("left").alias("most"))]
-    runs = cut(reduce(DataFrame.union, runs))
+    alike = open_.groupBy("pattern", "place").agg(F.sum("size").alias("words"), F.min("size").alias("size"), F.first("rest").alias("left"))
+    alike = cut(alike)
+    fitting = alike.where("words <= left")
+    first = cut(_run(fitting))
+    begun = F.struct(F.lit(-1).cast("long").alias("begin"), "end", F.lit(1).cast("long").alias("least"), F.col("left").alias("most"))
+    lefts = alike.groupBy("pattern").agg(F.first("left").alias("left"))
+    runs = first.join(lefts, "pattern").select("pattern", begun.alias("run"))
+
+    beyond = fitting.join(F.broadcast(first.select("pattern", "end", "rest")), "pattern").where("place > end AND words <= rest")
+    sizes = beyond.groupBy("pattern", "words").agg(F.count("*").alias("n"), F.first("rest").alias("rest"), F.first("end").alias("end"))
+    fills = cut(sizes.groupBy("pattern").applyInPandas(_fill, "pattern int, end long, least long, most long, take long"))
+    some = _places(beyond, fills.where("take > 0").select("pattern", F.col("least").alias("words"), "take"))
+    upto = F.coalesce("upto", F.when(F.col("take") == 0, F.lit((1 << 63) - 1)))
+    fills = fills.join(small(some.withColumnRenamed("words", "least")), ["pattern", "least"], "left")
+    fill = F.struct(F.col("end").alias("begin"), upto.alias("end"), "least", "most")
+    runs = cut(runs.unionByName(fills.select("pattern", fill.alias("run"))).groupBy("pattern").agg(F.collect_list("run").alias("runs")))
     together = alike.where("words > size").join(F.broadcast(runs), "pattern")
-    together = together.where("place > begin AND place <= end AND size <= most AND words > most").select("pattern", "place")
-    return cut(runs.groupBy("pattern").agg(F.collect_list(F.struct("begin", "end", "most")).alias("runs"))), cut(together)
+    together = together.withColumn("fate", _taken("words")).where(F.col("fate") != _taken("size")).select("pattern", "place", "fate")
+    return runs, cut(together)
+
+
+def _taken(size: str) -> Column:
+    """Whether a place of so many words lies in one of the runs."""
+    place, words = F.col("place"), F.col(size)
+    return F.exists("runs", lambda r: (place > r["begin"]) & (place <= r["end"]) & (words >= r["least"]) & (words <= r["most"]))
+
+
+def _fill(sizes: pd.DataFrame) -> pd.DataFrame:
+    """Which sizes fill a pattern's rest, the largest first: ranges of which all are taken (take 0), or so many of one size.
+
+    sizes has a row for each size there is, with its number of places (n), so that it is as
+    long as there are different sizes, not documents.
+    """
+    sizes = sizes.sort_values("words", ascending=False)
+    left, out = int(sizes["rest"].iloc[0]), []
+    whole: list[int] = []
+    for words, n in zip(sizes["words"].tolist(), sizes["n"].tolist(), strict=True):
+        take = min(n, left // words)
+        left -= take * words
+        if take == n:
+            whole = [words, whole[1] if whole else words]
+            continue
+        if whole:
+            out.append((*whole, 0))
+            whole = []
+        if take:
+            out.append((words, words, take))
+    if whole:
+        out.append((*whole, 0))
+    found = pd.DataFrame(out, columns=["least", "most", "take"], dtype="int64")
+    found.insert(0, "pattern", sizes["pattern"].iloc[0])
+    found.insert(1, "end", sizes["end"].iloc[0])
+    return found
+
+
+def _places(places: DataFrame, wanted: DataFrame) -> DataFrame:
+    """pattern, words and upto: the place up to which the wanted number (take) of places of that size lie.
+
+    It is looked for in ranges of places first, so that no task sorts all places of a size.
+    """
+    wanted = small(cut(wanted))
+    places = places.select("pattern", "words", "place").join(wanted, ["pattern", "words"])
+    places = places.withColumn("range", F.shiftright("place", 47))
+    by = ["pattern", "words"]
+    counts = places.groupBy(*by, "take", "range").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    reached = counts.withColumn("before", before).where("before < take AND take <= before + n").select(*by, "range", "before")
+    inside = places.join(small(cut(reached)), [*by, "range"])
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy("place"))
+    return inside.withColumn("rank", rank).where("before + rank = take").select(*by, F.col("place").alias("upto"))
 
 
 def _run(fitting: DataFrame) -> DataFrame:
@@ -332,7 +385,7 @@ def mix_by_source(
     A null text has no words and a null source is a source of its own, ordered last.
     """
     rows = pick(docs, doc_id=doc_id, text=text, source=source)
-    rows = rows.select("doc_id", words_in(F.col("text")).alias("size"), F.array("source").alias("sources"))
+    rows = cut(rows.select("doc_id", words_in(F.col("text")).alias("size"), F.array("source").alias("sources")))  # texts are read once
     plan = mix(rows, weights, seed=seed, most_repeats=most_repeats)
     taken = plan.repeats(rows).withColumn("source", F.col("sources")[0])
     summary = plan.summary.withColumnRenamed("source", "_source")
