@@ -86,7 +86,8 @@ def pack(
 ) -> DataFrame:
     """Per row of docs: doc_id, n_tokens, bucket, padded, batch and slot.
 
-    bucket counts from 0 by length, padded is the length its documents are padded to, batch
+    bucket counts from 0 by length, padded is the length of its longest document, to which the
+    others are padded; ends of buckets beyond EXACT_LENGTHS are the best for rounded lengths. batch
     counts from 0 within the bucket, and slot from 0 within the batch. A batch has as many
     documents as fit the budget of padded tokens, and one document if none fits. All
     batches of a bucket are full but the last. Rows with a null length or of 0 or less have
@@ -95,8 +96,9 @@ def pack(
     """
     rows = pick(docs, doc_id=doc_id, n_tokens=length).withColumn("n_tokens", F.col("n_tokens").cast("long"))
     rows = cut(rows.withColumn("padded", F.when(F.col("n_tokens") > 0, rounded(F.col("n_tokens")))))
-    histogram = rows.where("padded IS NOT NULL").groupBy("padded").agg(F.count("*").alias("n")).collect()
+    histogram = rows.where("padded IS NOT NULL").groupBy("padded").agg(F.count("*").alias("n"), F.max("n_tokens").alias("longest")).collect()
     counts = sorted((r.padded, r.n) for r in histogram)
+    longest = {r.padded: r.longest for r in histogram}
     ends = bucket_ends(counts, buckets)
     bucket, padded, parts = (F.lit(None).cast(t) for t in ("int", "long", "int"))
     for k, end in reversed(list(enumerate(ends))):
@@ -104,7 +106,7 @@ def pack(
         here = F.col("padded") <= end
         bucket = F.when(here, F.lit(k)).otherwise(bucket)
         parts = F.when(here, F.lit(-(-inside // PART_ROWS))).otherwise(parts)
-        padded = F.when(here, F.lit(end).cast("long")).otherwise(padded)
+        padded = F.when(here, F.lit(longest[end]).cast("long")).otherwise(padded)
     place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "n_tokens"), 1)
     placed = rows.where("padded IS NOT NULL").select(
         "doc_id", "n_tokens", bucket.alias("bucket"), padded.alias("padded"), parts.alias("parts"), place.alias("place")

@@ -14,14 +14,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablekeel.llm.common import WordHasher, pick, pieces, position, small, text_bytes, training_row, unused
+from tablekeel.llm.common import WordHasher, mixed, pick, pieces, position, small, text_bytes, training_row, unused
 
 PASSAGE_WORDS = 40
-#: Bytes of text whose passages are held at a time, and up to which a text may teach.
-PART_BYTES, LEARN_BYTES = 1 << 20, 1 << 20
+#: Bytes of text whose passages are held at a time.
+PART_BYTES = 1 << 20
 _CLASSES = 6
 FEATURES = _CLASSES**3 + 6
 
@@ -102,6 +103,20 @@ def long_parts(text: np.ndarray, hasher: WordHasher) -> Iterator[np.ndarray]:
     yield text[at:]
 
 
+def chosen(parts: Iterator[np.ndarray], most: int, seed: int) -> np.ndarray:
+    """Features of a text's passages, or of so many of them, those whose numbers have the least hashes, wherever they stand."""
+    kept, order, at = np.zeros((0, FEATURES), dtype=np.float16), np.zeros(0, dtype=np.uint64), 0
+    for x in parts:
+        number = np.arange(at, at + len(x), dtype=np.uint64)
+        kept = np.concatenate([kept, x.astype(np.float16)])
+        order = np.concatenate([order, mixed(number + np.uint64((seed + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))])
+        at += len(x)
+        if len(kept) > most:
+            least = np.sort(np.argpartition(order, most - 1)[:most])
+            kept, order = kept[least], order[least]
+    return kept
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(x / 2))
 
@@ -209,6 +224,7 @@ def learn_quality(
     only: Column | None = None,
     *,
     sample_rows: int = 4_000,
+    passages_each: int = 64,
     hidden: int = 24,
     gate: int = 12,
     epochs: int = 25,
@@ -220,8 +236,10 @@ def learn_quality(
     """Learn from about sample_rows labelled documents at most, chosen by a hash of doc_id.
 
     only: a condition on doc_id. The features of the sample, and nothing else, come to the
-    driver. A doc_id with several labels counts as 1 if any is 1; null ids, labels and
-    texts teach nothing, nor do texts beyond LEARN_BYTES. Without labels of both kinds the score is constant.
+    driver: sample_rows * passages_each * FEATURES numbers at most. A text of more than
+    passages_each passages teaches by so many of them, chosen by a hash over the whole text.
+    A doc_id with several labels counts as 1 if any is 1; null ids, labels and texts teach
+    nothing. Without labels of both kinds the score is constant.
     """
     marks = pick(labels, doc_id=doc_id, quality=quality).where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     if only is not None:
@@ -232,27 +250,35 @@ def learn_quality(
     marks = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < min(scale, scale * sample_rows // max(n, 1)))
     rows = pick(docs, doc_id=doc_id, text=text).where(F.col("text").isNotNull())
     rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < min(scale, scale * sample_rows // max(n, 1)))
-    rows = rows.where(F.octet_length("text") <= LEARN_BYTES)
     rows = rows.join(small(marks, min(n, sample_rows)), "doc_id").select("doc_id", "text", "quality")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in batches:
-            for part in pieces(batch, "text", 1 << 20):
-                x, before = passages(*text_bytes(part.column("text")), hasher)
-                bags = [x[a:b].astype(np.float16).tobytes() for a, b in zip(before[:-1], before[1:], strict=True)]
+            for part in pieces(batch, "text", PART_BYTES):
+                data, offsets = text_bytes(part.column("text"))
+                if len(data) > PART_BYTES:  # then it is a single text
+                    each = [(passages(p, np.array([0, len(p)]), hasher)[0] for p in long_parts(data, hasher))]
+                else:
+                    x, before = passages(data, offsets, hasher)
+                    each = [iter([x[a:b]]) for a, b in zip(before[:-1], before[1:], strict=True)]
+                bags = [chosen(xs, passages_each, seed).tobytes() for xs in each]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").cast(pa.int64()), part.column("quality").cast(pa.int32()), pa.array(bags, pa.binary())],
                     names=["doc_id", "quality", "bag"],
                 )
 
     found = rows.mapInArrow(encode, "doc_id long, quality int, bag binary").toArrow().sort_by([("doc_id", "ascending"), ("bag", "ascending")])
-    bags = [np.frombuffer(b, dtype=np.float16).reshape(-1, FEATURES) for b in found.column("bag").to_pylist()]
-    if not bags:
+    if not len(found):
         return QualityModel(None, np.zeros(FEATURES), np.ones(FEATURES))
-    before = np.concatenate([[0], np.cumsum([len(b) for b in bags])])
+    before = np.concatenate([[0], np.cumsum(pc.binary_length(found.column("bag")).to_numpy() // (2 * FEATURES))])
     y = (found.column("quality").to_numpy() == 1).astype(np.float32)
-    return fit(np.concatenate(bags).astype(np.float32), before, y, hidden=hidden, gate=gate, epochs=epochs, seed=seed)
+    x = np.empty((before[-1], FEATURES), dtype=np.float32)
+    for at, bag in zip(before[:-1], found.column("bag"), strict=True):
+        own = np.frombuffer(bag.as_buffer(), dtype=np.float16).reshape(-1, FEATURES)
+        x[at : at + len(own)] = own
+    del found
+    return fit(x, before, y, hidden=hidden, gate=gate, epochs=epochs, seed=seed)
 
 
 def score_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:

@@ -7,6 +7,7 @@ import re
 from collections import Counter
 from fractions import Fraction
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def test_route_is_the_cheapest_full_flow(seed):
 
 def test_targets_are_shared_out_up_to_three_times_the_size():
     targets = mixing.share_out([100, 10, 0, 50], [Fraction(w) for w in (5, 2, 1, 5)], 160, 3)
-    assert [float(t) for t in targets] == [65.0, 26.0, 0.0, 65.0] or sum(targets) <= 160
+    assert targets == [Fraction(200, 3), Fraction(80, 3), 0, Fraction(200, 3)] and sum(targets) == 160
     assert all(t <= 3 * s for t, s in zip(targets, [100, 10, 0, 50]))
     assert sum(mixing.whole(targets)) == round(sum(targets))
 
@@ -332,6 +333,16 @@ def test_lengths_are_rounded_up_a_little(spark):
     assert all(r.r == r.v for r in rows if r.v <= 32768)
 
 
+def test_long_documents_are_padded_to_the_longest_of_their_bucket(spark):
+    lengths = [40_001, 40_002, 40_003, 99_999, 1_000_001, 7, 7, 9]
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "doc_id long, n_tokens long")
+    for name in ("bucket", "padded", "rank", "part", "n", "before", "place"):
+        rows = rows.withColumn(name, F.lit("clash"))
+    out = packing.pack(rows, buckets=4).collect()
+    assert all(max(r.n_tokens for r in out if r.bucket == b) == p for b, p in {(r.bucket, r.padded) for r in out})
+    assert {r.padded for r in out} == {9, 40_003, 99_999, 1_000_001}
+
+
 def test_packing_an_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, n_tokens long")).count() == 0
 
@@ -385,6 +396,54 @@ def test_a_text_in_parts_has_the_same_score(monkeypatch):
         assert model.score_long(data, hasher) == pytest.approx(whole, abs=1e-4)
 
 
+def test_long_texts_teach_by_passages_from_all_over(spark, monkeypatch):
+    text = "".join(f"Word{i % 97} and {'!' * (i % 5)} more of it. " for i in range(4000))
+    data, hasher = np.frombuffer(text.encode(), dtype=np.uint8), quality.WordHasher()
+    x, before = quality.passages(data, np.array([0, len(data)]), hasher)
+    at_once = quality.chosen(iter([x]), 64, 7)
+    monkeypatch.setattr(quality, "PART_BYTES", 10_000)
+    parts = [quality.passages(p, np.array([0, len(p)]), hasher)[0] for p in quality.long_parts(data, hasher)]
+    assert len(parts) > 5 and before[-1] > 300
+    in_parts = quality.chosen(iter(parts), 64, 7)
+    assert at_once.shape == (64, quality.FEATURES) and (at_once == in_parts).all()
+    places = [int(np.flatnonzero((x.astype(np.float16) == row).all(axis=1))[0]) for row in at_once]
+    assert min(places) < len(x) / 10 and max(places) > len(x) * 9 / 10
+    rows = [(i, ("Fine words here. " if i % 2 else "$$$ %%% ### ") * 30_000, None, None, None) for i in range(40)]
+    marks = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    model = quality.learn_quality(docs(spark, rows), marks, passages_each=8)
+    scores = by_id(quality.score_quality(docs(spark, rows[:2]).select("doc_id", "text"), model))
+    assert scores[0].score < 0.3 < 0.7 < scores[1].score
+
+
+def test_gradients_are_those_of_the_loss():
+    """Each weight's gradient, as the first step of the fit uses it, against a difference of the loss."""
+    rng = np.random.default_rng(3)
+    before = np.array([0, 3, 4, 9])
+    x, y = rng.standard_normal((9, 5)), np.array([1.0, 0.0, 1.0])
+    seen = {}
+    model = quality.fit(x.astype(np.float32), before, y.astype(np.float32), hidden=4, gate=3, epochs=1, seed=1)
+    start = quality.fit(x.astype(np.float32), before, y.astype(np.float32), hidden=4, gate=3, epochs=0, seed=1)
+    start.weights = {k: v.astype(np.float64) for k, v in start.weights.items()}
+
+    def loss():
+        score = start.score(x, before)
+        return -np.mean(y * np.log(score) + (1 - y) * np.log(1 - score))
+
+    for name, weights in start.weights.items():
+        moved = model.weights[name] - weights  # Adam's first step has the sign of the gradient
+        for at in np.ndindex(weights.shape):
+            kept = weights[at]
+            weights[at] = kept + 1e-5
+            above = loss()
+            weights[at] = kept - 1e-5
+            slope = (above - loss()) / 2e-5 + 1e-5 * kept
+            weights[at] = kept
+            if abs(slope) > 1e-4:
+                assert np.sign(moved[at]) == -np.sign(slope), (name, at)
+                seen[name] = True
+    assert set(seen) == set(start.weights)
+
+
 def test_grams_in_windows(monkeypatch):
     import numpy as np
     import pyarrow as pa
