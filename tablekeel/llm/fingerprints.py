@@ -4,7 +4,8 @@ A document is the set of its paragraphs' digests. Its sketch adds each digest to
 of each of three tables: a count, and the exclusive-or of digests and of their checks. Two
 sketches subtract cell by cell, which leaves the digests that only one version has. A cell
 that holds one digest gives it away; taking it out of its other cells frees further ones,
-until nothing is left. If that gets stuck, it is tried again with more and more cells.
+until nothing is left. If that gets stuck, it is tried again with larger sketches of shares
+of the digests, and where a share stays stuck, with larger ones of that share.
 Everything is a DataFrame expression, and works within a row.
 """
 
@@ -18,14 +19,14 @@ from tablekeel.llm.common import pick, small
 
 #: Cells of each of the three tables: of the fingerprint itself, and of a share of a larger sketch.
 BASE_CELLS, SHARE_CELLS = 5, 12
-#: A larger sketch divides digests into shares with a sketch each, so that its work grows with its size. It begins
-#: with a share for so many digests of both versions, and has twice as many shares for each further try.
-SHARE_DIGESTS, RETRIES = 32, 20
+#: A larger sketch divides the digests into shares of about so many of both versions, with a sketch each, so that its
+#: work grows with the digests. A share that gets stuck is tried again with more cells, so many times as many in turn.
+SHARE_DIGESTS, LARGER = 32, (1, 2, 4, 8)
 ROUNDS = 16
 #: A paragraph is a line; a longer line is cut into paragraphs of so many characters.
 PARAGRAPH = 256
 #: Ids that lie next to each other in one range, and ranges in a range of ranges.
-RANGE, RANGES = 2048, 4096
+RANGE, RANGES = 256, 1 << 16
 
 
 # The functions below write SQL expressions as text. Arguments are SQL, but for numbers of cells.
@@ -83,14 +84,31 @@ def peel(difference: str, cells: int) -> str:
     return let("z", end, "CASE WHEN forall(z.cells, c -> c.n = 0 AND c.k = 0 AND c.c = 0) THEN z.found END")
 
 
+def share_difference(share: str) -> str:
+    """How many digests only one version has, of a share: by sketches, larger ones if they get stuck, or else one by one."""
+    a, b = (f"transform(filter({share}, e -> e.side = {side}), e -> e.d)" for side in (0, 1))
+    tries = [peel(subtract(sketch("one", SHARE_CELLS * n), sketch("two", SHARE_CELLS * n)), SHARE_CELLS * n) for n in LARGER]
+    apart = "CAST(size(array_except(one, two)) + size(array_except(two, one)) AS BIGINT)"
+    return let("one", a, let("two", b, f"coalesce({', '.join(tries)}, {apart})"))
+
+
 def difference_size(a: str, b: str, base_a: str, base_b: str) -> str:
-    """How many digests only one of two versions has: by the fingerprints, or where these get stuck by larger sketches."""
-    own = [sketch(f"filter({x}, h -> pmod(shiftrightunsigned(h, 40), shares) = share)", SHARE_CELLS) for x in (a, b)]
-    one = f"CASE WHEN total IS NOT NULL THEN total + {peel(subtract(*own), SHARE_CELLS)} END"
-    shares = f"shiftleft(1L, level - 1) * ceil((size({a}) + size({b})) / {SHARE_DIGESTS})"
-    larger = let("shares", shares, f"aggregate(sequence(0L, shares - 1), 0L, (total, share) -> {one})")
+    """How many digests only one of two versions has: by the fingerprints, or where these get stuck by larger sketches.
+
+    The digests of both are sorted by share, so that each is looked at once: starts are the
+    places where another share begins.
+    """
     first = peel(subtract(base_a, base_b), BASE_CELLS)
-    return f"aggregate(sequence(1, {RETRIES}), {first}, (done, level) -> CASE WHEN done IS NOT NULL THEN done ELSE {larger} END)"
+    shares = f"CAST(ceil((size({a}) + size({b})) / {SHARE_DIGESTS}) AS BIGINT)"
+    tagged = [
+        f"transform({x}, d -> named_struct('share', pmod(shiftrightunsigned(d, 40), shares), 'd', d, 'side', {side}))"
+        for side, x in enumerate((a, b))
+    ]
+    starts = "filter(sequence(1, size(sorted)), j -> j = 1 OR sorted[j - 1].share <> sorted[j - 2].share)"
+    of = "slice(sorted, p, coalesce(get(starts, k + 1), size(sorted) + 1) - p)"
+    total = f"aggregate(transform(starts, (p, k) -> {let('members', of, share_difference('members'))}), 0L, (sum, n) -> sum + n)"
+    larger = let("shares", shares, let("sorted", f"array_sort(concat({tagged[0]}, {tagged[1]}))", let("starts", starts, total)))
+    return f"coalesce({first}, {larger})"
 
 
 def likeness(a: str, b: str, base_a: str, base_b: str) -> str:

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 from collections import Counter
 from fractions import Fraction
 
@@ -613,7 +614,11 @@ def alike(a, b):
     return 1.0 if not a and not b else 1 - len(a ^ b) / (len(a) + len(b))
 
 
-def test_fingerprints_against_sets(spark, monkeypatch):
+@pytest.mark.parametrize("cells", [(5, 12), (1, 1), (2, 3)])
+def test_fingerprints_against_sets(spark, monkeypatch, cells):
+    """Also with sketches so small that shares get stuck and are retried larger, to the last way out."""
+    monkeypatch.setattr(fingerprints, "BASE_CELLS", cells[0])
+    monkeypatch.setattr(fingerprints, "SHARE_CELLS", cells[1])
     monkeypatch.setattr(fingerprints, "RANGE", 4)
     monkeypatch.setattr(fingerprints, "RANGES", 3)
     rng = random.Random(4)
@@ -635,6 +640,23 @@ def test_fingerprints_against_sets(spark, monkeypatch):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def test_work_grows_with_the_paragraphs(spark):
+    """A text of two megabytes, and many rows of one id; time per paragraph does not grow much with their number."""
+    rng = random.Random(6)
+    page = lambda n: "\n".join(f"{rng.random()}" for _ in range(n))
+    times = {}
+    for n in (2_000, 500, 4_000):  # the first also warms up
+        frame = spark.createDataFrame([(i, page(n)) for i in range(4)], "doc_id long, text string").coalesce(1)
+        start = time.perf_counter()
+        rows = fingerprints.fingerprint_edits(frame).collect()
+        times[n] = time.perf_counter() - start
+        assert all(r.near_next == 0 and 0.4 < r.near_edited < 0.6 for r in rows)
+    assert times[4_000] < 16 * max(times[500], 0.5)
+    long = spark.createDataFrame([(1, page(110_000)), (2, page(3))] + [(3, page(40))] * 300, "doc_id long, text string")
+    rows = fingerprints.fingerprint_edits(long).collect()
+    assert max(r.n_chars for r in rows) > 2_000_000 and sum(r.near_next == 1.0 for r in rows) == 299
+
+
 def test_fingerprints_awkward_rows(spark):
     out = fingerprints.fingerprint_edits(docs(spark)).collect()
     assert len(out) == len(ODD)
