@@ -121,8 +121,7 @@ def run_load(
     if verify not in ("content", "counts"):
         raise SpecError(f"verify must be content or counts, got {verify!r}")
     state = _open_target(spark, spec, target_date)
-    if not spec.is_view and not dry_run:
-        recover(spark, table_folder(spark, state, spec))
+    if not spec.is_view and not dry_run and recover(spark, table_folder(spark, state, spec)):
         state = _open_target(spark, spec, target_date)
     if spec.is_view:
         return _load_view(spark, spec, dry_run)
