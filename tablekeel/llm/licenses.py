@@ -36,10 +36,14 @@ SPELLINGS = [
     ("whilst", "while"),
     ("http:", "https:"),
     ("copyright owner", "copyright holder"),
+    # Letters that have two small forms.
+    ("ς", "σ"),
+    ("i\u0307", "i"),
 ]
 #: Lines that only say who holds the copyright.
 COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright|\(c\)|©|portions copyright)[^\n]*$"
-NOISE = r"[^a-z0-9\n]+"
+#: What is neither a letter, with its marks, nor a digit of any script.
+NOISE = r"[^a-z0-9\n\p{L}\p{M}\p{N}]+"
 #: Lines of a canonical form that say no more than that.
 RESERVED_LINE = r"(?m)^ ?all rights reserved ?$"
 
@@ -162,8 +166,8 @@ def scan_licenses(
     )
 
 
-def oracle(known: list[tuple[str, str]] = KNOWN) -> str:
-    """The same as DuckDB SQL over documents."""
+def oracle(known: list[tuple[str, str]] | None = None) -> str:
+    """The same as DuckDB SQL over documents, by default with all known texts of the package."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     line = r"(^|\n)[ \t]*(copyright|\(c\)|©|portions copyright)[^\n]*"
 
@@ -177,17 +181,23 @@ def oracle(known: list[tuple[str, str]] = KNOWN) -> str:
         words = f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
         return f"CASE WHEN {words} <> '' THEN sha256({words}) END"
 
-    values = ", ".join(f"({quote(i)}, {quote(t)})" for i, t in known)
+    reserved = quote(RESERVED_LINE)
+    without = digest(f"regexp_replace(f, {reserved}, '', 'g')")
+    unreserved = f"CASE WHEN regexp_matches(f, {reserved}) THEN {without} END"
+    values = ", ".join(f"({quote(i)}, {quote(t)})" for i, t in ([*KNOWN, *whole_licenses()] if known is None else known))
     return f"""
-        WITH known AS (
+        WITH known_forms AS (SELECT id, {form("t")} AS f FROM (VALUES {values}) v(id, t)),
+        known AS (
             SELECT min(id) AS id, digest FROM (
-                SELECT id, {digest(form("t"))} AS digest FROM (VALUES {values}) v(id, t)
-            ) GROUP BY digest),
+                SELECT id, {digest("f")} AS digest FROM known_forms
+                UNION ALL SELECT id, {unreserved} FROM known_forms
+            ) WHERE digest IS NOT NULL GROUP BY digest),
         forms AS (SELECT doc_id, {form("text")} AS f FROM documents),
-        wholes AS (SELECT doc_id, {digest("f")} AS text_digest FROM forms),
+        wholes AS (SELECT doc_id, {digest("f")} AS text_digest, {unreserved} AS unreserved FROM forms),
         lines AS (SELECT DISTINCT doc_id, {digest("u")} AS digest FROM (
             SELECT doc_id, unnest(string_split(f, chr(10))) AS u FROM forms)),
         notices AS (SELECT doc_id, string_agg(DISTINCT id, ',' ORDER BY id) AS ids
             FROM lines JOIN known USING (digest) GROUP BY doc_id)
-        SELECT w.doc_id, w.text_digest, k.id AS license_id, coalesce(n.ids, '') AS notices
-        FROM wholes w LEFT JOIN known k ON k.digest = w.text_digest LEFT JOIN notices n ON n.doc_id = w.doc_id"""
+        SELECT w.doc_id, w.text_digest, coalesce(k.id, u.id) AS license_id, coalesce(n.ids, '') AS notices
+        FROM wholes w LEFT JOIN known k ON k.digest = w.text_digest LEFT JOIN known u ON u.digest = w.unreserved
+        LEFT JOIN notices n ON n.doc_id = w.doc_id"""

@@ -8,7 +8,9 @@ import time
 from collections import Counter
 from fractions import Fraction
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -278,6 +280,36 @@ def test_whole_licenses_are_found(spark):
     assert by_id(licenses.scan_licenses(df, known))[-1][2:] == ("OWN", "OWN")
 
 
+def test_letters_of_all_scripts_count(spark):
+    texts = ["Еще один текст 1", "ЕЩЕ ОДИН -- ТЕКСТ 1", "第三 1", "第四 1", "ΤΕΛΟΣ", "τελος", "हिन्दी", "हनद", "Straße", "Strae", "İ", "i", "—"]
+    out = by_id(licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    digests = [out[i].text_digest for i in range(len(texts))]
+    assert digests[0] == digests[1] and digests[4] == digests[5] and digests[10] == digests[11] and digests[12] is None
+    assert len(set(digests)) == 10
+    mixed = spark.createDataFrame([(1, "Это не лицензия. Licensed under the MIT License."), (2, "Licensed under the MIT License — №")], "doc_id long, text string")
+    assert [by_id(licenses.scan_licenses(mixed))[i].license_id for i in (1, 2)] == [None, "MIT"]
+
+
+def test_license_sql_agrees_on_whole_licenses_and_awkward_rows(spark):
+    mit = next(t for i, t in licenses.KNOWN if i == "MIT" and len(t) > 500)
+    rows = [(100 + i, t.upper() if i % 2 else t) for i, (_, t) in enumerate(licenses.whole_licenses())]
+    rows += [(r[0], r[1]) for r in ODD if r[0] not in (None, 8, 9)]
+    rows += [
+        (50, "Все права. All rights reserved.\n第三 1"),
+        (51, f"Copyright 2001 X\nALL RIGHTS RESERVED.\n{mit}\n all rights reserved"),
+        (52, f"intro\n{mit}\nLicensed under CC BY 4.0.\nCopyright me"),
+        (53, "All rights reserved"),
+        (54, "ΤΕΛΟΣ İ i Straße हिन्दी"),
+    ]
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"))
+    with duckdb.connect() as con:
+        con.register("documents", documents)
+        want = con.execute(licenses.oracle()).fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert sum(r[2] is not None for r in want) == len(licenses.whole_licenses()) + 1
+
+
 def test_licenses_awkward_rows(spark):
     out = licenses.scan_licenses(docs(spark)).collect()
     assert len(out) == len(ODD)
