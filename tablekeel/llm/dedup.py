@@ -288,7 +288,7 @@ def links_in_cells(cells: DataFrame, docs: DataFrame, reps: DataFrame, rule: Rul
     if they may belong to a link, its whole sets, the likeliest pairs first; a pair that a
     chain of links within the cell has connected by then is passed over.
     """
-    sets = sets_of(cells.select("cls"), docs, reps, rule).join(reps.select("cls", "sig"), "cls")
+    sets = sets_of(cells.select("cls"), docs, reps, rule).join(reps.select("cls", "sig", "keys"), "cls")
     cells = cells.join(sets, "cls")
 
     def work(table: pa.Table) -> pa.Table:
@@ -300,6 +300,7 @@ def links_in_cells(cells: DataFrame, docs: DataFrame, reps: DataFrame, rule: Rul
         band = table.column("band")[0].as_py()
         names = table.column("cls").to_pylist()
         sig = _matrix(table.column("sig").combine_chunks())
+        keys = table.column("keys").combine_chunks().flatten().to_numpy().reshape(rows, -1)
         flat = table.column("shingles").combine_chunks()
         edges = flat.offsets.to_numpy()
         shingles = flat.values.to_numpy(zero_copy_only=False).view(np.uint64)
@@ -320,13 +321,11 @@ def links_in_cells(cells: DataFrame, docs: DataFrame, reps: DataFrame, rule: Rul
         if not len(x):
             return empty
         kept = []
-        earlier = slice(0, band * ROWS_IN_BAND)
         for at in range(0, len(x), CHUNK):
             i, j = x[at : at + CHUNK], y[at : at + CHUNK]
             alive, n = likely(sig[i], sig[j], (size[i], size[j]), rule)
             i, j = i[alive], j[alive]
-            same = (sig[i, earlier] == sig[j, earlier]).reshape(len(i), band, ROWS_IN_BAND)
-            first = ~same.all(axis=2).any(axis=1)
+            first = ~(keys[i, :band] == keys[j, :band]).any(axis=1)
             kept.append((i[first], j[first], n[first]))
         x, y, matches = (np.concatenate(parts) for parts in zip(*kept, strict=True))
         order = np.argsort(-matches, kind="stable")
@@ -366,9 +365,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id"
     doc_id are told apart by their texts; full copies of a kept row are all kept. Of equal
     sets only one is compared with others, so that copies cost nothing but their reading.
     Exact but for the two chances of rule: a pair at the threshold that shares no band, and
-    one whose posterior falls below rule.prune. In hot buckets a pair that shares an earlier
-    band is left to that band, which is read off 16 bits of each value: about one pair in
-    100,000 at the threshold is then met in no band, besides those of rule.
+    one whose posterior falls below rule.prune.
     """
     docs = pick(docs, doc_id=doc_id, text=text)
     base = cut(describe(docs, rule))
