@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekeel.llm.common import shared_folder, ship, small
+from tablekeel.llm.common import cut, shared_folder, ship, small
 from tablekeel.llm.dedup import near_duplicates
 from tablekeel.llm.language import learn_languages, predict_languages
 from tablekeel.llm.mixing import mix, words_in
@@ -35,17 +35,25 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group at five words and 0.8: that with the smallest id. Rows that repeat an id go too."""
+    """One document of each group at five words and 0.8: that with the smallest id, nulls last.
+
+    Decided row by row: where ids are null or repeat, rows get names of their own, in which
+    the id comes first and then a hash of the text.
+    """
     ship(spark)
     docs = docs.select(COLUMNS)
-    groups = near_duplicates(docs)
-    gone = groups.where(~F.col("kept")).select("doc_id").distinct()
-    repeated = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    out = docs.join(small(gone), "doc_id", "left_anti")
-    if repeated.isEmpty():
-        return out.select(COLUMNS)
-    once = out.join(small(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return out.join(small(repeated), "doc_id", "left_anti").select(COLUMNS).union(once.select(COLUMNS))
+    if docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").isEmpty():
+        gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id")
+        return docs.join(small(gone), "doc_id", "left_anti").select(COLUMNS)
+    name = F.struct(
+        F.col("doc_id").isNull().alias("nameless"),
+        F.coalesce("doc_id", F.lit(0)).alias("doc_id"),
+        F.xxhash64("text").alias("hash"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    docs = cut(docs.withColumn("name", name))
+    gone = near_duplicates(docs, doc_id="name").where(~F.col("kept")).select(F.col("doc_id").alias("name"))
+    return docs.join(small(gone), "name", "left_anti").select(COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
