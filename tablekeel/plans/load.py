@@ -25,6 +25,7 @@ from tablekeel.sinks.tables import (
     publish_partitions,
     replace_table,
     staged_partitions,
+    unchanged_partitions,
 )
 from tablekeel.sinks.views import publish_view
 from tablekeel.sources.extract import extract, fill_date_list, source_errors
@@ -92,6 +93,7 @@ def run_load(
     rebalance: bool | None = None,
     compact: bool | None = None,
     verify: str = "content",
+    skip_unchanged: bool = False,
 ) -> DataFrame:
     """Load or reload one target and report row counts per partition.
 
@@ -106,6 +108,9 @@ def run_load(
     before the switch and unless told otherwise, for the loaded partitions if asked.
     ``verify`` compares what a partitioned target then holds with the rows that were written:
     by ``content``, a hash of every row, which reads the loaded partitions once, or by ``counts``.
+    ``skip_unchanged`` switches only the partitions whose rows differ from those in the target,
+    for ranges of which few partitions have got late rows; the others keep their files, and
+    their status is ``unchanged``. Partitions with equal counts are compared by a hash of every row.
 
     Raises :class:`ConflictError` if another load has published the same partitions since this
     one began. A load that died while it switched its target is finished or undone first.
@@ -118,6 +123,8 @@ def run_load(
         raise SpecError("a view stores nothing, so it takes neither rebalance nor compact")
     if dry_run and compact:
         raise SpecError("a dry run writes nothing, so it takes no compact")
+    if skip_unchanged and (dry_run or not spec.is_partitioned):
+        raise SpecError("skip_unchanged applies to partitioned loads that write")
     if verify not in ("content", "counts"):
         raise SpecError(f"verify must be content or counts, got {verify!r}")
     state = _open_target(spark, spec, target_date)
@@ -127,6 +134,8 @@ def run_load(
         return _load_view(spark, spec, dry_run)
     if not spec.is_partitioned:
         return _load_full(spark, spec, state, dry_run, rebalance is True, compact is not False)
+    if skip_unchanged and state is not None and state.provider not in SELF_DESCRIBING:
+        raise SpecError(f"the contents of {spec.target} can not be compared: its format is {state.provider}")
     plan = plan_load(spark, spec, target_date, now)
     source = _partitioned_source(spark, spec, plan, state)
     if dry_run:
@@ -142,14 +151,19 @@ def run_load(
     contents = verify == "content" and (state is None or state.provider in SELF_DESCRIBING)
     with staged_partitions(spark, source, spec, state, plan.partitions, rebalance is not False, contents) as staged:
         checked = _check(spark, spec, plan, staged.frame, state, staged.unexpected)
-    publish_partitions(spark, checked, staged, spec.target, state)
+        unchanged = unchanged_partitions(spark, checked, staged, spec.target, state) if skip_unchanged else {}
+    publish_partitions(spark, checked, staged, spec.target, state, unchanged)
     if compact:
         _try_compaction(spark, spec, [p.partition_value for p in checked.partitions if p.rows_read])
+
+    def status(value: str, rows: int) -> str:
+        return "unchanged" if value in unchanged else "written" if rows else "missing"
+
     # Rows read are rows after: publishing has compared the two, partition by partition.
     report = _report(
         spark,
         (
-            (p.partition_value, p.rows_read, p.rows_before, p.rows_read, "written" if p.rows_read else "missing")
+            (p.partition_value, p.rows_read, p.rows_before, p.rows_read, status(p.partition_value, p.rows_read))
             for p in checked.partitions
         ),
     )

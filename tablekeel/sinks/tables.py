@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from decimal import Decimal
 
 from py4j.protocol import Py4JJavaError
@@ -124,15 +124,41 @@ def _read_back(spark: SparkSession, folder: str, kind: str, schema: T.StructType
     return spark.read.format(kind).schema(nullable).load(folder)
 
 
-def publish_partitions(
+def unchanged_partitions(
     spark: SparkSession, checked: CheckedSource, staged: StagedRows, name: str, state: TargetState | None
+) -> dict[str, Decimal]:
+    """The partitions that the target holds with the very rows that were staged, and the content of each.
+
+    Partitions whose counts differ are not read. If the load brings columns or nested fields
+    that the target lacks, no partition is as it was.
+    """
+    likely = [p.partition_value for p in checked.partitions if p.rows_read and p.rows_read == p.rows_before]
+    if state is None or not likely or staged.evolution != Evolution():
+        return {}
+    key, columns = checked.key, staged.frame.columns
+    rows = staged.frame.where(key_in(key, staged.frame.schema[key].dataType, likely))
+    held = partition_contents(target_partitions(spark, name, key, likely), key, columns)
+    # One row per partition and side, so that those which agree are few.
+    return {r.partition_value: r.content for r in partition_contents(rows, key, columns).intersect(held).collect()}
+
+
+def publish_partitions(
+    spark: SparkSession,
+    checked: CheckedSource,
+    staged: StagedRows,
+    name: str,
+    state: TargetState | None,
+    unchanged: Mapping[str, Decimal] | None = None,
 ) -> None:
     """Make the staged rows the target's partitions, creating the table if need be.
 
     The guards have made sure that only listed partitions are in the files, and that a
     listed one without rows has none in the target to remove. New columns are added here,
-    not before, so that a failed load leaves the schema as it was.
+    not before, so that a failed load leaves the schema as it was. The unchanged partitions
+    keep their files, and what was staged of them is removed.
     """
+    if unchanged:
+        staged = _without(spark, staged, checked.key, unchanged)
     if state is None:
         empty = spark.createDataFrame([], staged.frame.schema)
         empty.write.format("parquet").option(DYNAMIC_OVERWRITE, "dynamic").partitionBy(checked.key).saveAsTable(name)
@@ -140,9 +166,20 @@ def publish_partitions(
     else:
         evolve(spark, name, staged.evolution)
     counts = {p.partition_value: p.rows_read for p in checked.partitions if p.rows_read}
+    counts = {v: n for v, n in counts.items() if v not in (unchanged or {})}
+    if not counts:
+        delete(spark, [staged.folder])
+        return
     _publish(spark, staged, name, checked.key, counts, state)
 
 
+def _without(spark: SparkSession, staged: StagedRows, key: str, unchanged: Mapping[str, Decimal]) -> StagedRows:
+    rest = staged.frame.where(~key_in(key, staged.frame.schema[key].dataType, list(unchanged)))
+    content = None if staged.content is None else staged.content - sum(unchanged.values())
+    delete(spark, [f"{staged.folder}/{escaped(key)}={escaped(v)}" for v in unchanged])
+    return replace(staged, frame=rest, content=content)
+
+
 def _publish(
     spark: SparkSession, staged: StagedRows, name: str, key: str, counts: Mapping[str, int], state: TargetState
 ) -> None:

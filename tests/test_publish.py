@@ -352,3 +352,67 @@ def test_types_widen_without_loss_only(spark, have, want, fits):
     kind = spark.table(f"{schema}.t").dtypes
     run_load(spark, narrow)
     assert spark.table(f"{schema}.t").dtypes == kind
+
+
+# --- Unchanged partitions ---
+
+
+def statuses(report):
+    return [r.status for r in report.orderBy("partition_value").collect()]
+
+
+@pytest.mark.parametrize("verify", ["content", "counts"])
+def test_only_changed_partitions_are_switched(spark, verify):
+    spec = loaded(spark)
+    before = partition_locations(spark, spec.target, "d", DAYS)
+    late = changed(spec, f"CASE WHEN d = '{DAYS[1]}' AND id % 100 = 1 THEN -1.0D ELSE v END AS v")
+    report = run_load(spark, late, RANGE, skip_unchanged=True, verify=verify)
+    assert statuses(report) == ["unchanged", "written", "unchanged", "unchanged"]
+    assert all(r.rows_read == r.rows_before == r.rows_after == 3 for r in report.collect())
+    after = partition_locations(spark, spec.target, "d", DAYS)
+    assert [v for v in DAYS if before[v] != after[v]] == [DAYS[1]]
+    assert rows_of(spark.table(spec.target)) == rows_of(spark.sql(late.partition_query.replace("{target_date_list}", str(DAYS)[1:-1])))
+    held, used, journals = folders_beside(spark, spec)
+    assert held <= used and not journals
+
+
+def test_nothing_is_switched_if_nothing_has_changed(spark, monkeypatch):
+    spec = loaded(spark)
+    before = partition_locations(spark, spec.target, "d", DAYS)
+    monkeypatch.setattr(tables, "switch", lambda *_: pytest.fail("switched"))
+    assert statuses(run_load(spark, spec, RANGE, skip_unchanged=True)) == ["unchanged"] * 4
+    assert partition_locations(spark, spec.target, "d", DAYS) == before
+    held, used, _ = folders_beside(spark, spec)
+    assert held <= used
+
+
+def test_new_partitions_and_columns_are_changes(spark):
+    view = source(spark, days_of(2))
+    spec = day_spec(database(spark), view)
+    assert statuses(run_load(spark, spec, f"{DAYS[0]},{DAYS[1]}", skip_unchanged=True)) == ["written"] * 2
+    assert statuses(run_load(spark, spec, RANGE, skip_unchanged=True)) == ["unchanged"] * 2 + ["written"] * 2
+    wider = changed(spec, "v, id + 1 AS extra")
+    assert statuses(run_load(spark, wider, RANGE, skip_unchanged=True)) == ["written"] * 4
+    # A NULL in place of a value is a change, and rows in another order or number of files are none.
+    nulled = changed(spec, f"CASE WHEN d = '{DAYS[0]}' THEN NULL ELSE v END AS v, id + 1 AS extra")
+    shuffled = day_spec(spec.schema, None, nulled.partition_query.replace("SELECT", "SELECT /*+ REPARTITION(5) */", 1))
+    assert statuses(run_load(spark, shuffled, RANGE, skip_unchanged=True)) == ["written"] + ["unchanged"] * 3
+
+
+def test_a_failed_comparison_leaves_everything(spark, monkeypatch):
+    spec = loaded(spark)
+    before = rows_of(spark.table(spec.target))
+    held = folders_beside(spark, spec)
+    monkeypatch.setattr(tables, "target_partitions", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        run_load(spark, changed(spec), RANGE, skip_unchanged=True)
+    monkeypatch.undo()
+    assert rows_of(spark.table(spec.target)) == before and folders_beside(spark, spec) == held
+
+
+def test_skipping_needs_partitions_that_are_written(spark):
+    spec = loaded(spark)
+    with pytest.raises(SpecError):
+        run_load(spark, spec, RANGE, dry_run=True, skip_unchanged=True)
+    with pytest.raises(SpecError):
+        run_load(spark, full_spec(spec.schema, "SELECT 1 AS a"), skip_unchanged=True)

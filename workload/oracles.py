@@ -157,4 +157,12 @@ SELECT strftime(g.d, '%Y-%m-%d') AS partition_value, count(e.event_id) AS rows_r
   count(e.event_id) AS rows_after, CASE WHEN count(e.event_id) > 0 THEN 'written' ELSE 'missing' END AS status
 FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-02', INTERVAL 1 DAY) g(d)
 LEFT JOIN events e ON CAST(e.ts AS DATE) = CAST(g.d AS DATE) GROUP BY 1, g.d""",
+    "reload_changed_days": """
+WITH days AS (SELECT strftime(ts, '%Y-%m-%d') AS d, count(*) AS n,
+  count(*) FILTER (WHERE NOT (CAST(ts AS DATE) = DATE '2024-01-20' AND event_id % 7 = 0)) AS kept,
+  coalesce(bool_or(value <> 0), false) AS worth FROM events
+  WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30' GROUP BY 1)
+SELECT d AS partition_value, kept AS rows_read, n AS rows_before, kept AS rows_after,
+  CASE WHEN kept = n AND NOT (d = '2024-01-12' AND worth) THEN 'unchanged' ELSE 'written' END AS status
+FROM days""",
 }

@@ -467,3 +467,16 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = run_load(spark, daily_events(sf_dir, schema), "2024-01-01,2024-02-02")
     spark.sql(f"DROP DATABASE {schema} CASCADE")
     return report
+
+
+@query
+def reload_changed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reload of all days, of which one has new values and another lost rows since: only these are switched."""
+    schema = fresh_database(spark, "changed")
+    run_load(spark, daily_events(sf_dir, schema), ALL_DAYS)
+    doubled = "e.value * CASE WHEN CAST(e.ts AS DATE) = DATE '2024-01-12' THEN 2 ELSE 1 END AS value"
+    kept = "CAST(e.ts AS DATE) <> DATE '2024-01-20' OR e.event_id % 7 <> 0"
+    changed = daily_events(sf_dir, schema, columns=f"e.event_id, {doubled}", where=kept)
+    report = run_load(spark, changed, ALL_DAYS, skip_unchanged=True)
+    spark.sql(f"DROP DATABASE {schema} CASCADE")
+    return report
