@@ -16,11 +16,11 @@ from tablekeel.functions.dates import window_days, window_partitions
 from tablekeel.operators.guards import CheckedSource, Unexpected, check_key_column, check_partitions
 from tablekeel.operators.quality import bounds_of, total_rows
 from tablekeel.operators.spine import listed_partitions, plan_loads, single_request
+from tablekeel.sinks.clustered import publish_clustered, staged_clustered
 from tablekeel.sinks.folders import table_folder
 from tablekeel.sinks.journal import recover
 from tablekeel.sinks.layout import check_typed, fit_to_target
 from tablekeel.sinks.tables import (
-    SELF_DESCRIBING,
     compact_partitions,
     publish_partitions,
     replace_table,
@@ -29,7 +29,13 @@ from tablekeel.sinks.tables import (
 )
 from tablekeel.sinks.views import publish_view
 from tablekeel.sources.extract import extract, fill_date_list, source_errors
-from tablekeel.sources.target import TargetState, check_target_kind, target_partitions, target_state
+from tablekeel.sources.target import (
+    SELF_DESCRIBING,
+    TargetState,
+    check_target_kind,
+    target_partitions,
+    target_state,
+)
 from tablekeel.spec import LoadSpec
 
 log = logging.getLogger(__name__)
@@ -125,6 +131,8 @@ def run_load(
         raise SpecError("a dry run writes nothing, so it takes no compact")
     if skip_unchanged and (dry_run or not spec.is_partitioned):
         raise SpecError("skip_unchanged applies to partitioned loads that write")
+    if spec.is_clustered and (skip_unchanged or compact):
+        raise SpecError("a clustered table takes neither skip_unchanged nor compact")
     if verify not in ("content", "counts"):
         raise SpecError(f"verify must be content or counts, got {verify!r}")
     state = _open_target(spark, spec, target_date)
@@ -149,10 +157,14 @@ def run_load(
             ),
         )
     contents = verify == "content" and (state is None or state.provider in SELF_DESCRIBING)
-    with staged_partitions(spark, source, spec, state, plan.partitions, rebalance is not False, contents) as staged:
+    staging = staged_clustered if spec.is_clustered else staged_partitions
+    with staging(spark, source, spec, state, plan.partitions, rebalance is not False, contents) as staged:
         checked = _check(spark, spec, plan, staged.frame, state, staged.unexpected)
         unchanged = unchanged_partitions(spark, checked, staged, spec.target, state) if skip_unchanged else {}
-    publish_partitions(spark, checked, staged, spec.target, state, unchanged)
+    if spec.is_clustered:
+        publish_clustered(spark, checked, staged, spec, state)
+    else:
+        publish_partitions(spark, checked, staged, spec.target, state, unchanged)
     if compact:
         _try_compaction(spark, spec, [p.partition_value for p in checked.partitions if p.rows_read])
 

@@ -6,6 +6,7 @@ import logging
 import re
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from tablekeel.spec import LoadSpec
 log = logging.getLogger(__name__)
 
 LOADS = "__loads"
+#: Files that are being moved at a time.
+THREADS = 8
 
 
 def table_folder(spark: SparkSession, state: TargetState | None, spec: LoadSpec | None = None) -> str:
@@ -92,8 +95,35 @@ def read_text(spark: SparkSession, file: str) -> str:
         source.close()
 
 
+def move(spark: SparkSession, names: Sequence[str], source: str, to: str, if_there: bool = False) -> None:
+    """Move files from one folder to another, or those of them that are there; what has been moved already stays."""
+    if not names:
+        return
+    path, files = _open(spark, to)
+    files.mkdirs(path)
+
+    def one(name: str) -> None:
+        old, new = (spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}") for folder in (source, to))
+        if files.exists(new) or if_there and not files.exists(old):
+            return
+        if not files.rename(old, new):
+            raise OSError(f"could not move {old.toString()} to {to}")
+
+    with ThreadPoolExecutor(THREADS) as pool:
+        list(pool.map(one, names))
+
+
+def file_names(spark: SparkSession, folders: Sequence[str]) -> dict[str, frozenset[str]]:
+    """The names of the data files in each of the folders, and in the folders below them."""
+    found: dict[str, set[str]] = {normal(f): set() for f in folders}
+    if folders:
+        for row in listed_files(spark, folders).select("folder", "name").toLocalIterator():
+            found.setdefault(row.folder, set()).add(row.name)
+    return {folder: frozenset(names) for folder, names in found.items()}
+
+
 def listed_files(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
-    """``folder, length`` of every file below the folders; a listing, which opens no file."""
+    """``folder, name, length`` of every file below the folders; a listing, which opens no file."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(folders))
     folder = F.regexp_replace(F.regexp_replace("path", "/[^/]+$", ""), "^file:/+", "file:/")
-    return files.select(folder.alias("folder"), "length")
+    return files.select(folder.alias("folder"), F.regexp_extract("path", "[^/]+$", 0).alias("name"), "length")

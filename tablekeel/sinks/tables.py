@@ -30,12 +30,13 @@ from tablekeel.operators.quality import (
     row_hash,
     total_rows,
 )
-from tablekeel.sinks.folders import delete, escaped, listed_files, new_folder, normal, table_folder
-from tablekeel.sinks.journal import Change, sql_text, switch
+from tablekeel.sinks.folders import delete, escaped, file_names, listed_files, new_folder, normal, table_folder
+from tablekeel.sinks.journal import Change, Swap, sql_text, switch, switch_files, written_beside
 from tablekeel.sinks.layout import Evolution, check_typed, evolve, expected_keys_only, fit_to_target, spread_for_write
 from tablekeel.sources.extract import source_errors
 from tablekeel.sources.target import (
     FILE_FORMATS,
+    SELF_DESCRIBING,
     TargetState,
     key_in,
     partition_locations,
@@ -45,8 +46,6 @@ from tablekeel.sources.target import (
 from tablekeel.spec import LoadSpec, quoted
 
 DYNAMIC_OVERWRITE = "partitionOverwriteMode"
-# Formats whose files hold column names and types, so that any folder can be switched in.
-SELF_DESCRIBING = ("parquet", "orc")
 #: Bytes that a file should have at least, on average, for its partition not to be worth merging.
 FILE_BYTES = 32 * 1024 * 1024
 
@@ -104,24 +103,23 @@ def staged_partitions(
                 # In the tasks that write, after the shuffle: each of them counts once, however often it is tried.
                 spread = spread.observe(written, F.sum(row_hash(spread.schema, spread.columns)).alias("content"))
             spread.write.format(kind).partitionBy(key).save(folder)
-        content = _observed(written).get("content") if contents else None
-        unexpected = Unexpected(**(_observed(strange) or {"lowest": None, "highest": None, "null_rows": 0}))
-        yield StagedRows(_read_back(spark, folder, kind, rows.schema), folder, evolution, unexpected, seen, content)
+        content = observed(written).get("content") if contents else None
+        unexpected = Unexpected(**(observed(strange) or {"lowest": None, "highest": None, "null_rows": 0}))
+        yield StagedRows(read_back(spark, folder, kind, rows.schema), folder, evolution, unexpected, seen, content)
     except BaseException:
         delete(spark, [folder])
         raise
 
 
-def _observed(seen: Observation) -> dict:
+def observed(seen: Observation) -> dict:
     try:
         return seen.get
     except Py4JJavaError:  # Spark has found the query to be empty before it ran, and left out what watches it
         return {}
 
 
-def _read_back(spark: SparkSession, folder: str, kind: str, schema: T.StructType) -> DataFrame:
-    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
-    return spark.read.format(kind).schema(nullable).load(folder)
+def read_back(spark: SparkSession, folder: str | list[str], kind: str, schema: T.StructType) -> DataFrame:
+    return spark.read.format(kind).schema(_nullable(schema)).load(folder)
 
 
 def unchanged_partitions(
@@ -277,7 +275,7 @@ def replace_table(
         delete(spark, made)
         raise
     if state is None:
-        _create(spark, spec, back, folder)
+        create_at(spark, spec, back, folder)
         check()
     else:
         change = Change(None, state.location, folder)
@@ -286,7 +284,7 @@ def replace_table(
     return rows
 
 
-def _create(spark: SparkSession, spec: LoadSpec, rows: DataFrame, folder: str) -> None:
+def create_at(spark: SparkSession, spec: LoadSpec, rows: DataFrame, folder: str) -> None:
     """A new table with its rows in place: made empty under another name, pointed at them, and then renamed."""
     before = spec.sibling(f"{spec.table}__new_{uuid.uuid4().hex[:8]}")
     try:
@@ -319,22 +317,18 @@ def _has_small_files(spark: SparkSession, folder: str, file_bytes: int = FILE_BY
 def small_file_partitions(
     spark: SparkSession, name: str, key: str, values: Sequence[str], file_bytes: int = FILE_BYTES, least_factor: float = 2.0
 ) -> DataFrame:
-    """The listed partitions with at least least_factor times the files their bytes need.
+    """The listed partitions whose files below file_bytes are at least least_factor times those their bytes need.
 
-    ``partition_value, files, bytes, files_needed``; from a listing of their folders.
+    ``partition_value, files, bytes, files_needed``, of these small files; from a listing of the folders.
     """
-    state = target_state(spark, name)
-    if state.lists_partitions:
-        folders = partition_locations(spark, name, key, values)
-    else:
-        present = {r.partition_value for r in distinct_partitions(target_partitions(spark, name, key, values), key).collect()}
-        folders = {v: f"{state.location.rstrip('/')}/{escaped(key)}={escaped(v)}" for v in values if v in present}
+    folders = _folders_of(spark, target_state(spark, name), key, values)
     if not folders:
         return spark.createDataFrame([], "partition_value string, files bigint, bytes bigint, files_needed bigint")
     of = spark.createDataFrame([(v, f.rstrip("/")) for v, f in folders.items()], "partition_value string, folder string")
     of = of.withColumn("folder", F.regexp_replace("folder", "^file:/+", "file:/"))
     return (
         listed_files(spark, list(folders.values()))
+        .where(F.col("length") < file_bytes)
         .join(F.broadcast(of), "folder")
         .groupBy("partition_value")
         .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
@@ -343,16 +337,25 @@ def small_file_partitions(
     )
 
 
+def _folders_of(spark: SparkSession, state: TargetState, key: str, values: Sequence[str]) -> dict[str, str]:
+    if state.lists_partitions:
+        return partition_locations(spark, state.name, key, values)
+    present = {r.partition_value for r in distinct_partitions(target_partitions(spark, state.name, key, values), key).collect()}
+    return {v: f"{state.location.rstrip('/')}/{escaped(key)}={escaped(v)}" for v in values if v in present}
+
+
 def compact_partitions(
     spark: SparkSession, name: str, key: str, values: Sequence[str], file_bytes: int = FILE_BYTES, least_factor: float = 2.0
 ) -> list[str]:
-    """Rewrite the listed partitions that consist of many small files; return which.
+    """Merge the small files of the listed partitions where there are many; return which partitions.
 
-    A partition is rewritten if it has at least least_factor times the files of file_bytes
-    that its bytes would fill, and more than one. The rows stay the same: they are written
-    to new folders, counted there, and only then switched in. The new files follow
+    Files of at least file_bytes are neither read nor moved. The others of a partition are
+    merged if they are at least least_factor times the files that their bytes would fill, and
+    more than one. The rows stay the same: they are written beside the table, compared
+    there, and only then swapped in. The new files follow
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, so file_bytes should not be above
-    half of that. Partitions already in good shape are not touched.
+    half of that. Partitions already in good shape are not touched, and partitions in a text
+    format are written once more as a whole.
     """
     state = target_state(spark, name)
     if state is None or state.is_view or state.partition_columns != (key,) or state.provider not in FILE_FORMATS:
@@ -361,13 +364,16 @@ def compact_partitions(
     chosen = sorted(r.partition_value for r in found.select("partition_value").collect())
     if not chosen:
         return []
+    if state.provider in SELF_DESCRIBING:
+        _merge_small_files(spark, name, key, chosen, state, file_bytes)
+        return chosen
     rows = target_partitions(spark, name, key, chosen)
     kind = state.provider if state.provider in SELF_DESCRIBING else "parquet"
     folder = new_folder(spark, state)
     seen = partition_locations(spark, name, key, chosen) if state.lists_partitions else {}
     try:
         spread_for_write(rows, key, len(chosen)).write.format(kind).partitionBy(key).save(folder)
-        staged = StagedRows(_read_back(spark, folder, kind, rows.schema), folder, Evolution(), seen=seen)
+        staged = StagedRows(read_back(spark, folder, kind, rows.schema), folder, Evolution(), seen=seen)
         compared = reconcile_contents(rows, key, staged.frame, key, rows.columns).collect()
         wrong = sorted(r.partition_value for r in compared if not r.same_content)
         if wrong:
@@ -377,3 +383,35 @@ def compact_partitions(
         raise
     _publish(spark, staged, name, key, {r.partition_value: r.source_rows for r in compared}, state)
     return chosen
+
+
+def _merge_small_files(
+    spark: SparkSession, name: str, key: str, chosen: Sequence[str], state: TargetState, file_bytes: int
+) -> None:
+    """Write the rows of the small files once more, compare them, and swap the files within their folders."""
+    spark.catalog.refreshTable(name)
+    folders = _folders_of(spark, state, key, chosen)
+    before = file_names(spark, list(folders.values()))
+    small: dict[str, list[str]] = {}
+    for row in listed_files(spark, list(folders.values())).where(F.col("length") < file_bytes).toLocalIterator():
+        small.setdefault(row.folder, []).append(row.name)
+    # Sizes are known from the listing, so Spark leaves out the other files before it reads any.
+    rows = target_partitions(spark, name, key, chosen).where(F.col("_metadata.file_size") < file_bytes)
+    work = new_folder(spark, state)
+    with written_beside(spark, name, before, work):
+        spread_for_write(rows, key, len(chosen)).write.format(state.provider).partitionBy(key).save(f"{work}/rows")
+        merged = read_back(spark, f"{work}/rows", state.provider, rows.schema)
+        compared = reconcile_contents(rows, key, merged, key, rows.columns).collect()
+        wrong = sorted(r.partition_value for r in compared if not r.same_content)
+        if wrong:
+            raise VerificationError(f"merging files of {name} would change the rows of {', '.join(wrong)}")
+        held = file_names(spark, [f"{work}/rows"])
+    swaps = []
+    for value, folder in folders.items():
+        part = f"{escaped(key)}={escaped(value)}"
+        stage, aside = f"{work}/rows/{part}", f"{work}/replaced/{part}"
+        into = tuple(sorted(held.get(normal(stage), ())))
+        swaps.append(Swap(normal(folder), stage, aside, tuple(sorted(small.get(normal(folder), ()))), into))
+    # The folders keep their place in the catalog, if it lists them at all.
+    stay = folders if state.lists_partitions else {None: state.location}
+    switch_files(spark, name, key, table_folder(spark, state), stay, swaps, before, work, lambda: None)

@@ -15,6 +15,8 @@ from tablekeel.spec import LoadSpec, quoted
 
 # Built-in file formats whose dynamic partition overwrite is understood.
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
+# Formats whose files hold column names and types, so that any folder can be switched in.
+SELF_DESCRIBING = ("parquet", "orc")
 
 
 @dataclass(frozen=True)
@@ -114,7 +116,12 @@ def check_target_kind(spec: LoadSpec, state: TargetState | None) -> None:
         return
     if state.provider not in FILE_FORMATS:
         raise SpecError(f"target {state.name} has format {state.provider!r}; known are {', '.join(FILE_FORMATS)}")
-    wanted = (spec.partition_column,) if spec.is_partitioned else ()
+    if spec.is_clustered and (state.provider not in SELF_DESCRIBING or spec.partition_column not in state.schema.names):
+        raise SpecError(
+            f"target {state.name} cannot be clustered: it needs a column {spec.partition_column} and to be "
+            f"{' or '.join(SELF_DESCRIBING)}, and is {state.provider}"
+        )
+    wanted = (spec.partition_column,) if spec.is_partitioned and not spec.is_clustered else ()
     if state.partition_columns != wanted:
         raise SpecError(
             f"target {state.name} is partitioned by {list(state.partition_columns)}, the spec by {list(wanted)}"

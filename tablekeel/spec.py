@@ -14,6 +14,8 @@ STRATEGIES = {
     "month": ("single_month",),
     "full": ("full", "view"),
 }
+#: How a day or month table is stored: a folder for each partition, or files that are sorted by its column.
+LAYOUTS = ("partitioned", "clustered")
 # Fixed value: where the quoted list of source days goes in a partitioned query.
 DATE_LIST_PLACEHOLDER = "{target_date_list}"
 
@@ -43,6 +45,7 @@ class LoadSpec:
     partition_column: str = ""
     catalog: str = ""
     time_zone: str = ""
+    layout: str = ""
 
     @classmethod
     def from_mapping(cls, config: Mapping[str, str | None]) -> LoadSpec:
@@ -88,6 +91,8 @@ class LoadSpec:
             )
         if self.is_view and self.partition_type != "full":
             raise SpecError("a view needs partition_type 'full'")
+        if self.layout and (self.layout not in LAYOUTS or not self.is_partitioned):
+            raise SpecError(f"layout is {' or '.join(LAYOUTS)}, for days and months only; got {self.layout!r}")
         allowed = STRATEGIES[self.partition_type]
         if self.processing_strategy not in allowed:
             raise SpecError(
@@ -120,6 +125,10 @@ class LoadSpec:
     def is_partitioned(self) -> bool:
         return self.partition_type in ("day", "month")
 
+    @property
+    def is_clustered(self) -> bool:
+        return self.layout == "clustered"
+
     @property
     def is_view(self) -> bool:
         return self.processing_strategy == "view"

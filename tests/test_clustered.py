@@ -1,0 +1,287 @@
+"""Targets whose files are replaced: clustered tables, and the merging of small files beside large ones."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import tablekeel.sinks.clustered as clustered
+import tablekeel.sinks.journal as journal
+import tablekeel.sinks.tables as tables
+from tablekeel import ConflictError, DataQualityError, SpecError, VerificationError, compact_partitions, run_load
+from tablekeel.sinks.clustered import touched_files
+from tablekeel.sinks.folders import children, file_names, normal
+from tablekeel.sources.target import partition_locations, target_state
+from tests.helpers import DAYS, database, day_spec, days_of, month_spec, report_of, rows_of, source
+
+RANGE = f"{DAYS[0]},{DAYS[-1]}"
+SOME = f"{DAYS[1]},{DAYS[2]}"
+
+
+class Killed(BaseException):
+    """The driver is gone: nothing that would clean up runs."""
+
+
+@pytest.fixture
+def files_of_one_key(spark):
+    """Files so small that no two days share one."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1b")
+    yield
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def loaded(spark, rows=None, schema=None, **changes):
+    spec = day_spec(schema or database(spark), source(spark, rows or days_of(3)), layout="clustered", **changes)
+    run_load(spark, spec, RANGE)
+    return spec
+
+
+def changed(spec, expression="v + 100 AS v", where="true"):
+    view = spec.partition_query.split("FROM ")[1]
+    return day_spec(spec.schema, None, f"SELECT id, {expression}, d FROM {view} AND {where}", layout="clustered")
+
+
+def files(spark, spec):
+    location = target_state(spark, spec.target).location
+    return file_names(spark, [location])[normal(location)]
+
+
+def left_beside(spark, spec):
+    """Folders of loads that the table is not in, and journals."""
+    location = target_state(spark, spec.target).location
+    base = location.split("__loads/")[0]
+    ids = [i for i in children(spark, f"{base}__loads") if i != "journal" and f"__loads/{i}" not in location]
+    return ids + children(spark, f"{base}__loads/journal")
+
+
+def expected(spark, spec, days, plus=100.0):
+    view = spec.partition_query.split("FROM ")[1].split()[0]
+    return sorted(((r.id, r.v + plus if r.d in days else r.v, r.d) for r in spark.table(view).collect()), key=repr)
+
+
+def test_days_are_replaced_and_the_table_has_no_partitions(spark):
+    spec = loaded(spark)
+    report = run_load(spark, changed(spec), SOME)
+    assert report_of(report) == [(DAYS[1], 3, 3, 3, "written"), (DAYS[2], 3, 3, 3, "written")]
+    assert rows_of(spark.table(spec.target)) == expected(spark, spec, DAYS[1:3])
+    assert not any(c.isPartition for c in spark.catalog.listColumns(spec.target))
+    assert left_beside(spark, spec) == []
+
+
+def test_only_touched_files_are_rewritten(spark, files_of_one_key):
+    spec = loaded(spark)
+    before, touched = files(spark, spec), set(touched_files(spark, spec.target, "d", DAYS[1:3]))
+    assert touched < before
+    run_load(spark, changed(spec), SOME)
+    after = files(spark, spec)
+    assert before - after == touched and before - touched < after
+    assert rows_of(spark.table(spec.target)) == expected(spark, spec, DAYS[1:3])
+
+
+def test_rows_of_other_and_null_keys_are_carried_over(spark):
+    schema = database(spark)
+    spark.sql(f"CREATE TABLE {schema}.t (id INT, d STRING, v DOUBLE) USING parquet")
+    rows = [(1, DAYS[0], 1.0), (2, None, None), (3, DAYS[1], 3.0), (3, DAYS[1], 3.0), (4, "old", 4.0), (4, "old", 4.0)]
+    spark.createDataFrame(rows, "id int, d string, v double").coalesce(1).write.insertInto(f"{schema}.t")
+    spec = day_spec(schema, source(spark, [(9, 9.0, DAYS[1])]), layout="clustered")
+    run_load(spark, spec, DAYS[1])
+    assert rows_of(spark.table(spec.target)) == rows_of(
+        spark.createDataFrame([r for r in rows if r[1] != DAYS[1]] + [(9, DAYS[1], 9.0)], "id int, d string, v double")
+    )
+    assert spark.table(spec.target).columns == ["id", "d", "v"]
+
+
+def test_new_day_touches_no_file(spark):
+    spec = day_spec(database(spark), source(spark, days_of(2)), layout="clustered")
+    run_load(spark, spec, f"{DAYS[0]},{DAYS[1]}")
+    before = files(spark, spec)
+    run_load(spark, spec, f"{DAYS[2]},{DAYS[3]}")
+    assert before < files(spark, spec)
+    assert rows_of(spark.table(spec.target)) == expected(spark, spec, ())
+
+
+def test_months_dates_and_nested_columns(spark):
+    schema = database(spark)
+    months = month_spec(schema, """SELECT element_at(array({target_date_list}), 1) AS first, id,
+        date_format(element_at(array({target_date_list}), CAST(id % 31 AS INT) + 1), 'yyyy-MM') AS m FROM range(62)""", layout="clustered")
+    run_load(spark, months, "2024-01")
+    run_load(spark, months, "2024-03")
+    run_load(spark, months, "2024-01")
+    assert {r.m: r["count"] for r in spark.table(months.target).groupBy("m").count().collect()} == {"2024-01": 62, "2024-03": 62}
+    query = "SELECT id, named_struct('a', id) AS s, CAST(element_at(array({target_date_list}), 1) AS DATE) AS d FROM range(3)"
+    dates = day_spec(schema, None, query, table="dates", layout="clustered")
+    run_load(spark, dates, DAYS[0])
+    run_load(spark, dates, DAYS[1])
+    run_load(spark, day_spec(schema, None, query.replace("'a', id", "'a', id, 'b', 7"), table="dates", layout="clustered"), DAYS[1])
+    assert rows_of(spark.table(dates.target).selectExpr("string(d)", "s.a", "s.b")) == rows_of(
+        spark.createDataFrame([(d, i, 7 if d == DAYS[1] else None) for d in DAYS[:2] for i in range(3)], "d string, a long, b int")
+    )
+
+
+def test_a_hot_day_is_many_files(spark, files_of_one_key):
+    spec = loaded(spark, [(i, float(i), DAYS[0] if i % 3 else DAYS[1 + i % 2]) for i in range(3000)] + [(1, 1.0, DAYS[3])] * 3)
+    run_load(spark, changed(spec), DAYS[0])
+    assert rows_of(spark.table(spec.target)) == expected(spark, spec, DAYS[:1])
+
+
+def test_guards_hold(spark):
+    spec = loaded(spark)
+    before = files(spark, spec)
+    with pytest.raises(DataQualityError, match="gap"):
+        run_load(spark, changed(spec, where=f"d <> '{DAYS[1]}'"), SOME)
+    query = f"SELECT 1 AS id, 1.0D AS v, IF(id = 0, NULL, 'x') AS d FROM range(2) WHERE '{DAYS[0]}' IN ({{target_date_list}})"
+    with pytest.raises(DataQualityError, match="2 rows .* 1 rows NULL"):
+        run_load(spark, day_spec(spec.schema, None, query, layout="clustered"), DAYS[0])
+    assert files(spark, spec) == before and left_beside(spark, spec) == []
+    assert report_of(run_load(spark, spec, DAYS[0], dry_run=True)) == [(DAYS[0], 3, 3, 3, "would_write")]
+
+
+def test_kinds_of_targets_are_told_apart(spark):
+    spec = loaded(spark)
+    with pytest.raises(SpecError, match="partitioned by"):
+        run_load(spark, day_spec(spec.schema, None, spec.partition_query), RANGE)
+    run_load(spark, day_spec(spec.schema, None, spec.partition_query, table="p"), RANGE)
+    with pytest.raises(SpecError, match="partitioned by"):
+        run_load(spark, day_spec(spec.schema, None, spec.partition_query, table="p", layout="clustered"), RANGE)
+    for ddl in ("(id INT, v DOUBLE, d STRING) USING json", "(id INT, v DOUBLE) USING parquet"):
+        spark.sql(f"DROP TABLE IF EXISTS {spec.schema}.j")
+        spark.sql(f"CREATE TABLE {spec.schema}.j {ddl}")
+        with pytest.raises(SpecError, match="cannot be clustered"):
+            run_load(spark, day_spec(spec.schema, None, spec.partition_query, table="j", layout="clustered"), RANGE)
+    for option in ({"compact": True}, {"skip_unchanged": True}):
+        with pytest.raises(SpecError, match="clustered"):
+            run_load(spark, spec, RANGE, **option)
+
+
+@pytest.mark.parametrize("moved", range(0, 4))
+def test_a_dead_load_is_undone(spark, monkeypatch, files_of_one_key, moved):
+    spec = loaded(spark)
+    rows, held, left, real = rows_of(spark.table(spec.target)), files(spark, spec), [moved], journal.move
+
+    def dying(spark_, names, *where, **how):
+        for name in names:
+            if not left[0]:
+                raise Killed
+            left[0] -= 1
+            real(spark_, [name], *where, **how)
+
+    def gone(*_):
+        raise Killed
+
+    with monkeypatch.context() as patch:
+        patch.setattr(journal, "move", dying)
+        patch.setattr(journal, "undo", gone)
+        with pytest.raises(Killed):
+            run_load(spark, changed(spec), SOME)
+    with pytest.raises(ConflictError):
+        run_load(spark, changed(spec), SOME)
+    monkeypatch.setattr(journal, "clock", lambda: 1e12)
+    assert journal.recover(spark, target_state(spark, spec.target).location.split("__loads/")[0])
+    spark.catalog.refreshTable(spec.target)
+    assert rows_of(spark.table(spec.target)) == rows and files(spark, spec) == held
+    assert left_beside(spark, spec) == []
+
+
+def test_a_failed_check_puts_the_files_back(spark, monkeypatch):
+    spec = loaded(spark)
+    rows, held = rows_of(spark.table(spec.target)), files(spark, spec)
+
+    def refused(*_):
+        raise VerificationError("other rows")
+
+    monkeypatch.setattr(clustered, "verify_partitions", refused)
+    with pytest.raises(VerificationError):
+        run_load(spark, changed(spec), SOME)
+    assert rows_of(spark.table(spec.target)) == rows and files(spark, spec) == held and left_beside(spark, spec) == []
+
+
+def test_carried_rows_are_compared(spark, monkeypatch):
+    spec = loaded(spark)
+    rows, real = rows_of(spark.table(spec.target)), clustered.clustered_for_write
+
+    def losing(df, key, values=1):
+        return real(df.withColumn("v", F.lit(7.0)), key, values)
+
+    monkeypatch.setattr(clustered, "clustered_for_write", losing)
+    with pytest.raises(VerificationError, match="carried"):
+        run_load(spark, changed(spec), SOME)
+    assert rows_of(spark.table(spec.target)) == rows and left_beside(spark, spec) == []
+
+
+@pytest.mark.parametrize("day", [DAYS[1], DAYS[3]])
+def test_of_two_loads_one_gives_way(spark, monkeypatch, files_of_one_key, day):
+    """Also if neither touches a file of the other: both days may be new to the table."""
+    spec = day_spec(database(spark), source(spark, days_of(2)), layout="clustered")
+    run_load(spark, spec, f"{DAYS[0]},{DAYS[1]}")
+    real = clustered.touched_files
+
+    def overtaken(*args):
+        found = real(*args)
+        monkeypatch.setattr(clustered, "touched_files", real)
+        run_load(spark, changed(spec), day)
+        return found
+
+    monkeypatch.setattr(clustered, "touched_files", overtaken)
+    with pytest.raises(ConflictError):
+        run_load(spark, spec, day)
+    loaded_days = {*DAYS[:2], day}
+    assert rows_of(spark.table(spec.target)) == [r for r in expected(spark, spec, [day]) if r[2] in loaded_days]
+    assert left_beside(spark, spec) == []
+
+
+# --- Merging small files beside large ones ---
+
+
+def one_large_many_small(spark, small=50):
+    """Each of two days: a file of many rows and many of few."""
+    name = f"{database(spark)}.t"
+    large = spark.range(20_000).selectExpr("id", "CAST(rand(1) AS STRING) AS v", f"IF(id % 2 = 0, '{DAYS[0]}', '{DAYS[1]}') AS d")
+    large.coalesce(1).write.partitionBy("d").saveAsTable(name)
+    few = spark.range(0, 2 * small, 1, small).selectExpr("id", "'x' AS v", f"IF(id % 2 = 0, '{DAYS[0]}', '{DAYS[1]}') AS d")
+    few.write.mode("append").insertInto(name)
+    return name
+
+
+def sizes(spark, name):
+    found = spark.table(name).select("d", "_metadata.file_name", "_metadata.file_size").distinct().collect()
+    return {(r.d, r.file_name): r.file_size for r in found}
+
+
+def test_large_files_stay_where_small_ones_are_merged(spark):
+    name = one_large_many_small(spark)
+    rows, before, folders = rows_of(spark.table(name)), sizes(spark, name), partition_locations(spark, name, "d", DAYS)
+    large = {f for f, size in before.items() if size >= 50_000}
+    assert len(large) == 2 and len(before) == 102
+    assert compact_partitions(spark, name, "d", DAYS, file_bytes=50_000) == DAYS[:2]
+    after = sizes(spark, name)
+    assert large < set(after) and len(after) == 4
+    assert rows_of(spark.table(name)) == rows
+    assert partition_locations(spark, name, "d", DAYS) == folders
+    assert compact_partitions(spark, name, "d", DAYS, file_bytes=50_000) == []
+
+
+def test_large_files_are_not_read(spark):
+    name = one_large_many_small(spark, small=5)
+    location = partition_locations(spark, name, "d", DAYS)[DAYS[0]].removeprefix("file:")
+    (broken,) = [f for (d, f), size in sizes(spark, name).items() if d == DAYS[0] and size >= 50_000]
+    with open(f"{location}/{broken}", "r+b") as file:
+        good = file.read()
+        file.seek(0)
+        file.write(b"\0" * len(good))
+    assert compact_partitions(spark, name, "d", DAYS[:1], file_bytes=50_000) == DAYS[:1]
+    with open(f"{location}/{broken}", "r+b") as file:
+        file.write(good)
+    spark.catalog.refreshTable(name)
+    assert spark.table(name).where(F.col("d") == DAYS[0]).count() == 10_005
+
+
+def test_merging_gives_way_to_a_load(spark, monkeypatch):
+    name = one_large_many_small(spark, small=5)
+    real = tables.reconcile_contents
+
+    def overtaken(*args):
+        spark.sql(f"INSERT INTO {name} VALUES (-1, 'late', '{DAYS[0]}')")
+        return real(*args)
+
+    monkeypatch.setattr(tables, "reconcile_contents", overtaken)
+    with pytest.raises(ConflictError):
+        compact_partitions(spark, name, "d", DAYS, file_bytes=50_000)
+    assert spark.table(name).count() == 20_011

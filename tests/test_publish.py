@@ -156,7 +156,7 @@ def test_a_value_swapped_in_a_staged_file_is_refused(spark, monkeypatch, column)
     """As many rows as were counted, but not those that were written."""
     spec = loaded(spark)
     before = rows_of(spark.table(spec.target))
-    real = tables._read_back
+    real = tables.read_back
 
     def damaged(session, folder, kind, schema):
         there = real(session, folder, kind, schema)
@@ -167,7 +167,7 @@ def test_a_value_swapped_in_a_staged_file_is_refused(spark, monkeypatch, column)
         session.createDataFrame([tuple(r[f.name] for f in columns) for r in other], type(schema)(columns)).write.mode("overwrite").parquet(day)
         return real(session, folder, kind, schema)
 
-    monkeypatch.setattr(tables, "_read_back", damaged)
+    monkeypatch.setattr(tables, "read_back", damaged)
     with pytest.raises(VerificationError, match="other rows than were written"):
         run_load(spark, changed(spec), RANGE)
     assert rows_of(spark.table(spec.target)) == before

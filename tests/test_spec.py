@@ -16,7 +16,7 @@ FULL = dict(
 VIEW = {**FULL, "processing_strategy": "view"}
 
 
-@pytest.mark.parametrize("config", [DAY, MONTH, FULL, VIEW, {**DAY, "processing_strategy": "last_and_current_month"}])
+@pytest.mark.parametrize("config", [DAY, MONTH, FULL, VIEW, {**DAY, "processing_strategy": "last_and_current_month"}, {**DAY, "layout": "clustered"}, {**MONTH, "layout": "partitioned"}])
 def test_valid(config):
     LoadSpec.from_mapping(config)
 
@@ -59,6 +59,9 @@ def test_required_fields(field, value):
         (MONTH, {"processing_strategy": "last_and_current_month"}, "processing_strategy"),
         (DAY, {"partition_query": "SELECT 1"}, "target_date_list"),
         (MONTH, {"partition_query": "SELECT 1"}, "target_date_list"),
+        (DAY, {"layout": "sorted"}, "layout"),
+        (FULL, {"layout": "clustered"}, "layout"),
+        (VIEW, {"layout": "partitioned"}, "layout"),
         (DAY, {"table": "s.t"}, "dots"),
         (DAY, {"schema": "c.s"}, "dots"),
         (DAY, {"catalog": "c.d"}, "dots"),

@@ -126,6 +126,12 @@ SELECT partition_value, source_rows, target_rows, source_rows = target_rows AS s
     "replace_day_partitions": """
 SELECT event_id, CASE WHEN CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
   THEN value * 2 ELSE value END AS value, strftime(ts, '%Y-%m-%d') AS event_day
+FROM events""",
+    "replace_clustered_days": """
+SELECT event_id, value * CASE WHEN CAST(ts AS DATE) BETWEEN DATE '2024-01-12' AND DATE '2024-01-13' THEN 3
+    WHEN CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-11' THEN 2 ELSE 1 END AS value,
+  CASE WHEN CAST(ts AS DATE) BETWEEN DATE '2024-01-12' AND DATE '2024-01-13' THEN event_type END AS event_type,
+  strftime(ts, '%Y-%m-%d') AS event_day
 FROM events""",
     "replace_month_partitions": """
 SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m') AS order_month FROM orders

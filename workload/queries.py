@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -354,6 +355,20 @@ def replace_day_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(doubled.target)
 
 
+@query
+def replace_clustered_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days replaced in a table without partitions, twice, the second time with a new column."""
+    schema = fresh_database(spark, "clustered")
+    run_load(spark, replace(daily_events(sf_dir, schema), layout="clustered"), ALL_DAYS)
+    for columns, days in (
+        ("e.event_id, e.value * 2 AS value", "2024-01-10,2024-01-12"),
+        ("e.event_id, e.value * 3 AS value, e.event_type", "2024-01-12,2024-01-13"),
+    ):
+        spec = replace(daily_events(sf_dir, schema, columns=columns), layout="clustered")
+        run_load(spark, spec, days)
+    return spark.table(spec.target)
+
+
 @query
 def replace_month_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = fresh_database(spark, "replace_month")
