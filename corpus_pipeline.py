@@ -43,7 +43,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     ship(spark)
     docs = docs.select(COLUMNS)
     if docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").isEmpty():
-        gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id")
+        gone = cut(near_duplicates(docs).where(~F.col("kept")).select("doc_id"))
         return docs.join(small(gone), "doc_id", "left_anti").select(COLUMNS)
     name = F.struct(
         F.col("doc_id").isNull().alias("nameless"),
@@ -52,7 +52,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         F.monotonically_increasing_id().alias("row"),
     )
     docs = cut(docs.withColumn("name", name))
-    gone = near_duplicates(docs, doc_id="name").where(~F.col("kept")).select(F.col("doc_id").alias("name"))
+    gone = cut(near_duplicates(docs, doc_id="name").where(~F.col("kept")).select(F.col("doc_id").alias("name")))
     return docs.join(small(gone), "name", "left_anti").select(COLUMNS)
 
 

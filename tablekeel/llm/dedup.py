@@ -220,25 +220,32 @@ def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, rule: Rule) -> Da
     return cut(pairs.where(100 * both.cast("long") >= rule.percent * union.cast("long")).select("a", "b"))
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges (u, v), u > v, are stars: each u has one v, which is no u itself and so the least that can be reached."""
+    above = F.struct(F.col("u").alias("node"), F.lit(1).alias("up"))
+    below = F.struct(F.col("v").alias("node"), F.lit(0).alias("up"))
+    ends = edges.select(F.inline(F.array(above, below)))
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+    return ends.where("up > 1 OR (up = 1 AND least = 0)").agg(F.count("*")).first()[0] == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """Per class in links (a, b): cls and comp, the least class that can be reached.
 
     Large-star and small-star steps: the neighbours of each node move to its least
-    neighbour, until nothing moves. Each step sums per node before it shuffles.
+    neighbour, until every edge leads to the least node of its component. Each step sums
+    per node before it shuffles.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct()
-    state = None
     while True:
-        both = edges.union(edges.select("v", "u"))
+        both = edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))  # read once
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = cut(moved.union(least.select("u", F.col("m").alias("v"))).distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
+        if _settled(edges):
             break
-        state = now
     roots = edges.select(F.col("v").alias("cls"), F.col("v").alias("comp")).distinct()
     return edges.select(F.col("u").alias("cls"), F.col("v").alias("comp")).union(roots)
 

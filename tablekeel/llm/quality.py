@@ -165,7 +165,8 @@ class QualityModel:
 def fit(x: np.ndarray, before: np.ndarray, y: np.ndarray, *, hidden: int, gate: int, epochs: int, seed: int) -> QualityModel:
     """Log loss by Adam over batches of documents, with the gradients written out."""
     mean = x.mean(axis=0)
-    scale = 1 / np.maximum(x.std(axis=0), 1e-3)
+    # Some columns at a time, and later the rows of a batch: a scaled copy of x would take its memory once more.
+    scale = 1 / np.maximum(np.concatenate([x[:, k : k + 32].std(axis=0) for k in range(0, x.shape[1], 32)]), 1e-3)
     if len(set(y.tolist())) < 2:
         return QualityModel(None, mean, scale, float(y[0]) if len(y) else 0.5)
     rng = np.random.default_rng(seed)
@@ -181,7 +182,6 @@ def fit(x: np.ndarray, before: np.ndarray, y: np.ndarray, *, hidden: int, gate:
     }
     model = QualityModel(p, mean, scale)
     first, second, step = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
-    scaled = (x - mean) * scale
     for epoch in range(epochs):
         order = rng.permutation(len(y))
         for at in range(0, len(order), 256):
@@ -189,7 +189,7 @@ def fit(x: np.ndarray, before: np.ndarray, y: np.ndarray, *, hidden: int, gate:
             size = before[bags + 1] - before[bags]
             edge = np.concatenate([[0], np.cumsum(size)])
             rows = np.repeat(before[bags] - edge[:-1], size) + np.arange(edge[-1])
-            xs = scaled[rows]
+            xs = (x[rows] - mean) * scale
             h = np.tanh(xs @ p["E"] + p["e"])
             t, g, a, z = model.attend(h, edge)
             error = ((_sigmoid(z @ p["c"] + p["b"]) - y[bags]) / len(bags)).astype(np.float32)
@@ -268,16 +268,18 @@ def learn_quality(
                     names=["doc_id", "quality", "bag"],
                 )
 
-    found = rows.mapInArrow(encode, "doc_id long, quality int, bag binary").toArrow().sort_by([("doc_id", "ascending"), ("bag", "ascending")])
+    found = rows.mapInArrow(encode, "doc_id long, quality int, bag binary").toArrow()
     if not len(found):
         return QualityModel(None, np.zeros(FEATURES), np.ones(FEATURES))
-    before = np.concatenate([[0], np.cumsum(pc.binary_length(found.column("bag")).to_numpy() // (2 * FEATURES))])
-    y = (found.column("quality").to_numpy() == 1).astype(np.float32)
+    order = pc.sort_indices(found, sort_keys=[("doc_id", "ascending"), ("bag", "ascending")])  # the table itself stays as it came
+    size = pc.binary_length(found.column("bag")).to_numpy()[order] // (2 * FEATURES)
+    before = np.concatenate([[0], np.cumsum(size)])
+    y = (found.column("quality").to_numpy()[order] == 1).astype(np.float32)
     x = np.empty((before[-1], FEATURES), dtype=np.float32)
-    for at, bag in zip(before[:-1], found.column("bag"), strict=True):
-        own = np.frombuffer(bag.as_buffer(), dtype=np.float16).reshape(-1, FEATURES)
-        x[at : at + len(own)] = own
-    del found
+    for at, n, row in zip(before[:-1], size, order.to_pylist(), strict=True):
+        bag = found.column("bag")[row]
+        x[at : at + n] = np.frombuffer(bag.as_buffer(), dtype=np.float16).reshape(-1, FEATURES)
+    del found, bag
     return fit(x, before, y, hidden=hidden, gate=gate, epochs=epochs, seed=seed)
 
 

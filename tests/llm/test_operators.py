@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter
 from fractions import Fraction
 
@@ -183,6 +184,31 @@ def test_bayes_thresholds():
     assert (1 - 0.85**dedup.ROWS_IN_BAND) ** rule.bands <= rule.miss
 
 
+def test_components_stop_once_all_edges_lead_to_the_least(spark, monkeypatch):
+    rounds, cut = [], dedup.cut
+    monkeypatch.setattr(dedup, "cut", lambda df: rounds.append(df) or cut(df))
+
+    def found(links):
+        rounds.clear()
+        rows = spark.createDataFrame([(bytes([a]), bytes([b])) for a, b in links], "a binary, b binary")
+        return sorted((r.cls[0], r.comp[0]) for r in dedup.components(rows).collect())
+
+    assert found([(1, 2), (1, 3), (4, 1), (5, 6), (6, 5), (7, 7)]) == [(1, 1), (2, 1), (3, 1), (4, 1), (5, 5), (6, 5)]
+    assert len(rounds) == 1  # no further round to see that nothing moves
+    assert found([]) == [] and len(rounds) == 1
+    chain = list(range(1, 60))
+    random.Random(5).shuffle(chain)
+    assert found(itertools.pairwise(chain)) == [(i, 1) for i in range(1, 60)]
+    rng = random.Random(6)
+    for _ in range(3):
+        links = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)]
+        leader = list(range(60))
+        for _ in leader:
+            for a, b in links:
+                leader[a] = leader[b] = min(leader[a], leader[b])
+        assert found(links) == sorted((i, leader[i]) for i in {i for a, b in links if a != b for i in (a, b)})
+
+
 def test_near_duplicates_awkward_rows(spark):
     out = dedup.near_duplicates(docs(spark), dedup.Rule(3, 85)).collect()
     assert len(out) == len(ODD)
@@ -401,6 +427,17 @@ def test_gradients_agree_with_differences():
     assert ((model.score(x, before) > 0.5) == (y == 1)).all()
 
 
+def test_quality_learns_without_a_copy_of_all_features():
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((20_000, quality.FEATURES)).astype(np.float32)
+    before, y = np.arange(0, 20_001, 2), (rng.random(10_000) < 0.5).astype(np.float32)
+    tracemalloc.start()
+    quality.fit(x, before, y, hidden=4, gate=3, epochs=1, seed=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < x.nbytes / 2
+
+
 def test_quality_awkward_rows(spark):
     labels = spark.createDataFrame([(1, 1, 0), (6, 0, 0), (6, 1, 0), (None, 0, 0), (5, None, 0), (9, 0, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
     rows = quality.classify_quality(docs(spark), labels).collect()
