@@ -93,7 +93,8 @@ def training_row(doc_id: Column) -> Column:
 
 # ---------------------------------------------------------------- hashing over whole batches of texts
 
-_STEP = 1 << 20
+#: Bytes of texts whose words are hashed at once. The hashes do not depend on it, the memory of a task does.
+_STEP = 1 << 17
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -155,7 +156,7 @@ class WordHasher:
             to = max(at + 1, int(np.searchsorted(ends, first + _STEP, side="right")))
             if ends[to - 1] - first <= 2 * _STEP:
                 out[at:to] = self._hash(data[first : ends[to - 1]], starts[at:to] - first, ends[at:to] - first)
-            else:  # one word of more than a megabyte
+            else:  # one word longer than two windows
                 out[at] = self._long(data[first : ends[at]])
                 to = at + 1
             at = to

@@ -15,7 +15,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tablekeel.llm import dedup, fingerprints, language, licenses, mixing, packing, quality, tokens, topk, warc
+from tablekeel.llm import common, dedup, fingerprints, language, licenses, mixing, packing, quality, tokens, topk, warc
 from tests.llm.helpers import DOCS, ODD, by_id, docs
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -184,6 +184,23 @@ def test_bayes_thresholds():
     assert (1 - 0.85**dedup.ROWS_IN_BAND) ** rule.bands <= rule.miss
 
 
+def test_hashes_of_words_take_little_memory_and_do_not_depend_on_windows(monkeypatch):
+    rng = np.random.default_rng(1)
+    data = rng.integers(97, 123, 1 << 20).astype(np.uint8)
+    data[rng.random(len(data)) < 0.17] = 32
+    data[300_000:700_000] = 101  # a word of several windows
+    offsets = np.array([0, 0, 10, 250_000, 500_000, 900_000, len(data)])
+    tracemalloc.start()
+    hashes, first = dedup.WordHasher()(data, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 << 20
+    for step in (1 << 10, 1 << 20):
+        monkeypatch.setattr(common, "_STEP", step)
+        other, start = dedup.WordHasher()(data, offsets)
+        assert (other == hashes).all() and (start == first).all()
+
+
 def test_components_stop_once_all_edges_lead_to_the_least(spark, monkeypatch):
     rounds, cut = [], dedup.cut
     monkeypatch.setattr(dedup, "cut", lambda df: rounds.append(df) or cut(df))
